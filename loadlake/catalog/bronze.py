@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlake import schemas
-from loadlake.catalog import frames
-from loadlake.catalog.frames import with_frames
+from loadlake.catalog.frames import Frames, day_bounds, with_frames
 from loadlake.catalog.registry import query
 from loadlake.functions.timefns import hours_in_local_day, local_day, to_millis
 from loadlake.operators.grid import hourly_rollup
@@ -19,8 +18,8 @@ from loadlake.session import shared_dir
 from loadlake.sources import bronze, tables
 
 
-def _event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.events(spark, sf_dir).select(
+def _event_points(f: Frames) -> DataFrame:
+    return f.events.select(
         F.lit("events").alias("source"),
         F.lit("410").alias("filter_id"),
         F.col("event_type").alias("region"),
@@ -30,22 +29,22 @@ def _event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = shared_dir(spark, "bronze-demand")
-    bronze.write_documents(bronze.demand_documents(_event_points(spark, sf_dir)), root)
-    return bronze.read_demand(spark, root)
+def _landed_demand(f: Frames) -> DataFrame:
+    root = shared_dir(f.spark, "bronze-demand")
+    bronze.write_documents(bronze.demand_documents(_event_points(f)), root)
+    return bronze.read_demand(f.spark, root)
 
 
-def _landed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_weather(f: Frames) -> DataFrame:
     """Weather documents; those of the 15th of a month lack the last pressure value."""
-    root = shared_dir(spark, "bronze-weather")
+    root = shared_dir(f.spark, "bronze-weather")
     pressure = F.col("raw.hourly.surface_pressure")
     cut = F.when(F.dayofmonth("ingestion_date") == 15, F.slice(pressure, 1, F.size(pressure) - 1)).otherwise(pressure)
-    documents = bronze.weather_documents(frames.weather(spark, sf_dir)).withColumn(
+    documents = bronze.weather_documents(f.weather).withColumn(
         "raw", F.struct(F.col("raw.hourly").withField("surface_pressure", cut).alias("hourly"))
     )
     bronze.write_documents(documents, root, ("location", "ingestion_date"))
-    return bronze.read_weather(spark, root)
+    return bronze.read_weather(f.spark, root)
 
 
 @query(
@@ -53,8 +52,8 @@ def _landed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT event_type AS region, date_trunc('millisecond', ts) AS event_ts_utc, CAST(ts AS DATE) AS dt, value AS load_mw
        FROM events""",
 )
-def bronze_demand_points(spark, sf_dir):
-    points = bronze.demand_points(_landed_demand(spark, sf_dir))
+def bronze_demand_points(f):
+    points = bronze.demand_points(_landed_demand(f))
     return points.select("region", "event_ts_utc", "dt", "load_mw")
 
 
@@ -62,9 +61,9 @@ def bronze_demand_points(spark, sf_dir):
     "bronze_points_fallback",
     "SELECT event_type AS series_id, epoch_us(ts) // 1000 AS ts_ms, value AS load_mw FROM events",
 )
-def bronze_points_fallback(spark, sf_dir):
+def bronze_points_fallback(f):
     """Raw chunks with the list under each of the three keys, and a pair too short to use."""
-    documents = bronze.demand_documents(_event_points(spark, sf_dir))
+    documents = bronze.demand_documents(_event_points(f))
     region = F.col("metadata.region")
     key = F.when(region.isin("click", "view"), "series").when(region == "error", "data").otherwise("values")
     pairs = F.transform(
@@ -84,18 +83,18 @@ def bronze_points_fallback(spark, sf_dir):
          coalesce(max(epoch_ms(c)) FILTER (WHERE c <= d.dt), min(epoch_ms(c))) AS chunk_ts_ms
        FROM days d JOIN idx i ON i.event_type = d.event_type GROUP BY d.event_type, d.dt""",
 )
-def chunk_pick(spark, sf_dir):
+def chunk_pick(f):
     """Weekly chunks that start on Thursdays, listed in both shapes of index file."""
-    events = frames.events(spark, sf_dir).select(F.col("event_type").alias("series_id"), "ts")
+    times = f.events.select(F.col("event_type").alias("series_id"), "ts")
     start = F.unix_millis(F.date_trunc("week", "ts") + F.expr("INTERVAL 3 DAYS"))
-    starts = events.select("series_id", start.alias("c")).distinct()
+    starts = times.select("series_id", start.alias("c")).distinct()
     listed = F.to_json(F.array_sort(F.collect_list("c")))
     text = F.when(F.col("series_id").isin("click", "view"), listed).otherwise(
         F.concat(F.lit('{"timestamps": '), listed, F.lit("}"))
     )
     indexes = starts.groupBy("series_id").agg(text.alias("text"))
     index = bronze.index_points(indexes, "text", ["series_id"])
-    days = events.select("series_id", F.to_date("ts").alias("dt")).distinct()
+    days = times.select("series_id", F.to_date("ts").alias("dt")).distinct()
     return bronze.pick_chunks(index, days, ["series_id"])
 
 
@@ -107,8 +106,8 @@ _SHORT_PRESSURE = """CASE WHEN day(dt) = 15 AND event_ts_utc = max(event_ts_utc)
     "bronze_weather_hourly",
     with_frames(f"SELECT * EXCLUDE (surface_pressure), {_SHORT_PRESSURE} FROM weather"),
 )
-def bronze_weather_hourly(spark, sf_dir):
-    return bronze.weather_hours(_landed_weather(spark, sf_dir))
+def bronze_weather_hourly(f):
+    return bronze.weather_hours(_landed_weather(f))
 
 
 @query(
@@ -116,16 +115,16 @@ def bronze_weather_hourly(spark, sf_dir):
     """SELECT event_type AS series_id, date_trunc('hour', ts) AS event_ts_utc, max(value) AS load_mw
        FROM events GROUP BY ALL""",
 )
-def hourly_rollup_query(spark, sf_dir):
-    events = frames.events(spark, sf_dir).select(
+def hourly_rollup_query(f):
+    points = f.events.select(
         F.col("event_type").alias("series_id"), F.col("ts").alias("event_ts_utc"), F.col("value").alias("load_mw")
     )
-    return hourly_rollup(events, ["series_id"])
+    return hourly_rollup(points, ["series_id"])
 
 
 @query("hourly_grid_filled", with_frames("SELECT event_ts_utc, dt, series_id, load_mw FROM demand"))
-def hourly_grid_filled(spark, sf_dir):
-    return frames.demand(spark, sf_dir)
+def hourly_grid_filled(f):
+    return f.demand
 
 
 _WHOLE_DAYS = """full_days AS (
@@ -142,12 +141,12 @@ _WHOLE_DAYS = """full_days AS (
       FROM full_days g CROSS JOIN (SELECT DISTINCT event_type FROM events) s
       LEFT JOIN demand d ON d.event_ts_utc = g.event_ts_utc AND d.series_id = s.event_type"""),
 )
-def silver_demand_query(spark, sf_dir):
+def silver_demand_query(f):
     """All days in one plan, stored by day and read back."""
-    first, last = frames.day_bounds(frames.events(spark, sf_dir), "ts")
-    root = shared_dir(spark, "silver-demand")
-    tables.write_days(silver.silver_demand(_landed_demand(spark, sf_dir), first, last), root)
-    return tables.read_days(spark, root, columns=schemas.SILVER_DEMAND_REQUIRED)
+    first, last = day_bounds(f.events, "ts")
+    root = shared_dir(f.spark, "silver-demand")
+    tables.write_days(silver.silver_demand(_landed_demand(f), first, last), root)
+    return tables.read_days(f.spark, root, columns=schemas.SILVER_DEMAND_REQUIRED)
 
 
 @query(
@@ -157,11 +156,10 @@ def silver_demand_query(spark, sf_dir):
         52.52::DOUBLE AS latitude, 13.405::DOUBLE AS longitude, {", ".join("w." + v for v in schemas.WEATHER_VARIABLES)}
       FROM full_days g LEFT JOIN w ON w.event_ts_utc = g.event_ts_utc"""),
 )
-def silver_weather_query(spark, sf_dir):
-    first, last = frames.day_bounds(frames.events(spark, sf_dir), "ts")
-    root = shared_dir(spark, "silver-weather")
-    tables.write_days(silver.silver_weather(_landed_weather(spark, sf_dir), first, last), root)
-    return tables.read_days(spark, root)
+def silver_weather_query(f):
+    root = shared_dir(f.spark, "silver-weather")
+    tables.write_days(silver.silver_weather(_landed_weather(f), f.first_day, f.last_day), root)
+    return tables.read_days(f.spark, root)
 
 
 _CALENDAR_COLUMNS = """dt, CAST(isodow(dt) - 1 AS INT) AS day_of_week, CAST(day(dt) AS INT) AS day_of_month,
@@ -176,9 +174,9 @@ _CALENDAR_COLUMNS = """dt, CAST(isodow(dt) - 1 AS INT) AS day_of_week, CAST(day(
     f"""WITH d AS (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS dt FROM orders)
         SELECT {_CALENDAR_COLUMNS} FROM d""",
 )
-def calendar_days_query(spark, sf_dir):
-    first, last = frames.day_bounds(frames.orders(spark, sf_dir), "o_orderdate")
-    return silver.calendar_days(spark, first, last)
+def calendar_days_query(f):
+    first, last = day_bounds(f.orders, "o_orderdate")
+    return silver.calendar_days(f.spark, first, last)
 
 
 @query(
@@ -186,23 +184,22 @@ def calendar_days_query(spark, sf_dir):
     f"""WITH d AS (SELECT CAST(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)) AS DATE) AS dt FROM events)
         SELECT {_CALENDAR_COLUMNS} FROM d""",
 )
-def calendar_documents(spark, sf_dir):
+def calendar_documents(f):
     """Derived calendar landed as one document per day, then read as silver."""
-    root = shared_dir(spark, "bronze-calendar")
-    days = frames.calendar(spark, sf_dir).select("dt")
+    root = shared_dir(f.spark, "bronze-calendar")
+    days = f.calendar.select("dt")
     bronze.write_documents(bronze.calendar_documents(days, F.lit("2024-02-01").cast("timestamp")), root)
-    return silver.silver_calendar(bronze.read_calendar(spark, root))
+    return silver.silver_calendar(bronze.read_calendar(f.spark, root))
 
 
 @query(
     "partition_roundtrip",
     with_frames("""SELECT event_ts_utc, dt, series_id, load_mw FROM demand, run WHERE dt BETWEEN d - 7 AND d"""),
 )
-def partition_roundtrip(spark, sf_dir):
-    root = shared_dir(spark, "days")
-    tables.write_days(frames.demand(spark, sf_dir), root)
-    day = frames.run_day(spark, sf_dir)
-    return tables.read_days(spark, root, day - timedelta(days=7), day, ["event_ts_utc", "dt", "series_id", "load_mw"])
+def partition_roundtrip(f):
+    root = shared_dir(f.spark, "days")
+    tables.write_days(f.demand, root)
+    return tables.read_days(f.spark, root, f.run_day - timedelta(days=7), f.run_day, ["event_ts_utc", "dt", "series_id", "load_mw"])
 
 
 @query(
@@ -212,28 +209,27 @@ def partition_roundtrip(spark, sf_dir):
       UNION ALL
       SELECT forecast_run_date, target_date, event_ts_utc, series_id, y_hat_mw, model_name FROM candidates"""),
 )
-def history_upsert(spark, sf_dir):
+def history_upsert(f):
     """Two models written by key; then the newest days of one again with other values, twice."""
-    root = shared_dir(spark, "forecasts")
+    root = shared_dir(f.spark, "forecasts")
     keys = ["series_id", "event_ts_utc", "target_date", "model_name"]
     columns = ["forecast_run_date", "target_date", "event_ts_utc", "series_id", "y_hat_mw", "model_name"]
-    naive = frames.forecasts(spark, sf_dir).select(*columns)
-    day = frames.run_day(spark, sf_dir)
-    rerun = naive.where(F.col("target_date") >= F.lit(day)).withColumn("y_hat_mw", F.col("y_hat_mw") + 1)
-    for batch in (naive, frames.candidates(spark, sf_dir).select(*columns), rerun, rerun):
+    naive = f.forecasts.select(*columns)
+    rerun = naive.where(F.col("target_date") >= F.lit(f.run_day)).withColumn("y_hat_mw", F.col("y_hat_mw") + 1)
+    for batch in (naive, f.candidates.select(*columns), rerun, rerun):
         tables.upsert(batch, root, keys, ["target_date"])
-    return spark.read.parquet(root)
+    return f.spark.read.parquet(root)
 
 
 @query(
     "actuals_backfill",
     with_frames("SELECT event_ts_utc, series_id, load_mw, dt FROM gold_train"),
 )
-def actuals_backfill(spark, sf_dir):
-    root = shared_dir(spark, "actuals")
-    rows = actuals(frames.gold(spark, sf_dir), F.lit("2024-02-01").cast("timestamp"))
+def actuals_backfill(f):
+    root = shared_dir(f.spark, "actuals")
+    rows = actuals(f.gold(), F.lit("2024-02-01").cast("timestamp"))
     tables.append(rows, root, ["dt"])
-    return tables.read_days(spark, root, columns=["event_ts_utc", "series_id", "load_mw", "dt"])
+    return tables.read_days(f.spark, root, columns=["event_ts_utc", "series_id", "load_mw", "dt"])
 
 
 @query(
@@ -242,11 +238,10 @@ def actuals_backfill(spark, sf_dir):
        SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, value FROM events, run
        WHERE epoch_us(ts) >= epoch_us(CAST(d AS TIMESTAMP)) AND epoch_us(ts) < epoch_us(CAST(d + 1 AS TIMESTAMP))""",
 )
-def day_slice_half_open(spark, sf_dir):
-    day = F.lit(frames.run_day(spark, sf_dir))
+def day_slice_half_open(f):
+    day = F.lit(day_bounds(f.events, "ts")[1] - timedelta(days=1))
     start, end = F.to_timestamp(day), F.to_timestamp(day) + F.expr("INTERVAL 1 DAY")
-    events = frames.events(spark, sf_dir).where((F.col("ts") >= start) & (F.col("ts") < end))
-    return events.select("event_id", to_millis(F.col("ts")).alias("ts_ms"), "value")
+    return f.events.where((F.col("ts") >= start) & (F.col("ts") < end)).select("event_id", to_millis(F.col("ts")).alias("ts_ms"), "value")
 
 
 @query(
@@ -259,10 +254,10 @@ def day_slice_half_open(spark, sf_dir):
          CAST(ts + INTERVAL 1 HOUR AS DATE) AS berlin_winter_day
        FROM events""",
 )
-def scalar_datetime(spark, sf_dir):
+def scalar_datetime(f):
     ts = F.col("ts")
     text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm")
-    return frames.events(spark, sf_dir).select(
+    return f.events.select(
         "event_id",
         F.unix_seconds(ts).alias("epoch_s"),
         F.to_date(ts).alias("dt"),
@@ -288,9 +283,9 @@ def scalar_datetime(spark, sf_dir):
                             WHEN isodow(dt) = 7 AND day(dt) >= 25 AND month(dt) = 10 AND year(dt) >= 1996 THEN 25
                             WHEN isodow(dt) = 7 AND day(dt) >= 24 AND month(dt) = 9 AND year(dt) < 1996 THEN 25 ELSE 24 END AS INT) AS n_hours FROM d""",
 )
-def local_day_hours(spark, sf_dir):
+def local_day_hours(f):
     """Length of each order day in Berlin; the oracle states the European rule, which moved autumn's change in 1996."""
-    days = frames.orders(spark, sf_dir).select(F.to_date("o_orderdate").alias("dt")).distinct()
+    days = f.orders.select(F.to_date("o_orderdate").alias("dt")).distinct()
     return days.select("dt", hours_in_local_day(F.col("dt"), "Europe/Berlin").alias("n_hours"))
 
 
@@ -305,11 +300,11 @@ def local_day_hours(spark, sf_dir):
          value >= 100 AS is_large, value <> 0 AS is_nonzero
        FROM events""",
 )
-def scalar_misc(spark, sf_dir):
+def scalar_misc(f):
     props = F.from_json("props", "k INT")
     k, value = props["k"], F.col("value")
     wrapped = F.to_json(F.struct(props.alias("p")))
-    return frames.events(spark, sf_dir).select(
+    return f.events.select(
         "event_id",
         F.get_json_object(wrapped, "$.p.k").cast("int").alias("k"),
         F.round(F.abs(value - 50), 6).alias("distance"),

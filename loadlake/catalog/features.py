@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadlake.catalog import frames
 from loadlake.catalog.frames import GOLD_COLUMNS, rounded, rounded_gold, with_frames
 from loadlake.catalog.registry import query
 from loadlake.functions.timefns import DAY, HOUR
@@ -20,19 +19,18 @@ _SAME_HOUR = ("load_mean_7d_same_hour", "load_mean_30d_same_hour", "load_std_30d
 
 
 @query("joined_base", with_frames("SELECT * FROM base"))
-def joined_base_query(spark, sf_dir):
-    joined = joined_base(frames.demand(spark, sf_dir), frames.weather(spark, sf_dir), frames.calendar(spark, sf_dir))
-    return joined
+def joined_base_query(f):
+    return joined_base(f.demand, f.weather, f.calendar)
 
 
 @query("load_lags", with_frames(f"SELECT {', '.join(_KEYS + _LAGS)} FROM gold"))
-def load_lags(spark, sf_dir):
-    return history.load_lags(frames.demand(spark, sf_dir))
+def load_lags(f):
+    return history.load_lags(f.demand)
 
 
 @query("same_hour_stats_days", with_frames(f"SELECT {', '.join(_KEYS)}, hour, {', '.join(_SAME_HOUR)} FROM gold"))
-def same_hour_stats_days(spark, sf_dir):
-    return rounded(history.same_hour_stats(frames.demand(spark, sf_dir)), *_SAME_HOUR)
+def same_hour_stats_days(f):
+    return rounded(history.same_hour_stats(f.demand), *_SAME_HOUR)
 
 
 @query(
@@ -43,8 +41,8 @@ def same_hour_stats_days(spark, sf_dir):
         round(stddev_samp(load_mw) OVER (h ROWS BETWEEN 720 PRECEDING AND 1 PRECEDING), 6) AS load_std_30d_same_hour
       FROM base WINDOW h AS (PARTITION BY series_id, hour ORDER BY event_ts_utc)"""),
 )
-def same_hour_stats_reference(spark, sf_dir):
-    return rounded(history.same_hour_stats(frames.demand(spark, sf_dir), "reference"), *_SAME_HOUR)
+def same_hour_stats_reference(f):
+    return rounded(history.same_hour_stats(f.demand, "reference"), *_SAME_HOUR)
 
 
 @query(
@@ -56,8 +54,8 @@ def same_hour_stats_reference(spark, sf_dir):
         round(CASE WHEN temperature_2m > 22 THEN temperature_2m - 22 ELSE 0.0 END, 6) AS cooling_degree
       FROM hours LEFT JOIN weather USING (event_ts_utc) WINDOW w AS (ORDER BY event_ts_utc)"""),
 )
-def weather_features(spark, sf_dir):
-    wide = history.weather_history(frames.weather_filled(spark, sf_dir))
+def weather_features(f):
+    wide = history.weather_history(f.weather_filled)
     degrees = ("heating_degree", "cooling_degree")
     return rounded(rounded(wide, *degrees), "temp_mean_7d", places=4).select(
         "event_ts_utc", "temperature_2m", "temp_lag_24h", "temp_mean_7d", *degrees
@@ -65,13 +63,13 @@ def weather_features(spark, sf_dir):
 
 
 @query("gold_features_train", with_frames(f"SELECT {', '.join(GOLD_COLUMNS)} FROM gold_train"))
-def gold_features_train(spark, sf_dir):
-    return rounded_gold(frames.gold(spark, sf_dir)).select(*GOLD_COLUMNS)
+def gold_features_train(f):
+    return rounded_gold(f.gold()).select(*GOLD_COLUMNS)
 
 
 @query("gold_features_serve", with_frames(f"SELECT {', '.join(GOLD_COLUMNS)} FROM gold"))
-def gold_features_serve(spark, sf_dir):
-    return rounded_gold(frames.gold(spark, sf_dir, mode="serve")).select(*GOLD_COLUMNS)
+def gold_features_serve(f):
+    return rounded_gold(f.gold(mode="serve")).select(*GOLD_COLUMNS)
 
 
 @query(
@@ -83,17 +81,17 @@ def gold_features_serve(spark, sf_dir):
       FROM gold WINDOW h AS (PARTITION BY series_id, hour ORDER BY event_ts_utc)
       QUALIFY target_load_mw IS NOT NULL AND load_lag_24h IS NOT NULL"""),
 )
-def gold_features_reference(spark, sf_dir):
-    gold = frames.gold(spark, sf_dir, frame="reference")
+def gold_features_reference(f):
+    gold = f.gold(frame="reference")
     return rounded(gold, *_SAME_HOUR).select("event_ts_utc", "series_id", "load_lag_14d", "target_load_mw", *_SAME_HOUR)
 
 
 @query("gold_range", with_frames(f"SELECT {', '.join(GOLD_COLUMNS)} FROM gold_train"))
-def gold_range(spark, sf_dir):
+def gold_range(f):
     """Gold of every day from one plan, stored by day."""
-    root = shared_dir(spark, "gold")
-    tables.write_days(frames.gold(spark, sf_dir), root)
-    return rounded_gold(tables.read_days(spark, root)).select(*GOLD_COLUMNS)
+    root = shared_dir(f.spark, "gold")
+    tables.write_days(f.gold(), root)
+    return rounded_gold(tables.read_days(f.spark, root)).select(*GOLD_COLUMNS)
 
 
 @query(
@@ -101,8 +99,8 @@ def gold_range(spark, sf_dir):
     with_frames("""SELECT series_id, event_ts_utc, load_mw,
         row_number() OVER (PARTITION BY series_id ORDER BY event_ts_utc) - 1 AS time_idx FROM actuals"""),
 )
-def time_index(spark, sf_dir):
-    indexed = samples.time_index(frames.actuals(spark, sf_dir))
+def time_index(f):
+    indexed = samples.time_index(f.actuals)
     return indexed.select("series_id", "event_ts_utc", "load_mw", "time_idx")
 
 
@@ -112,9 +110,9 @@ def time_index(spark, sf_dir):
         SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY event_ts_utc) - 1 AS time_idx FROM gold_train)
       SELECT series_id, time_idx, event_ts_utc, target_load_mw, load_lag_24h AS prediction FROM indexed"""),
 )
-def scored_alignment(spark, sf_dir):
+def scored_alignment(f):
     """Predictions that carry only (series_id, time_idx) meet their labels by key."""
-    indexed = samples.time_index(frames.gold(spark, sf_dir))
+    indexed = tables.stored(samples.time_index(f.gold()), "indexed")
     predictions = indexed.select("series_id", "time_idx", F.col("load_lag_24h").alias("prediction"))
     labels = indexed.select("series_id", "time_idx", "event_ts_utc", "target_load_mw")
     return labels.join(predictions, ["series_id", "time_idx"])
@@ -133,9 +131,9 @@ def scored_alignment(spark, sf_dir):
       SELECT series_id, event_ts_utc, label, load_mw AS decoder_load, encoder_rows, encoder_start, encoder_end, encoder_load,
         label_rows, label_end, label_sum FROM s WHERE encoder_rows = 168 AND label IS NOT NULL"""),
 )
-def sequence_samples(spark, sf_dir):
+def sequence_samples(f):
     """Every sample, described by the ends and sums of its sequences."""
-    windows = samples.sequence_samples(frames.gold(spark, sf_dir, mode="serve"), ["load_mw", "temperature_2m", "hour"])
+    windows = samples.sequence_samples(f.gold(mode="serve"), ["load_mw", "temperature_2m", "hour"])
 
     def total(column: str, field: str):
         return F.round(F.aggregate(column, F.lit(0.0), lambda a, x: a + F.coalesce(x[field], F.lit(0.0))), 4)
@@ -160,12 +158,12 @@ def sequence_samples(spark, sf_dir):
     with_frames("""SELECT e.event_id, e.event_type AS series_id, e.ts, g.event_ts_utc AS feature_ts, g.load_mw, g.load_lag_24h
       FROM events e ASOF LEFT JOIN gold g ON e.event_type = g.series_id AND e.ts >= g.event_ts_utc"""),
 )
-def point_in_time_features(spark, sf_dir):
-    spine = frames.events(spark, sf_dir).select("event_id", F.col("event_type").alias("series_id"), "ts")
-    gold = frames.gold(spark, sf_dir, mode="serve").select(
+def point_in_time_features(f):
+    spine = f.events.select("event_id", F.col("event_type").alias("series_id"), "ts")
+    gold = f.gold(mode="serve").select(
         "series_id", F.col("event_ts_utc").alias("feature_ts"), "load_mw", "load_lag_24h"
     )
-    return asof_join(spine, gold, ["series_id"], "ts", "feature_ts", ttl_seconds=30 * DAY)
+    return asof_join(spine, gold, ["series_id"], "ts", "feature_ts", ttl_seconds=30 * DAY, block_seconds=HOUR, spread=8)
 
 
 @query(
@@ -176,9 +174,9 @@ def point_in_time_features(spark, sf_dir):
         CASE WHEN d.event_ts_utc - k.event_ts_utc <= INTERVAL 1 HOUR THEN k.load_mw END AS known_load
       FROM demand d ASOF LEFT JOIN known k ON d.series_id = k.series_id AND d.event_ts_utc > k.event_ts_utc"""),
 )
-def point_in_time_strict_ttl(spark, sf_dir):
+def point_in_time_strict_ttl(f):
     """Only what was known before the hour, and no older than an hour."""
-    demand = frames.demand(spark, sf_dir)
+    demand = f.demand
     known = demand.where(F.col("load_mw").isNotNull()).select(
         "series_id", F.col("event_ts_utc").alias("feature_ts"), F.col("load_mw").alias("known_load")
     )
@@ -192,8 +190,8 @@ def point_in_time_strict_ttl(spark, sf_dir):
     with_frames("""SELECT series_id, event_ts_utc, load_mw, load_lag_24h, load_lag_7d FROM gold WHERE load_mw IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY event_ts_utc DESC) = 1"""),
 )
-def latest_features(spark, sf_dir):
-    gold = frames.gold(spark, sf_dir, mode="serve").where(F.col("load_mw").isNotNull())
+def latest_features(f):
+    gold = f.gold(mode="serve").where(F.col("load_mw").isNotNull())
     return latest(
         gold.select("series_id", "event_ts_utc", "load_mw", "load_lag_24h", "load_lag_7d"), ["series_id"], "event_ts_utc"
     )
@@ -206,5 +204,5 @@ _CONTRACT_SQL = ", ".join(
 
 
 @query("feature_contract", with_frames(f"SELECT series_id, event_ts_utc, {_CONTRACT_SQL} FROM gold_train"))
-def feature_contract(spark, sf_dir):
-    return samples.feature_contract(rounded_gold(frames.gold(spark, sf_dir)))
+def feature_contract(f):
+    return samples.feature_contract(rounded_gold(f.gold()))

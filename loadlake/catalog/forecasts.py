@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlake.catalog import frames
-from loadlake.catalog.frames import rounded, with_frames
+from loadlake.catalog.frames import Frames, day_bounds, rounded, with_frames
 from loadlake.catalog.registry import query
 from loadlake.operators.asof import latest
 from loadlake.plans import evaluation, monitoring, policy
-from loadlake.sources.tables import lookback
+from loadlake.sources import tables
 from loadlake.streaming import intraday
 
 _ACCURACY = ("mape", "mae", "rmse")
@@ -25,21 +24,24 @@ _METRICS_SQL = f", metrics AS (SELECT target_date, series_id, {_ACCURACY_SQL} FR
 HISTORY, RECENT = 28, 7
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.forecast_vs_actual(frames.forecasts(spark, sf_dir), frames.actuals(spark, sf_dir))
+def _pairs(f: Frames) -> DataFrame:
+    return monitoring.forecast_vs_actual(f.forecasts, f.actuals)
 
 
-def _candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.forecast_vs_actual(frames.candidates(spark, sf_dir), frames.actuals(spark, sf_dir))
+def _candidate_pairs(f: Frames) -> DataFrame:
+    return monitoring.forecast_vs_actual(f.candidates, f.actuals)
 
 
-def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitoring.forecast_metrics(_pairs(spark, sf_dir))
+def _metrics(f: Frames) -> DataFrame:
+    return monitoring.forecast_metrics(_pairs(f))
 
 
-def _drift(spark: SparkSession, sf_dir: str, by_series: bool = True) -> DataFrame:
+def _drift(f: Frames, by_series: bool = True) -> DataFrame:
+    """Drift over the stored gold of the window, which is read more than once."""
+    gold = f.gold(start=f.run_day - timedelta(days=HISTORY), end=f.run_day)
+    features = gold.select("dt", "series_id", *monitoring.DRIFT_FEATURES)
     return monitoring.drift(
-        frames.gold(spark, sf_dir), frames.run_day(spark, sf_dir), recent_days=RECENT, history_days=HISTORY, by_series=by_series
+        tables.stored(features, "gold"), f.run_day, recent_days=RECENT, history_days=HISTORY, by_series=by_series
     )
 
 
@@ -71,8 +73,8 @@ _DRIFT_SELECT = "round(psi, 6) AS psi, n_baseline, n_recent, d AS eval_date, psi
     "forecast_vs_actual",
     with_frames("SELECT series_id, target_ts_utc, target_date, event_ts_utc, y_hat_mw, load_mw FROM pairs"),
 )
-def forecast_vs_actual(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("series_id", "target_ts_utc", "target_date", "event_ts_utc", "y_hat_mw", "load_mw")
+def forecast_vs_actual(f):
+    return _pairs(f).select("series_id", "target_ts_utc", "target_date", "event_ts_utc", "y_hat_mw", "load_mw")
 
 
 @query(
@@ -80,14 +82,14 @@ def forecast_vs_actual(spark, sf_dir):
     with_frames("""SELECT f.series_id, f.event_ts_utc AS target_ts_utc, f.target_date, f.y_hat_mw, a.load_mw
       FROM forecasts f JOIN actuals a ON a.series_id = f.series_id AND a.event_ts_utc = f.event_ts_utc"""),
 )
-def forecast_vs_actual_reference(spark, sf_dir):
-    pairs = monitoring.forecast_vs_actual(frames.forecasts(spark, sf_dir), frames.actuals(spark, sf_dir), "reference")
+def forecast_vs_actual_reference(f):
+    pairs = monitoring.forecast_vs_actual(f.forecasts, f.actuals, "reference")
     return pairs.select("series_id", "target_ts_utc", "target_date", "y_hat_mw", "load_mw")
 
 
 @query("forecast_metrics", with_frames(f"{_METRICS_SQL} SELECT * FROM metrics"))
-def forecast_metrics(spark, sf_dir):
-    return rounded(_metrics(spark, sf_dir), *_ACCURACY)
+def forecast_metrics(f):
+    return rounded(_metrics(f), *_ACCURACY)
 
 
 @query(
@@ -95,10 +97,9 @@ def forecast_metrics(spark, sf_dir):
     with_frames(f"""{_METRICS_SQL} SELECT CAST(target_date AS TIMESTAMP) AS time, series_id, mape AS "MAPE_pct"
       FROM metrics, run WHERE target_date BETWEEN d - 14 AND d ORDER BY target_date"""),
 )
-def mape_over_time(spark, sf_dir):
-    day = frames.run_day(spark, sf_dir)
-    start, end = F.lit(day - timedelta(days=14)), F.lit(day)
-    series = monitoring.mape_over_time(_metrics(spark, sf_dir), F.to_timestamp(start), F.to_timestamp(end))
+def mape_over_time(f):
+    start, end = F.lit(f.run_day - timedelta(days=14)), F.lit(f.run_day)
+    series = monitoring.mape_over_time(_metrics(f), F.to_timestamp(start), F.to_timestamp(end))
     return rounded(series, "MAPE_pct")
 
 
@@ -107,25 +108,25 @@ def mape_over_time(spark, sf_dir):
     with_frames("""SELECT target_ts_utc AS time, series_id, y_hat_mw AS forecast_mw FROM forecasts, run
       WHERE target_ts_utc BETWEEN CAST(d - 7 AS TIMESTAMP) AND CAST(d + 1 AS TIMESTAMP) ORDER BY target_ts_utc"""),
 )
-def forecast_series(spark, sf_dir):
-    day = frames.run_day(spark, sf_dir)
+def forecast_series(f):
+    day = f.run_day
     start, end = (F.to_timestamp(F.lit(d)) for d in (day - timedelta(days=7), day + timedelta(days=1)))
-    rows = monitoring.in_time_range(frames.forecasts(spark, sf_dir), "target_ts_utc", start, end)
+    rows = monitoring.in_time_range(f.forecasts, "target_ts_utc", start, end)
     return rows.select(F.col("target_ts_utc").alias("time"), "series_id", F.col("y_hat_mw").alias("forecast_mw"))
 
 
 @query("drift_psi", with_frames(f"{_DRIFT_SQL} SELECT series_id, feature, {_DRIFT_SELECT}"))
-def drift_psi(spark, sf_dir):
-    return rounded(_drift(spark, sf_dir), "psi")
+def drift_psi(f):
+    return rounded(_drift(f), "psi")
 
 
 @query(
     "drift_psi_pooled",
     with_frames(f"{_psi_sql('gold_train', 'feature', 'dt', _GOLD_FEATURES)} SELECT feature, {_DRIFT_SELECT}"),
 )
-def drift_psi_pooled(spark, sf_dir):
+def drift_psi_pooled(f):
     """All series together, with quantiles that hold no group in one task."""
-    return rounded(_drift(spark, sf_dir, by_series=False), "psi")
+    return rounded(_drift(f, by_series=False), "psi")
 
 
 @query(
@@ -134,8 +135,9 @@ def drift_psi_pooled(spark, sf_dir):
         f"{_psi_sql('pairs', 'series_id, feature', 'target_date', {'residual': '(load_mw - y_hat_mw)'})} SELECT series_id, feature, {_DRIFT_SELECT}"
     ),
 )
-def residual_drift(spark, sf_dir):
-    found = monitoring.residual_drift(_pairs(spark, sf_dir), frames.run_day(spark, sf_dir), RECENT, HISTORY)
+def residual_drift(f):
+    pairs = tables.stored(_pairs(f).select("series_id", "target_date", "load_mw", "y_hat_mw"), "pairs")
+    found = monitoring.residual_drift(pairs, f.run_day, RECENT, HISTORY)
     return rounded(found, "psi")
 
 
@@ -143,9 +145,9 @@ def residual_drift(spark, sf_dir):
     "metrics_lookback",
     with_frames(f"""{_METRICS_SQL} SELECT m.* FROM metrics m, run WHERE target_date BETWEEN d - 7 AND d ORDER BY target_date DESC"""),
 )
-def metrics_lookback(spark, sf_dir):
-    day = frames.run_day(spark, sf_dir)
-    rows = lookback(_metrics(spark, sf_dir), "target_date", day - timedelta(days=7), day)
+def metrics_lookback(f):
+    day = f.run_day
+    rows = tables.lookback(_metrics(f), "target_date", day - timedelta(days=7), day)
     return rounded(rows, *_ACCURACY)
 
 
@@ -157,8 +159,8 @@ def metrics_lookback(spark, sf_dir):
       SELECT round(max_mape, 6) AS max_mape, coalesce(max_mape > 6.0, false) AS metrics_bad, coalesce(drifted, false) AS drift_bad,
         coalesce(max_mape > 6.0, false) OR coalesce(drifted, false) AS retrain FROM m, p"""),
 )
-def retrain_decision(spark, sf_dir):
-    decision = policy.retrain_decision(_metrics(spark, sf_dir), _drift(spark, sf_dir), frames.run_day(spark, sf_dir))
+def retrain_decision(f):
+    decision = policy.retrain_decision(_metrics(f), _drift(f), f.run_day)
     return rounded(decision, "max_mape")
 
 
@@ -171,8 +173,8 @@ def retrain_decision(spark, sf_dir):
                 )
                 + " FROM pairs GROUP BY series_id"),
 )
-def pinball(spark, sf_dir):
-    losses = evaluation.pinball(_pairs(spark, sf_dir), ["series_id"])
+def pinball(f):
+    losses = evaluation.pinball(_pairs(f), ["series_id"])
     return rounded(losses, "pinball_p10", "pinball_p50", "pinball_p90")
 
 
@@ -182,8 +184,8 @@ def pinball(spark, sf_dir):
       round(avg(2 * abs(load_mw - y_hat_mw) / nullif(abs(load_mw) + abs(y_hat_mw), 0)) * 100, 6) AS smape
       FROM pairs GROUP BY series_id, target_date"""),
 )
-def smape(spark, sf_dir):
-    return rounded(evaluation.smape(_pairs(spark, sf_dir), ["series_id", "target_date"]), "smape")
+def smape(f):
+    return rounded(evaluation.smape(_pairs(f), ["series_id", "target_date"]), "smape")
 
 
 @query(
@@ -197,11 +199,9 @@ def smape(spark, sf_dir):
       JOIN actuals k ON k.series_id = t.series_id AND k.event_ts_utc = t.event_ts_utc - to_days(CAST(t.dt - origin + 1 AS INT))
       GROUP BY ALL"""),
 )
-def rolling_origin(spark, sf_dir):
-    first, last = frames.day_bounds(frames.events(spark, sf_dir), "ts")
-    backtest = evaluation.rolling_origin(
-        frames.demand(spark, sf_dir), F.lit(first + timedelta(days=1)), F.lit(last), step_days=2, horizon_days=3
-    )
+def rolling_origin(f):
+    first, last = F.lit(f.first_day + timedelta(days=1)), F.lit(f.last_day)
+    backtest = evaluation.rolling_origin(f.demand, first, last, step_days=2, horizon_days=3)
     return rounded(backtest, "mae", "rmse")
 
 
@@ -215,16 +215,16 @@ def rolling_origin(spark, sf_dir):
       SELECT is_peak, season, is_working_day, {_ACCURACY_SQL} FROM segmented
       GROUP BY GROUPING SETS ((is_peak), (season), (is_working_day), ())"""),
 )
-def segment_metrics(spark, sf_dir):
-    return rounded(evaluation.segment_metrics(_pairs(spark, sf_dir), frames.calendar(spark, sf_dir)), *_ACCURACY)
+def segment_metrics(f):
+    return rounded(evaluation.segment_metrics(_pairs(f), f.calendar), *_ACCURACY)
 
 
 @query(
     "horizon_metrics",
     with_frames(f"SELECT series_id, horizon_hours, {_ACCURACY_SQL} FROM pairs GROUP BY series_id, horizon_hours"),
 )
-def horizon_metrics(spark, sf_dir):
-    return rounded(evaluation.horizon_metrics(_pairs(spark, sf_dir)), *_ACCURACY)
+def horizon_metrics(f):
+    return rounded(evaluation.horizon_metrics(_pairs(f)), *_ACCURACY)
 
 
 _VOLUME_SQL = """days AS (SELECT CAST(unnest(generate_series(date_trunc('day', min({ts})), date_trunc('day', max({ts})), INTERVAL 1 DAY)) AS DATE) AS dt FROM {table}),
@@ -240,10 +240,9 @@ _VOLUME_SQL = """days AS (SELECT CAST(unnest(generate_series(date_trunc('day', m
     "volume_anomaly",
     "WITH " + _VOLUME_SQL.format(table="events", ts="ts", key="event_type", name="event_type"),
 )
-def volume_anomaly(spark, sf_dir):
-    events = frames.events(spark, sf_dir)
-    first, last = (F.lit(d) for d in frames.day_bounds(events, "ts"))
-    volume = monitoring.daily_volume(events, ["event_type"], "ts", first, last)
+def volume_anomaly(f):
+    first, last = (F.lit(d) for d in day_bounds(f.events, "ts"))
+    volume = monitoring.daily_volume(f.events, ["event_type"], "ts", first, last)
     return rounded(monitoring.volume_anomaly(volume, ["event_type"]), "mean_before", "std_before")
 
 
@@ -251,10 +250,9 @@ def volume_anomaly(spark, sf_dir):
     "volume_anomaly_lineitem",
     "WITH " + _VOLUME_SQL.format(table="lineitem", ts="l_shipdate", key="l_returnflag", name="l_returnflag"),
 )
-def volume_anomaly_lineitem(spark, sf_dir):
-    items = frames.lineitem(spark, sf_dir)
-    first, last = (F.lit(d) for d in frames.day_bounds(items, "l_shipdate"))
-    volume = monitoring.daily_volume(items, ["l_returnflag"], "l_shipdate", first, last)
+def volume_anomaly_lineitem(f):
+    first, last = (F.lit(d) for d in day_bounds(f.lineitem, "l_shipdate"))
+    volume = monitoring.daily_volume(f.lineitem, ["l_returnflag"], "l_shipdate", first, last)
     return rounded(monitoring.volume_anomaly(volume, ["l_returnflag"]), "mean_before", "std_before")
 
 
@@ -265,8 +263,8 @@ def volume_anomaly_lineitem(spark, sf_dir):
       loss AS (SELECT series_id, avg(greatest(0.5 * e, -0.5 * e)) AS p, avg(greatest(0.5 * eb, -0.5 * eb)) AS pb FROM compared GROUP BY series_id)
       SELECT series_id, round(p, 6) AS pinball, round(pb, 6) AS pinball_baseline, round(p / nullif(pb, 0) - 1, 6) AS degradation FROM loss"""),
 )
-def baseline_degradation(spark, sf_dir):
-    compared = evaluation.baseline_degradation(_candidate_pairs(spark, sf_dir), _pairs(spark, sf_dir))
+def baseline_degradation(f):
+    compared = evaluation.baseline_degradation(_candidate_pairs(f), _pairs(f))
     return rounded(compared, "pinball", "pinball_baseline", "degradation")
 
 
@@ -279,8 +277,8 @@ def baseline_degradation(spark, sf_dir):
         sqrt(avg(ec * ec)) < sqrt(avg(e * e)) AS candidate_better
       FROM compared GROUP BY series_id"""),
 )
-def shadow_compare(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir).unionByName(_candidate_pairs(spark, sf_dir))
+def shadow_compare(f):
+    pairs = _pairs(f).unionByName(_candidate_pairs(f))
     compared = evaluation.shadow_compare(pairs, "seasonal_naive", "weekly_naive")
     return rounded(compared, "mae_current", "mae_candidate", "rmse_current", "rmse_candidate")
 
@@ -291,10 +289,10 @@ def shadow_compare(spark, sf_dir):
       SELECT w.series_id, w.target_ts_utc, f.target_ts_utc AS known_ts_utc, f.y_hat_mw, f.target_ts_utc < w.target_ts_utc AS is_fallback
       FROM wanted w ASOF LEFT JOIN forecasts f ON w.series_id = f.series_id AND w.target_ts_utc >= f.target_ts_utc"""),
 )
-def last_known_good(spark, sf_dir):
+def last_known_good(f):
     """Every hour of the next days wants a forecast; hours without load have none of their own."""
-    wanted = frames.demand(spark, sf_dir).select("series_id", evaluation.shifted("event_ts_utc", 86_400).alias("target_ts_utc"))
-    return policy.last_known_good(wanted, frames.forecasts(spark, sf_dir))
+    wanted = f.demand.select("series_id", evaluation.shifted("event_ts_utc", 86_400).alias("target_ts_utc"))
+    return policy.last_known_good(wanted, f.forecasts)
 
 
 @query(
@@ -307,8 +305,8 @@ def last_known_good(spark, sf_dir):
         round(y_hat_mw + q[1], 6) AS y_hat_p10, round(y_hat_mw + q[2], 6) AS y_hat_p50, round(y_hat_mw + q[3], 6) AS y_hat_p90
       FROM r WHERE n_residuals > 0"""),
 )
-def residual_quantiles(spark, sf_dir):
-    intervals = evaluation.residual_intervals(_pairs(spark, sf_dir))
+def residual_quantiles(f):
+    intervals = evaluation.residual_intervals(_pairs(f))
     return rounded(intervals, "y_hat_p10", "y_hat_p50", "y_hat_p90")
 
 
@@ -322,14 +320,14 @@ def residual_quantiles(spark, sf_dir):
           CAST(floor(epoch(CAST(d + 2 AS TIMESTAMP))) - floor(epoch(last_ts)) AS DOUBLE), 120.0 FROM seen, run)
       SELECT measure, subject, day, round(value, 6) AS value, CAST(threshold AS DOUBLE) AS threshold FROM m WHERE value > threshold"""),
 )
-def alert_rows(spark, sf_dir):
-    day = frames.run_day(spark, sf_dir)
+def alert_rows(f):
+    day = f.run_day
     now = F.to_timestamp(F.lit(day + timedelta(days=2)))
-    fresh = monitoring.freshness(frames.events(spark, sf_dir), "event_type", "ts", now, 120)
+    fresh = monitoring.freshness(f.events, "event_type", "ts", now, 120)
     measures = [
-        policy.readings(_metrics(spark, sf_dir), "mape", F.col("series_id"), F.col("target_date"), F.col("mape"), 6.0),
+        policy.readings(_metrics(f), "mape", F.col("series_id"), F.col("target_date"), F.col("mape"), 6.0),
         policy.readings(
-            _drift(spark, sf_dir), F.concat_ws(" ", F.lit("psi"), "feature"), F.col("series_id"), F.col("eval_date"), F.col("psi"), 0.2
+            _drift(f), F.concat_ws(" ", F.lit("psi"), "feature"), F.col("series_id"), F.col("eval_date"), F.col("psi"), 0.2
         ),
         policy.readings(
             fresh, "age_seconds", F.col("source"), F.lit(day + timedelta(days=1)), F.col("age_seconds"), 120
@@ -345,9 +343,9 @@ def alert_rows(spark, sf_dir):
        SELECT source, last_ts, CAST(floor(epoch(t)) - floor(epoch(last_ts)) AS BIGINT) AS age_seconds,
          floor(epoch(t)) - floor(epoch(last_ts)) <= 3600 AS is_fresh FROM seen, now""",
 )
-def freshness(spark, sf_dir):
-    now = F.to_timestamp(F.lit(frames.run_day(spark, sf_dir) + timedelta(days=2)))
-    return monitoring.freshness(frames.events(spark, sf_dir), "event_type", "ts", now, 3600)
+def freshness(f):
+    now = F.to_timestamp(F.lit(f.run_day + timedelta(days=2)))
+    return monitoring.freshness(f.events, "event_type", "ts", now, 3600)
 
 
 @query(
@@ -356,9 +354,9 @@ def freshness(spark, sf_dir):
        SELECT count(*) AS n_success, count(*) >= 7 AS is_green FROM orders, now
        WHERE o_orderstatus = 'F' AND o_orderdate > t - INTERVAL 7 DAY AND o_orderdate <= t""",
 )
-def run_success_7d(spark, sf_dir):
-    now = F.lit(frames.orders(spark, sf_dir).agg(F.max("o_orderdate")).first()[0])
-    return monitoring.successful_runs(frames.runs(spark, sf_dir), now, success="approved")
+def run_success_7d(f):
+    now = F.lit(f.orders.agg(F.max("o_orderdate")).first()[0])
+    return monitoring.successful_runs(f.runs, now, success="approved")
 
 
 _QUARTERS_SQL = """, observed AS (
@@ -377,9 +375,9 @@ _QUARTERS_SQL = """, observed AS (
       SELECT s.series_id, s.ts, s.baseline, round(residual, 6) AS residual, round(baseline + coalesce(residual, 0), 6) AS corrected
       FROM steps s LEFT JOIN residuals r ON r.series_id = s.series_id AND r.ts = s.ts"""),
 )
-def intraday_correction(spark, sf_dir):
-    observed = intraday.rebin(frames.events(spark, sf_dir), "event_type", "ts", "value")
-    return rounded(intraday.correct_baseline(frames.forecasts(spark, sf_dir), observed), "residual", "corrected")
+def intraday_correction(f):
+    observed = intraday.rebin(f.events, "event_type", "ts", "value")
+    return rounded(intraday.correct_baseline(f.forecasts, observed), "residual", "corrected")
 
 
 @query(
@@ -395,8 +393,8 @@ def intraday_correction(spark, sf_dir):
       SELECT series_id, ts AS origin_ts_utc, CAST(step AS INT) AS step, target_ts_utc,
         round(coalesce(baseline + coalesce(residual, 0), value), 6) AS y_hat FROM r WHERE step > 0"""),
 )
-def intraday_cycle(spark, sf_dir):
+def intraday_cycle(f):
     """A cycle at the end of the data: 24 steps for every series."""
-    observed = intraday.rebin(frames.events(spark, sf_dir), "event_type", "ts", "value")
+    observed = intraday.rebin(f.events, "event_type", "ts", "value")
     newest = latest(observed, ["series_id"], "ts")
-    return rounded(intraday.intraday_cycle(newest, frames.forecasts(spark, sf_dir)), "y_hat")
+    return rounded(intraday.intraday_cycle(newest, f.forecasts), "y_hat")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlake import schemas
-from loadlake.operators.grid import fill_grid, grid
+from loadlake.operators.grid import fill_grid, join_grid
+from loadlake.operators.history import SAME_HOUR_FRAMES
 from loadlake.plans.evaluation import seasonal_naive
 from loadlake.plans.gold import day_ahead_features
-from loadlake.plans.silver import with_day_columns
+from loadlake.plans.silver import calendar_days
+from loadlake.sources import tables
 
 ORDERS = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP, o_orderpriority STRING"
 LINEITEM = "l_returnflag STRING, l_shipdate TIMESTAMP"
@@ -28,107 +31,127 @@ WEATHER_SCALES = {
 SITE = ("site0", 52.52, 13.405)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(schemas.EVENTS).parquet(f"{sf_dir}/events.parquet")
-
-
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
-
-
-def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
-
-
 def day_bounds(df: DataFrame, ts: str) -> tuple[date, date]:
     """First and last day of a table, one row to the driver."""
     row = df.agg(F.to_date(F.min(ts)).alias("a"), F.to_date(F.max(ts)).alias("b")).first()
     return row.a, row.b
 
 
-def run_day(spark: SparkSession, sf_dir: str) -> date:
-    """The newest day whose following day has data."""
-    return day_bounds(events(spark, sf_dir), "ts")[1] - timedelta(days=1)
-
-
-def hour_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
-    row = events(spark, sf_dir).agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    return F.date_trunc("hour", F.lit(row.a)), F.date_trunc("hour", F.lit(row.b))
-
-
-def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One series per event type, hourly largest value, gaps filled on the common grid."""
-    points = events(spark, sf_dir).select(
-        F.col("event_type").alias("series_id"),
-        F.date_trunc("hour", "ts").alias("event_ts_utc"),
-        F.col("value").alias("load_mw"),
-    )
-    filled = fill_grid(points, ["series_id"], *hour_bounds(spark, sf_dir))
-    return filled.select("event_ts_utc", F.to_date("event_ts_utc").alias("dt"), "series_id", "load_mw")
-
-
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One location, means over the events of the hour."""
-    measured = [
-        F.round(F.avg(F.col("value") % modulus) + offset, 6).alias(name)
-        for name, (modulus, offset) in WEATHER_SCALES.items()
-    ]
-    hourly = events(spark, sf_dir).groupBy(F.date_trunc("hour", "ts").alias("event_ts_utc")).agg(*measured)
-    name, latitude, longitude = SITE
-    return hourly.select(
-        "event_ts_utc",
-        F.to_date("event_ts_utc").alias("dt"),
-        F.lit(name).alias("location_name"),
-        F.lit(latitude).alias("latitude"),
-        F.lit(longitude).alias("longitude"),
-        *WEATHER_SCALES,
-    )
-
-
-def weather_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The weather on the common grid, NULL in a gap."""
-    hourly = weather(spark, sf_dir)
-    site = hourly.select("location_name").distinct()
-    laid_out = grid(site, *hour_bounds(spark, sf_dir))
-    return laid_out.join(hourly.drop("dt"), ["location_name", "event_ts_utc"], "left").withColumn(
-        "dt", F.to_date("event_ts_utc")
-    )
-
-
-def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, last = day_bounds(events(spark, sf_dir), "ts")
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("dt"))
-    return with_day_columns(days)
-
-
-def gold(spark: SparkSession, sf_dir: str, mode: str = "train", frame: str = "days") -> DataFrame:
-    return day_ahead_features(
-        demand(spark, sf_dir), weather_filled(spark, sf_dir), calendar(spark, sf_dir), mode=mode, frame=frame
-    )
-
-
-def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seasonal_naive(demand(spark, sf_dir))
-
-
-def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same hour of the week before, as a second model."""
-    return seasonal_naive(demand(spark, sf_dir), lag_hours=168, model_name="weekly_naive")
-
-
-def actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return demand(spark, sf_dir).where(F.col("load_mw").isNotNull())
-
-
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run log from orders; status F stands for an approved, successful run."""
-    good = F.col("o_orderstatus") == "F"
-    return orders(spark, sf_dir).select(
-        F.col("o_orderkey").alias("run_id"),
-        F.col("o_totalprice").alias("rmse"),
-        F.when(good, "approved").otherwise("rejected").alias("status"),
-        F.col("o_orderdate").alias("created_at"),
-    )
+class Frames:
+    """The frames of one query.
+
+    The events are read once, into a stored table of one row per (series,
+    hour); everything else derives from that, however often it is used.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    @property
+    def events(self) -> DataFrame:
+        return self.spark.read.schema(schemas.EVENTS).parquet(f"{self.sf_dir}/events.parquet")
+
+    @property
+    def orders(self) -> DataFrame:
+        return self.spark.read.schema(ORDERS).parquet(f"{self.sf_dir}/orders.parquet")
+
+    @property
+    def lineitem(self) -> DataFrame:
+        return self.spark.read.schema(LINEITEM).parquet(f"{self.sf_dir}/lineitem.parquet")
+
+    @property
+    def runs(self) -> DataFrame:
+        """A run log from orders; status F stands for an approved, successful run."""
+        good = F.col("o_orderstatus") == "F"
+        return self.orders.select(
+            F.col("o_orderkey").alias("run_id"),
+            F.col("o_totalprice").alias("rmse"),
+            F.when(good, "approved").otherwise("rejected").alias("status"),
+            F.col("o_orderdate").alias("created_at"),
+        )
+
+    @cached_property
+    def hourly(self) -> DataFrame:
+        """Largest value, sums for the weather and count per (series, hour)."""
+        sums = [F.sum(F.col("value") % modulus).alias(name) for name, (modulus, _) in WEATHER_SCALES.items()]
+        rollup = (
+            self.events
+            .groupBy(F.col("event_type").alias("series_id"), F.date_trunc("hour", "ts").alias("event_ts_utc"))
+            .agg(F.max("value").alias("load_mw"), F.count("value").alias("n"), *sums)
+        )
+        return tables.stored(rollup, "hourly")
+
+    @cached_property
+    def hour_bounds(self) -> tuple[datetime, datetime]:
+        row = self.hourly.agg(F.min("event_ts_utc").alias("a"), F.max("event_ts_utc").alias("b")).first()
+        return row.a, row.b
+
+    @property
+    def first_day(self) -> date:
+        return self.hour_bounds[0].date()
+
+    @property
+    def last_day(self) -> date:
+        return self.hour_bounds[1].date()
+
+    @property
+    def run_day(self) -> date:
+        """The newest day whose following day has data."""
+        return self.last_day - timedelta(days=1)
+
+    @property
+    def demand(self) -> DataFrame:
+        """One series per event type, hourly largest value, gaps filled on the common grid."""
+        filled = fill_grid(self.hourly, ["series_id"], *map(F.lit, self.hour_bounds))
+        return filled.select("event_ts_utc", F.to_date("event_ts_utc").alias("dt"), "series_id", "load_mw")
+
+    @property
+    def weather(self) -> DataFrame:
+        """One location, means over the events of the hour."""
+        measured = [
+            F.round(F.sum(name) / F.sum("n") + offset, 6).alias(name) for name, (_, offset) in WEATHER_SCALES.items()
+        ]
+        name, latitude, longitude = SITE
+        return self.hourly.groupBy("event_ts_utc").agg(*measured).select(
+            "event_ts_utc",
+            F.to_date("event_ts_utc").alias("dt"),
+            F.lit(name).alias("location_name"),
+            F.lit(latitude).alias("latitude"),
+            F.lit(longitude).alias("longitude"),
+            *WEATHER_SCALES,
+        )
+
+    @property
+    def weather_filled(self) -> DataFrame:
+        """The weather on the common grid, NULL in a gap."""
+        site = self.spark.range(1).select(F.lit(SITE[0]).alias("location_name"))
+        rows = self.weather.drop("dt")
+        filled = join_grid(rows, site, ["location_name"], *map(F.lit, self.hour_bounds))
+        return filled.withColumn("dt", F.to_date("event_ts_utc"))
+
+    @property
+    def calendar(self) -> DataFrame:
+        return calendar_days(self.spark, self.first_day, self.last_day)
+
+    def gold(self, mode: str = "train", frame: str = "days", start: date | None = None, end: date | None = None) -> DataFrame:
+        history = None if start is None else max(SAME_HOUR_FRAMES[frame]) + 1
+        return day_ahead_features(
+            self.demand, self.weather_filled, self.calendar, start, end, mode=mode, frame=frame, history_days=history
+        )
+
+    @property
+    def forecasts(self) -> DataFrame:
+        return seasonal_naive(self.demand)
+
+    @property
+    def candidates(self) -> DataFrame:
+        """The same hour of the week before, as a second model."""
+        return seasonal_naive(self.demand, lag_hours=168, model_name="weekly_naive")
+
+    @property
+    def actuals(self) -> DataFrame:
+        return self.demand.where(F.col("load_mw").isNotNull())
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlake import schemas
-from loadlake.catalog import frames
-from loadlake.catalog.frames import rounded, with_frames
+from loadlake.catalog.frames import Frames, rounded, with_frames
 from loadlake.catalog.registry import query
 from loadlake.functions import accuracy
 from loadlake.plans import model, trainset
@@ -26,56 +25,54 @@ _SPLIT_SQL = """, split AS (
 )"""
 
 
-def _splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dates = trainset.split_dates(frames.run_day(spark, sf_dir), HISTORY, VALIDATION, TEST)
-    return trainset.train_val_split(frames.gold(spark, sf_dir), dates)
+def _splits(f: Frames) -> DataFrame:
+    dates = trainset.split_dates(f.run_day, HISTORY, VALIDATION, TEST)
+    return trainset.train_val_split(f.gold(), dates)
+
+
+def _stored_splits(f: Frames) -> DataFrame:
+    """Splits as a trainer finds them: a stored table, not a plan to run once per round."""
+    root = shared_dir(f.spark, "trainsets")
+    trainset.write_trainset(_splits(f), root, f.run_day)
+    return tables.read_days(f.spark, root)
 
 
 @query(
     "train_val_split",
     with_frames(f"{_SPLIT_SQL} SELECT split, series_id, event_ts_utc, dt, load_mw, target_load_mw FROM split"),
 )
-def train_val_split(spark, sf_dir):
+def train_val_split(f):
     """Stored by run date and split, then read back."""
-    root = shared_dir(spark, "trainsets")
-    trainset.write_trainset(_splits(spark, sf_dir), root, frames.run_day(spark, sf_dir))
-    return spark.read.parquet(root).select("split", "series_id", "event_ts_utc", "dt", "load_mw", "target_load_mw")
+    return _stored_splits(f).select("split", "series_id", "event_ts_utc", "dt", "load_mw", "target_load_mw")
 
 
 @query(
     "split_counts",
     with_frames(f"{_SPLIT_SQL} SELECT split, count(*) AS n_rows, count(DISTINCT dt) AS n_days FROM split GROUP BY split"),
 )
-def split_counts(spark, sf_dir):
-    return trainset.split_counts(_splits(spark, sf_dir))
-
-
-def _stored_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Splits as a trainer finds them: a stored table, not a plan to run once per round."""
-    root = shared_dir(spark, "trainsets")
-    trainset.write_trainset(_splits(spark, sf_dir), root, frames.run_day(spark, sf_dir))
-    return tables.read_days(spark, root)
+def split_counts(f):
+    return trainset.split_counts(_splits(f))
 
 
 @query("train_gbt")
-def train_gbt(spark, sf_dir):
+def train_gbt(f):
     """Metrics of the test days, which neither fit nor early stopping saw, beside the 24 h naive."""
-    splits = _stored_splits(spark, sf_dir)
+    splits = _stored_splits(f)
     fitted = model.train_gbt(splits, max_iter=ROUNDS)
     scored = model.score(fitted, splits.where(F.col("split") == "test"))
     metrics = model.evaluate(scored)
     y, naive = F.col(schemas.LABEL), F.col("load_mw")
-    run = model.run_record("gbt", frames.run_day(spark, sf_dir), model.model_features(fitted), metrics)
+    run = model.run_record("gbt", f.run_day, model.model_features(fitted), metrics)
     baseline = scored.agg(accuracy.rmse(y, naive).alias("naive_rmse")).withColumn("run_id", F.lit("gbt"))
     return run.join(baseline, "run_id")
 
 
 @query("batch_forecast")
-def batch_forecast(spark, sf_dir):
+def batch_forecast(f):
     """Forecasts of the day after the run day for every series."""
-    day = frames.run_day(spark, sf_dir)
-    fitted = model.train_gbt(_stored_splits(spark, sf_dir), max_iter=ROUNDS)
-    serve = frames.gold(spark, sf_dir, mode="serve").where(F.col("dt") == F.lit(day))
+    day = f.run_day
+    fitted = model.train_gbt(_stored_splits(f), max_iter=ROUNDS)
+    serve = f.gold(mode="serve").where(F.col("dt") == F.lit(day))
     created = F.to_timestamp(F.lit(day + timedelta(days=1)))
     return model.batch_forecast(model.score(fitted, serve), model.MODEL_NAME, "gbt", created)
 
@@ -85,8 +82,8 @@ def batch_forecast(spark, sf_dir):
     """SELECT o_orderkey AS run_id, o_totalprice AS rmse, CASE WHEN o_orderstatus = 'F' THEN 'approved' ELSE 'rejected' END AS status,
          o_orderdate AS created_at FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 1""",
 )
-def best_run(spark, sf_dir):
-    return model.best_run(frames.runs(spark, sf_dir))
+def best_run(f):
+    return model.best_run(f.runs)
 
 
 @query(
@@ -94,8 +91,8 @@ def best_run(spark, sf_dir):
     """SELECT o_orderkey AS run_id, o_orderdate AS created_at FROM orders WHERE o_orderstatus = 'F'
        ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1""",
 )
-def last_approved_run(spark, sf_dir):
-    return model.last_approved_run(frames.runs(spark, sf_dir))
+def last_approved_run(f):
+    return model.last_approved_run(f.runs)
 
 
 @query(
@@ -103,9 +100,9 @@ def last_approved_run(spark, sf_dir):
     with_frames("""SELECT series_id, event_ts_utc, round(0.25 * load_mw + 0.5 * load_lag_24h + 1.5 * hour, 6) AS y_hat_mw
       FROM gold_train WHERE load_mw IS NOT NULL"""),
 )
-def foreign_model(spark, sf_dir):
+def foreign_model(f):
     """A model from outside Spark, called per Arrow batch; here a linear one."""
-    gold = frames.gold(spark, sf_dir).where(F.col("load_mw").isNotNull())
+    gold = f.gold().where(F.col("load_mw").isNotNull())
     rows = gold.select("series_id", "event_ts_utc", "load_mw", "load_lag_24h", "hour")
 
     def predict(x):

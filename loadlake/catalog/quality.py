@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import timedelta
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlake import schemas
-from loadlake.catalog import frames
-from loadlake.catalog.frames import with_frames
+from loadlake.catalog.frames import Frames, with_frames
 from loadlake.catalog.registry import query
 from loadlake.operators import quality
 
 
-def broken_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+def broken_demand(f: Frames) -> DataFrame:
     """Demand with, every month, a doubled hour (2nd), a lost hour (3rd), a negative load (4th) and a wrong day (5th)."""
     day, hour = F.dayofmonth("event_ts_utc"), F.hour("event_ts_utc")
-    demand = frames.demand(spark, sf_dir).select(
+    demand = f.demand.select(
         "event_ts_utc",
         F.when((day == 5) & (hour == 3), F.date_add("dt", 1)).otherwise(F.col("dt")).alias("dt"),
         F.lit("events").alias("source"),
@@ -75,22 +76,17 @@ _DEMAND_SQL = (
 )
 
 
-def _expected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _expected_days(f: Frames) -> DataFrame:
     """Every (day, region) of the data and of the day after it, for which nothing came."""
-    days = frames.demand(spark, sf_dir).groupBy(F.col("series_id").alias("region")).agg(
-        F.min("dt").alias("a"), F.max("dt").alias("b")
-    )
-    return days.select(F.explode(F.sequence("a", F.date_add("b", 1))).alias("dt"), "region")
-
-
-def _demand_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.check_silver_demand(broken_demand(spark, sf_dir), expected=_expected_days(spark, sf_dir))
+    regions = f.hourly.select(F.col("series_id").alias("region")).distinct()
+    days = F.sequence(F.lit(f.first_day), F.lit(f.last_day + timedelta(days=1)))
+    return regions.select(F.explode(days).alias("dt"), "region")
 
 
 @query("quality_demand", with_frames(_DEMAND_SQL))
-def quality_demand(spark, sf_dir):
+def quality_demand(f):
     """One column is missing as well."""
-    return _demand_checks(spark, sf_dir)
+    return quality.check_silver_demand(broken_demand(f), expected=_expected_days(f))
 
 
 @query(
@@ -106,10 +102,10 @@ def quality_demand(spark, sf_dir):
       FROM c GROUP BY dt"""
     ),
 )
-def quality_verdicts(spark, sf_dir):
+def quality_verdicts(f):
     """Lenient gate over the same demand with all its columns."""
-    whole = broken_demand(spark, sf_dir).withColumn("resolution", F.lit("hour"))
-    checks = quality.check_silver_demand(whole, expected=_expected_days(spark, sf_dir))
+    whole = broken_demand(f).withColumn("resolution", F.lit("hour"))
+    checks = quality.check_silver_demand(whole, expected=_expected_days(f))
     return quality.day_verdicts(checks.where(F.col("check") != "required_columns"), strict=False)
 
 
@@ -130,10 +126,10 @@ _WEATHER_CHECKS = [
         + "\nUNION ALL SELECT dt, location_name, 'required_columns', 'hard', CAST(0 AS BIGINT), true FROM f"
     ),
 )
-def quality_weather(spark, sf_dir):
+def quality_weather(f):
     """The first three hours of each day have no values."""
     blank = F.hour("event_ts_utc") < 3
-    faulty = frames.weather(spark, sf_dir).withColumns(
+    faulty = f.weather.withColumns(
         {v: F.when(~blank, F.col(v)) for v in schemas.WEATHER_VARIABLES}
     )
     return quality.check_silver_weather(faulty)
@@ -154,9 +150,9 @@ _CALENDAR_CHECKS = [
         + "\nUNION ALL SELECT dt, 'required_columns', 'hard', CAST(0 AS BIGINT), true FROM f"
     ),
 )
-def quality_calendar(spark, sf_dir):
+def quality_calendar(f):
     """A month's 2nd lacks its season and its 3rd comes twice."""
-    calendar = frames.calendar(spark, sf_dir)
+    calendar = f.calendar
     faulty = calendar.withColumn("season", F.when(F.col("day_of_month") != 2, F.col("season")))
     return quality.check_silver_calendar(faulty.unionByName(calendar.where(F.col("day_of_month") == 3)))
 
@@ -181,6 +177,6 @@ _GOLD_CHECKS = [
         + "\nUNION ALL SELECT dt, series_id, 'critical_columns', 'soft', CAST(0 AS BIGINT), true FROM f"
     ),
 )
-def quality_gold(spark, sf_dir):
+def quality_gold(f):
     """Gold with the rows that have no label yet."""
-    return quality.check_gold(frames.gold(spark, sf_dir, mode="serve"))
+    return quality.check_gold(f.gold(mode="serve"))

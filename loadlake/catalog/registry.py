@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadlake.catalog.frames import Frames
 from loadlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
+Build = Callable[[Frames], DataFrame]
 
 _queries: dict[str, Query] = {}
 _oracle: dict[str, str] = {}
@@ -27,13 +29,13 @@ def naive_times(df: DataFrame) -> DataFrame:
     )
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     """Register a query under ``name``, with its oracle if SQL can express it."""
 
-    def register(build: Query) -> Query:
+    def register(build: Build) -> Build:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return naive_times(build(use_utc(spark), sf_dir))
+            return naive_times(build(Frames(use_utc(spark), sf_dir)))
 
         _queries[name] = run
         if sql is not None:

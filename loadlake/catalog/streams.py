@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from loadlake.catalog.frames import rounded
+from loadlake.catalog.frames import Frames, rounded
 from loadlake.catalog.registry import query
 from loadlake.session import shared_dir
 from loadlake.sources import streams
 from loadlake.streaming import intraday
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(f: Frames) -> DataFrame:
     """The pattern matches a single file, which a stream takes no plain path of, and a folder of files."""
-    return streams.replay_files(spark, f"{sf_dir}/events.parque[t]")
+    return streams.replay_files(f.spark, f"{f.sf_dir}/events.parque[t]")
 
 
-def _finished(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _finished(f: Frames, df: DataFrame, name: str) -> DataFrame:
     """Append the stream to a table and read it back."""
-    root = shared_dir(spark, name)
+    root = shared_dir(f.spark, name)
     intraday.append_to(df, f"{root}/table", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{root}/table")
+    return f.spark.read.schema(df.schema).parquet(f"{root}/table")
 
 
-def _materialized(spark: SparkSession, df: DataFrame, name: str, ts: str, mode: str) -> DataFrame:
+def _materialized(f: Frames, df: DataFrame, name: str, ts: str, mode: str) -> DataFrame:
     """Keep a keyed table current with the stream and read it back."""
-    root = shared_dir(spark, name)
+    root = shared_dir(f.spark, name)
     intraday.materialize(df, f"{root}/table", f"{root}/checkpoint", ts, mode).awaitTermination()
-    return spark.read.parquet(f"{root}/table").drop("bucket")
+    return f.spark.read.parquet(f"{root}/table").drop("bucket")
 
 
 _CLOSED_SQL = """WITH w AS (
@@ -41,18 +41,18 @@ _CLOSED_SQL = """WITH w AS (
 
 
 @query("stream_tumbling", f"{_CLOSED_SQL} SELECT * FROM closed")
-def stream_tumbling(spark, sf_dir):
+def stream_tumbling(f):
     """Windows the watermark has passed."""
-    windows = intraday.tumbling_features(_events(spark, sf_dir), "event_type", "ts", "value")
-    return rounded(_finished(spark, windows, "tumbling"), "value_mean")
+    windows = intraday.tumbling_features(_events(f), "event_type", "ts", "value")
+    return rounded(_finished(f, windows, "tumbling"), "value_mean")
 
 
 @query("stream_dedup", "SELECT event_id, ts, event_type, value FROM events")
-def stream_dedup(spark, sf_dir):
+def stream_dedup(f):
     """Every event arrives twice and is kept once."""
-    twice = _events(spark, sf_dir).unionByName(_events(spark, sf_dir))
+    twice = _events(f).unionByName(_events(f))
     once = intraday.deduplicated(twice, "event_id", "ts").select("event_id", "ts", "event_type", "value")
-    return _finished(spark, once, "dedup")
+    return _finished(f, once, "dedup")
 
 
 @query(
@@ -60,16 +60,16 @@ def stream_dedup(spark, sf_dir):
     """SELECT event_type AS series_id, max(ts) AS last_ts, arg_max(value, ts) AS last_value, count(*) AS n_events,
          round(avg(value), 6) AS value_mean, round(stddev_samp(value), 6) AS value_std FROM events GROUP BY event_type""",
 )
-def stream_stateful(spark, sf_dir):
-    running = intraday.running_features(_events(spark, sf_dir), "event_type", "ts", "value")
-    return rounded(_materialized(spark, running, "running", "last_ts", "update"), "value_mean", "value_std")
+def stream_stateful(f):
+    running = intraday.running_features(_events(f), "event_type", "ts", "value")
+    return rounded(_materialized(f, running, "running", "last_ts", "update"), "value_mean", "value_std")
 
 
 @query(
     "stream_latest",
     f"""{_CLOSED_SQL} SELECT * FROM closed QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY window_end DESC) = 1""",
 )
-def stream_latest(spark, sf_dir):
+def stream_latest(f):
     """Newest closed window per series in the online table."""
-    windows = intraday.tumbling_features(_events(spark, sf_dir), "event_type", "ts", "value")
-    return rounded(_materialized(spark, windows, "online", "window_end", "append"), "value_mean")
+    windows = intraday.tumbling_features(_events(f), "event_type", "ts", "value")
+    return rounded(_materialized(f, windows, "online", "window_end", "append"), "value_mean")

@@ -20,6 +20,7 @@ def asof_join(
     ttl_seconds: int | None = None,
     strict: bool = False,
     block_seconds: int = DAY,
+    spread: int = 1,
 ) -> DataFrame:
     """Each row of ``left`` with the newest ``features`` row of its key at or before its time.
 
@@ -27,39 +28,43 @@ def asof_join(
     older than ``ttl_seconds`` is not used. The feature columns, ``feature_ts``
     among them, are NULL without a match.
 
-    Keys are cut into time blocks. A block starts from the newest feature row
-    before it, found over one summary row per (key, block), so neither side is
-    copied and a key with most of the rows spreads over its blocks.
+    Keys are cut into time blocks, and a block starts from the newest feature
+    row before it, found over one summary row per (key, block). The rows of
+    ``left`` in a block do not depend on each other, so they may be spread over
+    ``spread`` parts, each with the block's features. Set it where ``left`` is
+    much larger than ``features``; then no key or moment fills one task.
     """
     values = [c for c in features.columns if c not in keys]
     packed = features.where(F.col(feature_ts).isNotNull()).select(
         *keys, block_of(F.col(feature_ts), block_seconds).alias(BLOCK), F.struct(*values).alias("_feature")
     )
-
     newest = packed.groupBy(*keys, BLOCK).agg(F.max_by("_feature", F.col(f"_feature.{feature_ts}")).alias("_feature"))
-    wanted = left.select(*keys, block_of(F.col(left_ts), block_seconds).alias(BLOCK)).distinct()
-    summary = newest.unionByName(wanted, allowMissingColumns=True).groupBy(*keys, BLOCK).agg(
-        F.first("_feature", ignorenulls=True).alias("_feature"), F.bool_or(F.col("_feature").isNull()).alias("_wanted")
-    )
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        summary.withColumn("_feature", F.last("_feature", ignorenulls=True).over(earlier))
-        .where(F.col("_wanted") & F.col("_feature").isNotNull())
-        .drop("_wanted")
-    )
+    if ttl_seconds is None:
+        asked_blocks = left.select(*keys, block_of(F.col(left_ts), block_seconds).alias(BLOCK)).distinct()
+        carried = _carried_to(newest, asked_blocks, keys)
+    else:
+        carried = _carried_ahead(newest, keys, -(-ttl_seconds // block_seconds))
 
+    parts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    part = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(spread)).cast("int")
     sources = packed.unionByName(carried).select(
-        *keys, BLOCK, "_feature", F.col(f"_feature.{feature_ts}").alias("_at"), F.lit(1 if strict else 0).alias("_kind")
+        *keys,
+        BLOCK,
+        parts.alias("_part"),
+        "_feature",
+        F.col(f"_feature.{feature_ts}").alias("_at"),
+        F.lit(1 if strict else 0).alias("_kind"),
     )
     asked = left.select(
         *keys,
         block_of(F.col(left_ts), block_seconds).alias(BLOCK),
+        part.alias("_part"),
         F.struct(*[c for c in left.columns if c not in keys]).alias("_left"),
         F.col(left_ts).alias("_at"),
         F.lit(0 if strict else 1).alias("_kind"),
     )
     so_far = (
-        Window.partitionBy(*keys, BLOCK)
+        Window.partitionBy(*keys, BLOCK, "_part")
         .orderBy("_at", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -74,6 +79,27 @@ def asof_join(
     return matched.select(*keys, "_left.*", "_feature.*")
 
 
+def _carried_to(newest: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each of ``blocks``, the feature row newest before it."""
+    summary = newest.unionByName(blocks, allowMissingColumns=True).groupBy(*keys, BLOCK).agg(
+        F.first("_feature", ignorenulls=True).alias("_feature"), F.bool_or(F.col("_feature").isNull()).alias("_wanted")
+    )
+    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        summary.withColumn("_feature", F.last("_feature", ignorenulls=True).over(earlier))
+        .where(F.col("_wanted") & F.col("_feature").isNotNull())
+        .drop("_wanted")
+    )
+
+
+def _carried_ahead(newest: DataFrame, keys: Sequence[str], reach: int) -> DataFrame:
+    """Each block's newest feature row in the blocks after it, up to the next one with features or ``reach`` blocks."""
+    following = F.lead(BLOCK).over(Window.partitionBy(*keys).orderBy(BLOCK))
+    last = F.least(following, F.col(BLOCK) + reach)
+    ahead = newest.withColumn("_last", last)
+    return ahead.select(*keys, F.explode(F.sequence(F.col(BLOCK) + 1, F.col("_last"))).alias(BLOCK), "_feature")
+
+
 def latest(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Newest row per key, reduced before the shuffle."""
     values = [c for c in df.columns if c not in keys]

@@ -27,14 +27,20 @@ def psi(
 ) -> DataFrame:
     """Index per key with the sizes of both samples; keys lacking one sample are left out.
 
-    ``pooled`` is for keys whose baseline may exceed one task. The counts per
-    bin are reduced before the shuffle either way.
+    ``pooled`` is for a few keys, bounded by the query, whose samples may exceed
+    one task: the cut points are broadcast and no key is gathered. The counts
+    per bin are reduced before the shuffle either way. ``samples`` is read more
+    than once.
     """
     rows = samples.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
         *keys, F.col(value).alias("_v"), F.col(is_recent).alias("_recent")
     )
     probs = [i / bins for i in range(bins + 1)]
-    cut_points = (quantiles if pooled else small_group_quantiles)(rows.where(~F.col("_recent")), keys, "_v", probs)
+    baseline = rows.where(~F.col("_recent"))
+    if pooled:
+        cut_points = F.broadcast(quantiles(baseline, keys, "_v", probs, few=True))
+    else:
+        cut_points = small_group_quantiles(baseline, keys, "_v", probs)
     counts = (
         rows.join(cut_points, list(keys))
         .groupBy(*keys, bin_of(F.col("_v"), F.col("quantiles"), bins).alias("_bin"))

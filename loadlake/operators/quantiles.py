@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 # percentile_approx keeps ranks within n / ACCURACY. A bracket of SLACK on
 # either side holds both order statistics once a group has SMALL rows; below
 # that the whole group is the bracket.
-ACCURACY = 10_000
+ACCURACY = 50_000
 SLACK = 4 / ACCURACY
-SMALL = 20_000
+SMALL = 100_000
 
 
 def small_group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
@@ -20,9 +20,13 @@ def small_group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs:
     return df.groupBy(*keys).agg(F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles"))
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], few: bool = False) -> DataFrame:
     """For groups of any size: ``keys`` and the array ``quantiles``.
 
+    ``few`` says that the query itself bounds the number of groups, as a list
+    of features does; the brackets are then broadcast and the rows of a group
+    stay where they are. ``df`` is read three times.
+
     A sketch brackets the two order statistics each probability needs. Then
     the rows below each bracket are counted and only the rows inside it are
     ranked, one bracket per task, with equal values counted once before the
@@ -49,9 +53,10 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
         F.array(*[end("_low", "_min", i, p <= SLACK) for i, p in enumerate(probs)]).alias("_low"),
         F.array(*[end("_high", "_max", i, p >= 1 - SLACK) for i, p in enumerate(probs)]).alias("_high"),
     )
+    side = F.broadcast if few else (lambda small: small)
     below = [F.count_if(F.col("_v") < F.get("_low", F.lit(i))) for i in range(len(probs))]
     counted = (
-        rows.join(bounds, list(keys))
+        rows.join(side(bounds), list(keys))
         .groupBy(*keys, "_low", "_high")
         .agg(F.count(F.lit(1)).alias("_n"), F.array(*below).alias("_below"))
     )
@@ -74,7 +79,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
     per_group = brackets.groupBy(*keys).agg(
         F.collect_list(F.struct("_probe", "_p", "_n", "_lo", "_hi", "_before")).alias("_brackets")
     )
-    inside = rows.join(per_group, list(keys)).select(
+    inside = rows.join(side(per_group), list(keys)).select(
         *keys,
         "_v",
         F.inline(F.filter("_brackets", lambda b: F.col("_v").between(b["_lo"], b["_hi"]))),

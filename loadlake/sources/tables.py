@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlake.functions.timefns import as_date
+from loadlake.session import shared_dir
 
 
 class EmptyTableError(RuntimeError):
@@ -48,24 +49,33 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def write_days(df: DataFrame, root: str, day: str = "dt", files_per_day: int = 1) -> None:
-    """Replace the days present in ``df``; other days stay. Each day gets ``files_per_day`` files.
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to a fresh shared table and read back, for frames that several branches use."""
+    root = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(root)
+    return df.sparkSession.read.schema(df.schema).parquet(root)
 
-    Rows go to their day's files by hash, so with more than one file per day a
-    large day is written by several tasks.
+
+def _write(df: DataFrame, root: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions present in ``df``; others stay.
+
+    Rows are brought together by partition first. Small partitions become one
+    file; a large one is split over several tasks.
     """
-    spread = df if files_per_day == 1 else df.withColumn("_file", F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day)))
-    layout = [day] if files_per_day == 1 else [day, "_file"]
     (
-        spread.repartition(*[F.col(c) for c in layout])
-        .drop("_file")
+        df.hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
+        .partitionBy(*partition_by)
         .parquet(root)
     )
 
 
+def write_days(df: DataFrame, root: str, day: str = "dt") -> None:
+    """Replace the days present in ``df``; other days stay."""
+    _write(df, root, [day])
+
+
 def upsert(df: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
     """Write rows by key: a row of ``df`` replaces the stored row of the same key.
 
@@ -79,12 +89,7 @@ def upsert(df: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence
         touched = df.select(*partition_by).distinct()
         kept = stored.join(touched, list(partition_by), "left_semi").join(df.select(*keys), list(keys), "left_anti")
         merged = df.unionByName(kept)
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(root)
-    )
+    _write(merged, root, partition_by)
 
 
 def append(df: DataFrame, root: str, partition_by: Sequence[str]) -> None:
