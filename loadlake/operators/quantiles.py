@@ -62,24 +62,19 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
     )
     brackets = counted.select(
         *keys,
-        "_n",
-        F.inline(
-            F.array(*[
-                F.struct(
-                    F.lit(i).alias("_probe"),
-                    F.lit(float(p)).alias("_p"),
-                    F.get("_low", F.lit(i)).alias("_lo"),
-                    F.get("_high", F.lit(i)).alias("_hi"),
-                    F.get("_below", F.lit(i)).alias("_before"),
-                )
-                for i, p in enumerate(probs)
-            ])
-        ),
+        F.array(*[
+            F.struct(
+                F.lit(i).alias("_probe"),
+                F.lit(float(p)).alias("_p"),
+                "_n",
+                F.get("_low", F.lit(i)).alias("_lo"),
+                F.get("_high", F.lit(i)).alias("_hi"),
+                F.get("_below", F.lit(i)).alias("_before"),
+            )
+            for i, p in enumerate(probs)
+        ]).alias("_brackets"),
     )
-    per_group = brackets.groupBy(*keys).agg(
-        F.collect_list(F.struct("_probe", "_p", "_n", "_lo", "_hi", "_before")).alias("_brackets")
-    )
-    inside = rows.join(side(per_group), list(keys)).select(
+    inside = rows.join(side(brackets), list(keys)).select(
         *keys,
         "_v",
         F.inline(F.filter("_brackets", lambda b: F.col("_v").between(b["_lo"], b["_hi"]))),
