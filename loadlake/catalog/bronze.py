@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loadlake import schemas
 from loadlake.catalog.frames import Frames, day_bounds, with_frames
 from loadlake.catalog.registry import query
+from loadlake.functions import timefns
 from loadlake.functions.timefns import hours_in_local_day, local_day, to_millis
 from loadlake.operators.grid import hourly_rollup
 from loadlake.plans import silver
@@ -85,19 +86,52 @@ def bronze_points_fallback(f):
 )
 def chunk_pick(f):
     """Weekly chunks that start on Thursdays, listed in both shapes of index file."""
-    times = f.events.select(F.col("event_type").alias("series_id"), "ts")
-    start = F.unix_millis(F.date_trunc("week", "ts") + F.expr("INTERVAL 3 DAYS"))
-    starts = times.select("series_id", start.alias("c")).distinct()
+    days = f.events.select(F.col("event_type").alias("series_id"), F.to_date("ts").alias("dt")).distinct()
+    days = tables.stored(days, "days")
+    start = F.unix_millis(F.date_trunc("week", "dt") + F.expr("INTERVAL 3 DAYS"))
+    starts = days.select("series_id", start.alias("c")).distinct()
     listed = F.to_json(F.array_sort(F.collect_list("c")))
     text = F.when(F.col("series_id").isin("click", "view"), listed).otherwise(
         F.concat(F.lit('{"timestamps": '), listed, F.lit("}"))
     )
     indexes = starts.groupBy("series_id").agg(text.alias("text"))
     index = bronze.index_points(indexes, "text", ["series_id"])
-    days = times.select("series_id", F.to_date("ts").alias("dt")).distinct()
     return bronze.pick_chunks(index, days, ["series_id"])
 
 
+@query(
+    "landed_chunks",
+    with_frames("""SELECT series_id, event_ts_utc, dt, load_mw FROM demand"""),
+)
+def landed_chunks(f):
+    """The whole landing of demand: weekly chunks, the chunk of each day, its envelope, and the points read back."""
+    week = F.date_trunc("week", "event_ts_utc")
+    pair = F.concat(
+        F.lit("["), F.unix_millis("event_ts_utc"), F.lit(","), F.coalesce(F.col("load_mw").cast("string"), F.lit("null")), F.lit("]")
+    )
+    chunks = (
+        f.demand.groupBy("series_id", F.unix_millis(week).alias("chunk_ts_ms"))
+        .agg(F.array_join(F.array_sort(F.collect_list(pair)), ",").alias("pairs"))
+        .select("series_id", "chunk_ts_ms", F.concat(F.lit('{"series": ['), "pairs", F.lit("]}")).alias("text"))
+    )
+    chunks = tables.stored(chunks, "chunks")
+    days = f.demand.select("series_id", "dt").distinct()
+    picked = bronze.pick_chunks(chunks.select("series_id", "chunk_ts_ms"), days, ["series_id"])
+    named = picked.join(chunks, ["series_id", "chunk_ts_ms"]).select(
+        F.lit("events").alias("source"),
+        F.lit("410").alias("filter_id"),
+        F.col("series_id").alias("region"),
+        F.lit("hour").alias("resolution"),
+        "chunk_ts_ms",
+        "dt",
+        "text",
+    )
+    root = shared_dir(f.spark, "bronze-chunks")
+    bronze.write_documents(bronze.chunk_envelopes(named, "text", "dt", F.lit("2024-02-01").cast("timestamp")), root)
+    points = bronze.demand_points(bronze.read_demand(f.spark, root))
+    return points.select(F.col("region").alias("series_id"), "event_ts_utc", "dt", "load_mw")
+
+
 _SHORT_PRESSURE = """CASE WHEN day(dt) = 15 AND event_ts_utc = max(event_ts_utc) OVER (PARTITION BY dt) THEN NULL
        ELSE surface_pressure END AS surface_pressure"""
 
@@ -239,8 +273,7 @@ def actuals_backfill(f):
        WHERE epoch_us(ts) >= epoch_us(CAST(d AS TIMESTAMP)) AND epoch_us(ts) < epoch_us(CAST(d + 1 AS TIMESTAMP))""",
 )
 def day_slice_half_open(f):
-    day = F.lit(day_bounds(f.events, "ts")[1] - timedelta(days=1))
-    start, end = F.to_timestamp(day), F.to_timestamp(day) + F.expr("INTERVAL 1 DAY")
+    start, end = timefns.day_bounds(F.lit(day_bounds(f.events, "ts")[1] - timedelta(days=1)))
     return f.events.where((F.col("ts") >= start) & (F.col("ts") < end)).select("event_id", to_millis(F.col("ts")).alias("ts_ms"), "value")
 
 

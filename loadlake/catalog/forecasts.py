@@ -236,14 +236,18 @@ _VOLUME_SQL = """days AS (SELECT CAST(unnest(generate_series(date_trunc('day', m
     coalesce(abs(n_rows - m) > 3 * s, false) AS is_anomaly FROM w"""
 
 
+def _volume_anomaly(rows: DataFrame, key: str, ts: str) -> DataFrame:
+    counts = tables.stored(monitoring.daily_volume(rows, [key], ts), "volume")
+    volume = monitoring.fill_days(counts, [key], *map(F.lit, day_bounds(counts, "dt")))
+    return rounded(monitoring.volume_anomaly(volume, [key]), "mean_before", "std_before")
+
+
 @query(
     "volume_anomaly",
     "WITH " + _VOLUME_SQL.format(table="events", ts="ts", key="event_type", name="event_type"),
 )
 def volume_anomaly(f):
-    first, last = (F.lit(d) for d in day_bounds(f.events, "ts"))
-    volume = monitoring.daily_volume(f.events, ["event_type"], "ts", first, last)
-    return rounded(monitoring.volume_anomaly(volume, ["event_type"]), "mean_before", "std_before")
+    return _volume_anomaly(f.events, "event_type", "ts")
 
 
 @query(
@@ -251,9 +255,7 @@ def volume_anomaly(f):
     "WITH " + _VOLUME_SQL.format(table="lineitem", ts="l_shipdate", key="l_returnflag", name="l_returnflag"),
 )
 def volume_anomaly_lineitem(f):
-    first, last = (F.lit(d) for d in day_bounds(f.lineitem, "l_shipdate"))
-    volume = monitoring.daily_volume(f.lineitem, ["l_returnflag"], "l_shipdate", first, last)
-    return rounded(monitoring.volume_anomaly(volume, ["l_returnflag"]), "mean_before", "std_before")
+    return _volume_anomaly(f.lineitem, "l_returnflag", "l_shipdate")
 
 
 @query(

@@ -7,10 +7,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlake import schemas
 from loadlake.catalog.frames import Frames, rounded, with_frames
 from loadlake.catalog.registry import query
-from loadlake.functions import accuracy
 from loadlake.plans import model, trainset
 from loadlake.session import shared_dir
 from loadlake.sources import tables
@@ -60,11 +58,8 @@ def train_gbt(f):
     splits = _stored_splits(f)
     fitted = model.train_gbt(splits, max_iter=ROUNDS)
     scored = model.score(fitted, splits.where(F.col("split") == "test"))
-    metrics = model.evaluate(scored)
-    y, naive = F.col(schemas.LABEL), F.col("load_mw")
-    run = model.run_record("gbt", f.run_day, model.model_features(fitted), metrics)
-    baseline = scored.agg(accuracy.rmse(y, naive).alias("naive_rmse")).withColumn("run_id", F.lit("gbt"))
-    return run.join(baseline, "run_id")
+    metrics = model.evaluate(scored, baseline="load_mw")
+    return model.run_record("gbt", f.run_day, model.model_features(fitted), metrics)
 
 
 @query("batch_forecast")

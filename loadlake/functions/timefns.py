@@ -16,6 +16,10 @@ def as_date(value: date | str | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
 
 
+def iso_date(value: date | str) -> date:
+    return value if isinstance(value, date) else date.fromisoformat(value)
+
+
 def parse_timestamp(text: Column) -> Column:
     """String to timestamp; text that is no timestamp gives NULL."""
     return F.try_to_timestamp(text)
@@ -37,7 +41,7 @@ def day_bounds(day: Column) -> tuple[Column, Column]:
 
 def day_start_millis(day: date | str) -> int:
     """Epoch millis of the UTC start of a day, for a filter on a stored long."""
-    day = date.fromisoformat(day) if isinstance(day, str) else day
+    day = iso_date(day)
     return int(datetime(day.year, day.month, day.day, tzinfo=timezone.utc).timestamp() * 1000)
 
 

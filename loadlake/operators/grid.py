@@ -18,12 +18,11 @@ def hourly_rollup(df: DataFrame, keys: Sequence[str], ts: str = "event_ts_utc",
     return df.groupBy(*keys, F.date_trunc("hour", F.col(ts)).alias("event_ts_utc")).agg(F.max(value).alias("load_mw"))
 
 
-def day_span(start: date | str | Column, end: date | str | Column) -> tuple[Column, Column]:
-    """First and last hour of the closed day range."""
-    return (
-        F.to_timestamp(as_date(start)),
-        F.to_timestamp(F.date_add(as_date(end), 1)) - F.expr(STEP),
-    )
+def day_span(start: date | str | Column, end: date | str | Column, zone: str = "UTC") -> tuple[Column, Column]:
+    """First and last hour, in UTC, of the closed range of days of ``zone``."""
+    first = F.to_utc_timestamp(F.to_timestamp(as_date(start)), zone)
+    after = F.to_utc_timestamp(F.to_timestamp(F.date_add(as_date(end), 1)), zone)
+    return first, after - F.expr(STEP)
 
 
 def grid(series: DataFrame, first: Column, last: Column, ts: str = "event_ts_utc", step: str = STEP) -> DataFrame:
@@ -48,10 +47,9 @@ def fill_grid(
     aggregation and one shuffle, and no join is needed. ``series`` names the
     series to lay out; without it, every series seen in ``points`` is.
     """
-    points = points.select(*keys, ts, value)
-    known = points.select(*keys).distinct() if series is None else series.select(*keys)
+    inside = points.select(*keys, ts, value).where(F.col(ts).between(first, last))
+    known = inside.select(*keys).distinct() if series is None else series.select(*keys)
     empty = grid(known, first, last, ts, step).withColumn(value, F.lit(None).cast(points.schema[value].dataType))
-    inside = points.where(F.col(ts).between(first, last))
     return inside.unionByName(empty).groupBy(*keys, ts).agg(F.max(value).alias(value))
 
 

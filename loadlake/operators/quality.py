@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlake import schemas
-from loadlake.functions.timefns import as_date
+from loadlake.functions.timefns import as_date, hours_in_local_day, local_day
 
 ROWS_PER_DAY = 24
 
@@ -40,7 +40,7 @@ def check_table(
     unique_on: str,
     hard: dict[str, Column],
     soft: dict[str, Column],
-    rows_per_key: int,
+    rows_per_key: int | Column,
     rows_check: str,
     rows_severity: str,
     missing: dict[str, int],
@@ -80,7 +80,7 @@ def check_table(
     return summary.select(*keys, F.inline(F.array(*rows))).withColumn("passed", F.col("violations") == 0)
 
 
-def _day(df: DataFrame, run_date: date | str | None) -> tuple[DataFrame, Column]:
+def _day(df: DataFrame, run_date: date | str | None, zone: str = "UTC") -> tuple[DataFrame, Column]:
     """The rows with the day they were delivered for in ``_run``, and the test that ``dt`` is wrong.
 
     With ``run_date`` the whole frame is that day's delivery. Without it each
@@ -89,7 +89,9 @@ def _day(df: DataFrame, run_date: date | str | None) -> tuple[DataFrame, Column]
     if run_date is not None:
         day = as_date(run_date)
         return df.withColumn("_run", day), ~F.col("dt").cast("date").eqNullSafe(day)
-    wrong = ~F.col("dt").cast("date").eqNullSafe(F.to_date("event_ts_utc")) if "event_ts_utc" in df.columns else nulls("dt")
+    wrong = nulls("dt")
+    if "event_ts_utc" in df.columns:
+        wrong = ~F.col("dt").cast("date").eqNullSafe(local_day(F.col("event_ts_utc"), zone))
     return df.withColumn("_run", F.col("dt").cast("date")), wrong
 
 
@@ -102,18 +104,19 @@ def _table_check(
     run_date: date | str | None,
     expected: DataFrame | None,
     extra_missing: dict[str, int] | None = None,
+    zone: str = "UTC",
 ) -> DataFrame:
     absent = missing_columns(df, required)
     for column in absent:
         df = df.withColumn(column, F.lit(None))
-    df, wrong_day = _day(df, run_date)
+    df, wrong_day = _day(df, run_date, zone)
     checked = check_table(
         df,
         ["_run", entity],
         "event_ts_utc",
         {"event_ts_utc_not_null": nulls("event_ts_utc"), "dt_matches": wrong_day, **hard},
         soft,
-        ROWS_PER_DAY,
+        ROWS_PER_DAY if zone == "UTC" else hours_in_local_day(F.col("_run"), zone),
         "rows_24",
         "soft",
         {"required_columns": len(absent), **(extra_missing or {})},
@@ -123,9 +126,9 @@ def _table_check(
 
 
 def check_silver_demand(
-    df: DataFrame, run_date: date | str | None = None, expected: DataFrame | None = None
+    df: DataFrame, run_date: date | str | None = None, expected: DataFrame | None = None, zone: str = "UTC"
 ) -> DataFrame:
-    """Checks per (dt, region)."""
+    """Checks per (dt, region); days of another ``zone`` may have 23 or 25 hours."""
     return _table_check(
         df,
         schemas.SILVER_DEMAND_REQUIRED,
@@ -134,6 +137,7 @@ def check_silver_demand(
         {"load_mw_not_null": nulls("load_mw"), "load_mw_not_negative": F.col("load_mw") < 0},
         run_date,
         expected,
+        zone=zone,
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loadlake import schemas
 from loadlake.functions.calendar import clock_columns
+from loadlake.functions.timefns import iso_date
 from loadlake.operators.history import load_history, weather_history
 
 HISTORY_DAYS = 35
@@ -49,10 +50,6 @@ def joined_base(demand: DataFrame, weather: DataFrame, calendar: DataFrame) -> D
     )
 
 
-def _day(value: date | str) -> date:
-    return value if isinstance(value, date) else date.fromisoformat(value)
-
-
 def day_ahead_features(
     demand: DataFrame,
     weather: DataFrame,
@@ -75,10 +72,10 @@ def day_ahead_features(
     """
     demand = with_series_id(demand)
     if start is not None and history_days is not None:
-        first = _day(start) - timedelta(days=history_days)
+        first = iso_date(start) - timedelta(days=history_days)
         demand, weather = demand.where(F.col("dt") >= F.lit(first)), weather.where(F.col("dt") >= F.lit(first))
     if end is not None:
-        last = _day(end) + timedelta(days=1)
+        last = iso_date(end) + timedelta(days=1)
         demand, weather = demand.where(F.col("dt") <= F.lit(last)), weather.where(F.col("dt") <= F.lit(last))
 
     if "location_name" in demand.columns:
@@ -90,9 +87,9 @@ def day_ahead_features(
 
     rows = load_history(demand.withColumns(clock_columns(F.col("event_ts_utc"))), frame)
     if start is not None:
-        rows = rows.where(F.col("dt") >= F.lit(_day(start)))
+        rows = rows.where(F.col("dt") >= F.lit(iso_date(start)))
     if end is not None:
-        rows = rows.where(F.col("dt") <= F.lit(_day(end)))
+        rows = rows.where(F.col("dt") <= F.lit(iso_date(end)))
     if mode == "train":
         rows = rows.where(F.col(schemas.LABEL).isNotNull() & F.col("load_lag_24h").isNotNull())
 

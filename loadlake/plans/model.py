@@ -107,12 +107,15 @@ def batch_forecast(
     )
 
 
-def evaluate(scored: DataFrame, label: str = schemas.LABEL) -> DataFrame:
-    """RMSE, MAE and MAPE of scored rows in one row."""
+def evaluate(scored: DataFrame, label: str = schemas.LABEL, baseline: str | None = None) -> DataFrame:
+    """RMSE, MAE and MAPE of scored rows in one row, with ``baseline_rmse`` of a column taken as a forecast."""
     y, p = F.col(label), F.col("y_hat_mw")
-    return scored.agg(
+    measures = [
         accuracy.rmse(y, p).alias("rmse"), accuracy.mae(y, p).alias("mae"), accuracy.mape(y, p).alias("mape")
-    )
+    ]
+    if baseline is not None:
+        measures.append(accuracy.rmse(y, F.col(baseline)).alias("baseline_rmse"))
+    return scored.agg(*measures)
 
 
 def run_record(run_id: str, run_date: date, features: Sequence[str], metrics: DataFrame) -> DataFrame:
@@ -122,9 +125,7 @@ def run_record(run_id: str, run_date: date, features: Sequence[str], metrics: Da
         F.lit(run_date).alias("run_date"),
         F.lit(len(features)).alias("n_features"),
         F.array_join(F.array(*[F.lit(f) for f in features]), ",").alias("feature_names"),
-        "rmse",
-        "mae",
-        "mape",
+        *metrics.columns,
     )
 
 

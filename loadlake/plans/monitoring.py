@@ -113,11 +113,14 @@ def residual_drift(
     return drift(residuals, eval_date, ["residual"], recent_days, history_days, by_series=by_series, day="target_date")
 
 
-def daily_volume(rows: DataFrame, keys: Sequence[str], ts: str, first: Column, last: Column) -> DataFrame:
-    """Row count per (keys, day) of [first, last]; a day without rows counts 0."""
-    counts = rows.groupBy(*keys, F.to_date(ts).alias("dt")).agg(F.count(F.lit(1)).alias("n_rows"))
-    filled = fill_grid(counts, keys, first, last, "dt", "n_rows", "INTERVAL 1 DAY")
-    return filled.na.fill(0, ["n_rows"])
+def daily_volume(rows: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Row count per (keys, day)."""
+    return rows.groupBy(*keys, F.to_date(ts).alias("dt")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def fill_days(volume: DataFrame, keys: Sequence[str], first: Column, last: Column) -> DataFrame:
+    """``volume`` over all days of [first, last]; a day without rows counts 0. Reads ``volume`` twice."""
+    return fill_grid(volume, keys, first, last, "dt", "n_rows", "INTERVAL 1 DAY").na.fill(0, ["n_rows"])
 
 
 def volume_anomaly(

@@ -2,30 +2,36 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlake import schemas
 from loadlake.functions.calendar import day_columns
-from loadlake.functions.timefns import as_date
+from loadlake.functions.timefns import as_date, iso_date, local_day
 from loadlake.operators.grid import day_span, fill_grid, join_grid
 from loadlake.sources import bronze
 
 
 def silver_demand(
-    documents: DataFrame, start: date | str, end: date | str, series: DataFrame | None = None
+    documents: DataFrame, start: date | str, end: date | str, series: DataFrame | None = None, zone: str = "UTC"
 ) -> DataFrame:
     """24 rows per (series, day) of the range: the largest value of the hour, NULL in a gap.
 
     ``series`` lists series to expect (``source, filter_id, region,
-    resolution``); otherwise those that sent anything in the range.
+    resolution``); otherwise those that sent anything in the range. With
+    another ``zone`` the days are local ones, with 23 or 25 rows when the
+    clocks change; timestamps stay UTC.
     """
-    points = bronze.demand_points(documents, start, end).withColumn("event_ts_utc", F.date_trunc("hour", "event_ts_utc"))
-    first, last = day_span(start, end)
+    margin = timedelta(days=0 if zone == "UTC" else 1)
+    points = bronze.demand_points(documents, iso_date(start) - margin, iso_date(end) + margin)
+    points = points.withColumn("event_ts_utc", F.date_trunc("hour", "event_ts_utc"))
+    first, last = day_span(start, end, zone)
     filled = fill_grid(points, schemas.SERIES_COLUMNS, first, last, series=series)
-    return filled.select("event_ts_utc", F.to_date("event_ts_utc").alias("dt"), *schemas.SERIES_COLUMNS, "load_mw")
+    return filled.select(
+        "event_ts_utc", local_day(F.col("event_ts_utc"), zone).alias("dt"), *schemas.SERIES_COLUMNS, "load_mw"
+    )
 
 
 def silver_weather(

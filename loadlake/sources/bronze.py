@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loadlake import schemas
 from loadlake.functions.calendar import day_columns
 from loadlake.functions.points import index_timestamps, point_list
-from loadlake.functions.timefns import day_start_millis, from_millis, parse_timestamp
+from loadlake.functions.timefns import day_bounds, day_start_millis, from_millis, parse_timestamp
 from loadlake.operators.asof import asof_join
 
 # A document holds about this many points; a larger day is split over several.
@@ -161,15 +161,38 @@ def weather_documents(hours: DataFrame, variables: Sequence[str] = schemas.WEATH
 
 
 def write_documents(documents: DataFrame, root: str, partition_by: Sequence[str] = ("ingestion_date",)) -> None:
-    """Replace the ingestion dates present in ``documents``; other dates stay."""
+    """Replace the partitions present in ``documents``; others stay. Small ones become one file each."""
     (
-        documents.write.mode("overwrite")
+        documents.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .json(root)
     )
 
 
+def chunk_envelopes(chunks: DataFrame, text: str, day: str, ingested_at: Column) -> DataFrame:
+    """Landed documents of source chunks: the points of ``day``, described and beside the raw chunk.
+
+    ``chunks`` has the series columns, ``chunk_ts_ms``, the day to cut out and
+    the chunk's JSON text, one row per document.
+    """
+    start, end = (F.unix_millis(t) for t in day_bounds(F.col(day)))
+    raw = F.from_json(text, "map<string,string>")
+    metadata = F.struct(
+        F.date_format(ingested_at, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("ingested_at_utc"),
+        *schemas.SERIES_COLUMNS,
+        F.col("chunk_ts_ms").alias("chunk_timestamp_ms"),
+        F.date_format(day, "yyyy-MM-dd").alias("run_date"),
+    )
+    return chunks.select(
+        F.col(day).alias("ingestion_date"),
+        metadata.alias("metadata"),
+        F.filter(point_list(raw), lambda p: (p["ts_ms"] >= start) & (p["ts_ms"] < end)).alias("data"),
+        raw.alias("raw"),
+    )
+
+
 def read_chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw source chunks, one JSON object per line, as points with the file they came from."""
     lines = spark.read.text(path).select(F.from_json("value", "map<string,string>").alias("chunk"))

@@ -79,3 +79,12 @@ def test_last_known_good_marks_fallbacks(spark):
     assert rows == {0: (None, None), 1: (1.0, False), 2: (2.0, False), 3: (2.0, True), 4: (2.0, True), 5: (2.0, True)}
     limited = {r.target_ts_utc.hour: r.y_hat_mw for r in last_known_good(wanted, known, 3600).collect()}
     assert limited[3] == 2.0 and limited[4] is None
+
+
+def test_features_are_never_newer_than_the_row_they_join(spark):
+    from loadlake.plans.evaluation import leaks
+
+    left, features = frames(spark)
+    joined = asof_join(left, features, ["k"], "ts", "fts")
+    assert leaks(joined, "fts", "ts").isEmpty()
+    assert not leaks(joined, "ts", "fts").isEmpty()

@@ -122,3 +122,29 @@ def test_stored_frames_are_read_from_their_table(spark, sf_dir):
     plan = f.demand._jdf.queryExecution().toString()
     assert "hourly-" in plan and "events.parquet" not in plan
     assert tables.stored(f.demand, "x").count() == f.demand.count()
+
+
+def test_local_days_have_23_and_25_hours(spark, tmp_path):
+    from loadlake.operators import quality
+
+    march = 1_711_753_200_000  # 2024-03-29 23:00 UTC, midnight of the 30th in Berlin
+    put(tmp_path, "a.json", demand_document([(march + i * 3_600_000, 1.0) for i in range(71)]))
+    documents = bronze.read_demand(spark, str(tmp_path))
+    rows = silver.silver_demand(documents, "2024-03-30", "2024-04-01", zone="Europe/Berlin")
+    counts = {str(r.dt): (r["n"], r["loads"]) for r in rows.groupBy("dt").agg(F.count("*").alias("n"), F.count("load_mw").alias("loads")).collect()}
+    assert counts == {"2024-03-30": (24, 24), "2024-03-31": (23, 23), "2024-04-01": (24, 24)}
+    assert quality.check_silver_demand(rows, zone="Europe/Berlin").where("NOT passed").isEmpty()
+    assert not quality.check_silver_demand(rows).where("NOT passed").isEmpty()
+    autumn = silver.silver_demand(documents, "2024-10-27", "2024-10-27", rows.select(*silver.schemas.SERIES_COLUMNS).distinct(), "Europe/Berlin")
+    assert autumn.count() == 25
+
+
+def test_envelopes_keep_the_day_and_the_raw_chunk(spark, tmp_path):
+    chunk = {"series": [[T0 - 1, 1], [T0, 2], [T0 + 86_399_999, None], [T0 + 86_400_000, 3]], "meta": {"v": 1}}
+    df = spark.createDataFrame([("s", "f", "r", "hour", T0, json.dumps(chunk))], "source STRING, filter_id STRING, region STRING, resolution STRING, chunk_ts_ms BIGINT, text STRING")
+    documents = bronze.chunk_envelopes(df.withColumn("dt", F.lit("2024-01-01").cast("date")), "text", "dt", F.lit("2024-02-01").cast("timestamp"))
+    bronze.write_documents(documents, str(tmp_path / "e"))
+    row = bronze.read_demand(spark, str(tmp_path / "e")).first()
+    assert [(p.ts_ms, p.load_mw) for p in row.data] == [(T0, 2.0), (T0 + 86_399_999, None)]
+    assert json.loads(row.raw["series"])[0] == [T0 - 1, 1]
+    assert row.metadata.run_date == "2024-01-01" and row.metadata.chunk_timestamp_ms == T0

@@ -45,7 +45,8 @@ def test_drift_windows(spark):
 def test_volume_anomaly(spark):
     days = spark.sql("SELECT 'k' AS k, dt, explode(sequence(1, CASE WHEN dt = '2024-01-15' THEN 90 WHEN dayofmonth(dt) % 2 = 0 THEN 10 ELSE 11 END)) AS i"
                      " FROM (SELECT explode(sequence(date'2024-01-01', date'2024-01-20')) AS dt) WHERE dt <> '2024-01-18'")
-    volume = monitoring.daily_volume(days, ["k"], "dt", F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 20)))
+    counts = monitoring.daily_volume(days, ["k"], "dt")
+    volume = monitoring.fill_days(counts, ["k"], F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 20)))
     assert volume.count() == 20
     rows = {r.dt.day: r for r in monitoring.volume_anomaly(volume, ["k"]).collect()}
     assert rows[15].is_anomaly and not rows[14].is_anomaly and not rows[1].is_anomaly
