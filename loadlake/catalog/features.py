@@ -20,7 +20,8 @@ _SAME_HOUR = ("load_mean_7d_same_hour", "load_mean_30d_same_hour", "load_std_30d
 
 @query("joined_base", with_frames("SELECT * FROM base"))
 def joined_base_query(f):
-    return joined_base(f.demand, f.weather, f.calendar)
+    weather = f.weather
+    return joined_base(f.demand, weather, f.calendar)
 
 
 @query("load_lags", with_frames(f"SELECT {', '.join(_KEYS + _LAGS)} FROM gold"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlake import schemas
@@ -41,7 +41,8 @@ class Frames:
     """The frames of one query.
 
     The events are read once, into a stored table of one row per (series,
-    hour); everything else derives from that, however often it is used.
+    hour); everything else derives from that, however often it is used. Ask
+    for weather before demand, so that one table serves both.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -71,16 +72,23 @@ class Frames:
             F.col("o_orderdate").alias("created_at"),
         )
 
+    def _rollup(self, *extra: Column) -> DataFrame:
+        return self.events.groupBy(
+            F.col("event_type").alias("series_id"), F.date_trunc("hour", "ts").alias("event_ts_utc")
+        ).agg(F.max("value").alias("load_mw"), *extra)
+
     @cached_property
-    def hourly(self) -> DataFrame:
-        """Largest value, sums for the weather and count per (series, hour)."""
+    def hourly_weather(self) -> DataFrame:
+        """Largest value, count and sums for the weather per (series, hour)."""
         sums = [F.sum(F.col("value") % modulus).alias(name) for name, (modulus, _) in WEATHER_SCALES.items()]
-        rollup = (
-            self.events
-            .groupBy(F.col("event_type").alias("series_id"), F.date_trunc("hour", "ts").alias("event_ts_utc"))
-            .agg(F.max("value").alias("load_mw"), F.count("value").alias("n"), *sums)
-        )
-        return tables.stored(rollup, "hourly")
+        return tables.stored(self._rollup(F.count("value").alias("n"), *sums), "hourly")
+
+    @cached_property
+    def hourly(self) -> DataFrame:
+        """Largest value per (series, hour), out of the table with the weather if there is one."""
+        if "hourly_weather" in self.__dict__:
+            return self.hourly_weather.select("series_id", "event_ts_utc", "load_mw")
+        return tables.stored(self._rollup(), "hourly")
 
     @cached_property
     def hour_bounds(self) -> tuple[datetime, datetime]:
@@ -113,7 +121,7 @@ class Frames:
             F.round(F.sum(name) / F.sum("n") + offset, 6).alias(name) for name, (_, offset) in WEATHER_SCALES.items()
         ]
         name, latitude, longitude = SITE
-        return self.hourly.groupBy("event_ts_utc").agg(*measured).select(
+        return self.hourly_weather.groupBy("event_ts_utc").agg(*measured).select(
             "event_ts_utc",
             F.to_date("event_ts_utc").alias("dt"),
             F.lit(name).alias("location_name"),
@@ -136,8 +144,9 @@ class Frames:
 
     def gold(self, mode: str = "train", frame: str = "days", start: date | None = None, end: date | None = None) -> DataFrame:
         history = None if start is None else max(SAME_HOUR_FRAMES[frame]) + 1
+        weather = self.weather_filled
         return day_ahead_features(
-            self.demand, self.weather_filled, self.calendar, start, end, mode=mode, frame=frame, history_days=history
+            self.demand, weather, self.calendar, start, end, mode=mode, frame=frame, history_days=history
         )
 
     @property

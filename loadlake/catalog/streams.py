@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from loadlake.catalog.frames import Frames, rounded
+from loadlake.catalog.frames import Frames, rounded, with_frames
 from loadlake.catalog.registry import query
 from loadlake.session import shared_dir
 from loadlake.sources import streams
@@ -73,3 +73,29 @@ def stream_latest(f):
     """Newest closed window per series in the online table."""
     windows = intraday.tumbling_features(_events(f), "event_type", "ts", "value")
     return rounded(_materialized(f, windows, "online", "window_end", "append"), "value_mean")
+
+
+@query(
+    "stream_cycle",
+    with_frames(f""", {_CLOSED_SQL.removeprefix("WITH ")}, newest AS (
+        SELECT series_id, window_start AS ts, value_mean AS value FROM closed
+        QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY window_end DESC) = 1
+      ), ahead AS (
+        SELECT n.*, k AS step, ts + k * INTERVAL 15 MINUTE AS target_ts_utc FROM newest n, range(0, 25) r(k)
+      ), j AS (
+        SELECT a.*, p.y_hat_mw AS baseline FROM ahead a
+        LEFT JOIN forecasts p ON p.series_id = a.series_id AND p.target_ts_utc = date_trunc('hour', a.target_ts_utc)
+      ), r AS (SELECT *, max(CASE WHEN step = 0 THEN value - baseline END) OVER (PARTITION BY series_id) AS residual FROM j)
+      SELECT series_id, ts AS origin_ts_utc, CAST(step AS INT) AS step, target_ts_utc,
+        round(coalesce(baseline + coalesce(residual, 0), value), 5) AS y_hat FROM r WHERE step > 0"""),
+)
+def stream_cycle(f):
+    """Events to online table to 24-step forecasts; the cycle runs twice and is kept once."""
+    root = shared_dir(f.spark, "cycle")
+    windows = intraday.tumbling_features(_events(f), "event_type", "ts", "value")
+    intraday.materialize(windows, f"{root}/store", f"{root}/checkpoint", "window_end", "append").awaitTermination()
+    store = f.spark.read.parquet(f"{root}/store")
+    for _ in range(2):
+        intraday.run_cycle(store, f.forecasts, f"{root}/forecasts")
+    kept = f.spark.read.parquet(f"{root}/forecasts").drop("origin_date")
+    return rounded(kept, "y_hat", places=5)

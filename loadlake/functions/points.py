@@ -13,10 +13,19 @@ def _is_list(text: Column) -> Column:
     return F.startswith(F.ltrim(text), F.lit("["))
 
 
-def _list_of_lists(text: Column) -> Column:
-    """The elements as JSON text if ``text`` is a list that is empty or starts with a list."""
+def _pairs(text: Column) -> Column:
+    """The inner lists, if ``text`` is a list that is empty or starts with a list.
+
+    A list of plain number lists parses at once. Anything else is taken apart
+    element by element: what is no list is dropped, what is no number is NULL.
+    """
     items = F.when(_is_list(text), F.from_json(text, "array<string>"))
-    return F.when((F.size(items) == 0) | _is_list(F.get(items, F.lit(0))), items)
+    usable = F.when((F.size(items) == 0) | _is_list(F.get(items, F.lit(0))), items)
+    one_by_one = F.transform(
+        F.filter(usable, _is_list),
+        lambda item: F.transform(F.from_json(item, "array<string>"), lambda x: x.try_cast("double")),
+    )
+    return F.coalesce(F.from_json(text, "array<array<double>>"), one_by_one)
 
 
 def point_list(chunk: Column) -> Column:
@@ -25,11 +34,10 @@ def point_list(chunk: Column) -> Column:
     The first usable key wins; pairs shorter than two are dropped. A chunk
     without a usable key gives NULL.
     """
-    items = F.coalesce(*[_list_of_lists(chunk[key]) for key in POINT_KEYS])
-    pairs = F.transform(F.filter(items, _is_list), lambda t: F.from_json(t, "array<double>"))
+    pairs = F.filter(F.coalesce(*[_pairs(chunk[key]) for key in POINT_KEYS]), lambda p: F.size(p) >= 2)
     return F.transform(
-        F.filter(pairs, lambda p: F.size(p) >= 2),
-        lambda p: F.struct(F.get(p, F.lit(0)).cast("long").alias("ts_ms"), F.get(p, F.lit(1)).alias("load_mw")),
+        pairs,
+        lambda p: F.struct(F.get(p, F.lit(0)).try_cast("long").alias("ts_ms"), F.get(p, F.lit(1)).alias("load_mw")),
     )
 
 

@@ -42,15 +42,20 @@ def fill_grid(
 ) -> DataFrame:
     """One row per (keys, step): the largest value of ``points`` there, NULL in a gap.
 
-    ``ts`` of ``points`` is truncated to the step already. The empty grid is
-    added as rows without a value, so rollup and gap filling share one
-    aggregation and one shuffle, and no join is needed. ``series`` names the
+    ``ts`` of ``points`` is truncated to the step already. The points are
+    rolled up first; the empty grid then joins them as rows without a value,
+    in a second aggregation over one row per (keys, step). ``series`` names the
     series to lay out; without it, every series seen in ``points`` is.
     """
     inside = points.select(*keys, ts, value).where(F.col(ts).between(first, last))
-    known = inside.select(*keys).distinct() if series is None else series.select(*keys)
-    empty = grid(known, first, last, ts, step).withColumn(value, F.lit(None).cast(points.schema[value].dataType))
-    return inside.unionByName(empty).groupBy(*keys, ts).agg(F.max(value).alias(value))
+    rolled = inside.groupBy(*keys, ts).agg(F.max(value).alias(value))
+    if series is None:
+        # The count keeps this branch on the very rollup of the other one, so
+        # its shuffle is used twice and the points are read once.
+        series = rolled.groupBy(*keys).agg(F.count(value).alias("_n")).where(F.col("_n") >= 0)
+    empty = grid(series.select(*keys), first, last, ts, step)
+    empty = empty.withColumn(value, F.lit(None).cast(inside.schema[value].dataType))
+    return rolled.unionByName(empty).groupBy(*keys, ts).agg(F.max(value).alias(value))
 
 
 def join_grid(

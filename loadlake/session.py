@@ -7,14 +7,18 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app_name: str = "loadlake", **conf: str) -> SparkSession:
-    """A UTC session with adaptive execution; ``conf`` overrides any setting."""
+    """A UTC session with adaptive execution and streaming state off the heap; ``conf`` overrides any setting."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)

@@ -8,6 +8,7 @@ column must be a ``timestamp``; a watermark takes no ``timestamp_ntz``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,6 +115,14 @@ def input_rows(query: StreamingQuery) -> int:
     return sum(p.numInputRows for p in query.recentProgress)
 
 
+def lag_seconds(query: StreamingQuery, now: datetime) -> float | None:
+    """Seconds between ``now`` and the newest event time the query has seen."""
+    newest = [p.eventTime["max"] for p in query.recentProgress if "max" in (p.eventTime or {})]
+    if not newest:
+        return None
+    return (now - datetime.fromisoformat(max(newest).replace("Z", "+00:00"))).total_seconds()
+
+
 def correct_baseline(
     day_ahead: DataFrame, observed: DataFrame, step_seconds: int = STEP_SECONDS, known_after: int = STEP_SECONDS
 ) -> DataFrame:
@@ -170,6 +179,17 @@ def intraday_cycle(
     )
 
 
+def run_cycle(store: DataFrame, day_ahead: DataFrame, path: str, value: str = "value_mean") -> None:
+    """Forecast from the online table and keep the result by (series, origin, step), so a repeated cycle adds nothing.
+
+    The newest finished window of a series is its origin; call this on the
+    15-minute schedule, after ``materialize`` has taken the new events.
+    """
+    newest = store.select("series_id", F.col("window_start").alias("ts"), F.col(value).alias("value"))
+    forecasts = intraday_cycle(newest, day_ahead).withColumn("origin_date", F.to_date("origin_ts_utc"))
+    upsert(forecasts, path, ["origin_date", "series_id", "origin_ts_utc", "step"], ["origin_date"])
+
+
 def rebin(events: DataFrame, series: str, ts: str, value: str, step: str = WINDOW) -> DataFrame:
     """Batch twin of the tumbling mean: ``series_id, ts, value`` per step."""
     return events.groupBy(F.col(series).alias("series_id"), F.window(ts, step)["start"].alias("ts")).agg(

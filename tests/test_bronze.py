@@ -75,10 +75,11 @@ def test_chunk_shapes(spark):
         '{"series": [], "data": [[9, 9]]}',
         '{"other": [[1, 1]]}',
         '{"series": [[10, 1], 5, [11, 2]]}',
+        '{"series": [["12", "1.5"], [13, "x"], {"a": 1}]}',
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING")
     got = sorted((r.i, r.ts_ms, r.load_mw) for r in bronze.chunk_points(df, "text", ["i"]).collect())
-    assert got == sorted([(0, 1, 2.5), (0, 3, None), (1, 5, 6.0), (2, 7, 8.0), (5, 10, 1.0), (5, 11, 2.0)], key=lambda t: (t[0], t[1]))
+    assert got == sorted([(0, 1, 2.5), (0, 3, None), (1, 5, 6.0), (2, 7, 8.0), (5, 10, 1.0), (5, 11, 2.0), (6, 12, 1.5), (6, 13, None)], key=lambda t: (t[0], t[1]))
 
 
 def test_index_shapes_and_chunk_pick(spark):
@@ -148,3 +149,12 @@ def test_envelopes_keep_the_day_and_the_raw_chunk(spark, tmp_path):
     assert [(p.ts_ms, p.load_mw) for p in row.data] == [(T0, 2.0), (T0 + 86_399_999, None)]
     assert json.loads(row.raw["series"])[0] == [T0 - 1, 1]
     assert row.metadata.run_date == "2024-01-01" and row.metadata.chunk_timestamp_ms == T0
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    put(tmp_path, "a.json", demand_document([(T0, 5.0)]))
+    rows = silver.silver_demand(bronze.read_demand(spark, str(tmp_path)), "2024-01-01", "2024-01-02")
+    assert rows.count() == 48
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan json") == 1 and "ReusedExchange" in plan

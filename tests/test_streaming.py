@@ -1,4 +1,5 @@
 import os
+from datetime import timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ def finish(query):
 def test_ordered_replay_equals_batch_on_closed_windows(spark, replay, tmp_path):
     query = finish(intraday.append_to(tumbling(spark, replay), str(tmp_path / "out"), str(tmp_path / "cp")))
     assert intraday.late_rows(query) == 0
+    seen = spark.read.parquet(str(replay)).agg(F.max("ts")).first()[0].replace(tzinfo=timezone.utc)
+    assert intraday.lag_seconds(query, seen + timedelta(seconds=30)) == pytest.approx(30, abs=1)
     got = spark.read.parquet(str(tmp_path / "out"))
     events = spark.read.parquet(str(replay))
     last = events.agg(F.max("ts")).first()[0]
