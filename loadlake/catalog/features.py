@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadlake.catalog.frames import GOLD_COLUMNS, rounded, rounded_gold, with_frames
+from loadlake.catalog.frames import GOLD_COLUMNS, GOLD_ROUNDED, rounded, with_frames
 from loadlake.catalog.registry import query
 from loadlake.functions.timefns import DAY, HOUR
 from loadlake.operators import history, samples
@@ -50,27 +50,25 @@ def same_hour_stats_reference(f):
     "weather_features",
     with_frames("""SELECT event_ts_utc, temperature_2m,
         lag(temperature_2m, 24) OVER w AS temp_lag_24h,
-        round(avg(temperature_2m) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING), 4) AS temp_mean_7d,
-        round(CASE WHEN temperature_2m < 18 THEN 18 - temperature_2m ELSE 0.0 END, 6) AS heating_degree,
-        round(CASE WHEN temperature_2m > 22 THEN temperature_2m - 22 ELSE 0.0 END, 6) AS cooling_degree
+        round(avg(temperature_2m) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING), 6) AS temp_mean_7d,
+        CASE WHEN temperature_2m < 18 THEN 18 - temperature_2m ELSE 0.0 END AS heating_degree,
+        CASE WHEN temperature_2m > 22 THEN temperature_2m - 22 ELSE 0.0 END AS cooling_degree
       FROM hours LEFT JOIN weather USING (event_ts_utc) WINDOW w AS (ORDER BY event_ts_utc)"""),
 )
 def weather_features(f):
     wide = history.weather_history(f.weather_filled)
-    degrees = ("heating_degree", "cooling_degree")
-    return rounded(rounded(wide, *degrees), "temp_mean_7d", places=4).select(
-        "event_ts_utc", "temperature_2m", "temp_lag_24h", "temp_mean_7d", *degrees
-    )
+    columns = ("event_ts_utc", "temperature_2m", "temp_lag_24h", "temp_mean_7d", "heating_degree", "cooling_degree")
+    return rounded(wide, "temp_mean_7d").select(*columns)
 
 
 @query("gold_features_train", with_frames(f"SELECT {', '.join(GOLD_COLUMNS)} FROM gold_train"))
 def gold_features_train(f):
-    return rounded_gold(f.gold()).select(*GOLD_COLUMNS)
+    return rounded(f.gold(), *GOLD_ROUNDED).select(*GOLD_COLUMNS)
 
 
 @query("gold_features_serve", with_frames(f"SELECT {', '.join(GOLD_COLUMNS)} FROM gold"))
 def gold_features_serve(f):
-    return rounded_gold(f.gold(mode="serve")).select(*GOLD_COLUMNS)
+    return rounded(f.gold(mode="serve"), *GOLD_ROUNDED).select(*GOLD_COLUMNS)
 
 
 @query(
@@ -92,7 +90,7 @@ def gold_range(f):
     """Gold of every day from one plan, stored by day."""
     root = shared_dir(f.spark, "gold")
     tables.write_days(f.gold(), root)
-    return rounded_gold(tables.read_days(f.spark, root)).select(*GOLD_COLUMNS)
+    return rounded(tables.read_days(f.spark, root), *GOLD_ROUNDED).select(*GOLD_COLUMNS)
 
 
 @query(
@@ -206,4 +204,4 @@ _CONTRACT_SQL = ", ".join(
 
 @query("feature_contract", with_frames(f"SELECT series_id, event_ts_utc, {_CONTRACT_SQL} FROM gold_train"))
 def feature_contract(f):
-    return samples.feature_contract(rounded_gold(f.gold()))
+    return samples.feature_contract(rounded(f.gold(), *GOLD_ROUNDED))

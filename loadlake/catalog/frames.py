@@ -79,8 +79,11 @@ class Frames:
 
     @cached_property
     def hourly_weather(self) -> DataFrame:
-        """Largest value, count and sums for the weather per (series, hour)."""
-        sums = [F.sum(F.col("value") % modulus).alias(name) for name, (modulus, _) in WEATHER_SCALES.items()]
+        """Largest value, count and sums for the weather per (series, hour), in whole cents to be exact."""
+        sums = [
+            F.sum(F.round((F.col("value") % modulus) * 100).cast("bigint")).alias(name)
+            for name, (modulus, _) in WEATHER_SCALES.items()
+        ]
         return tables.stored(self._rollup(F.count("value").alias("n"), *sums), "hourly")
 
     @cached_property
@@ -118,7 +121,7 @@ class Frames:
     def weather(self) -> DataFrame:
         """One location, means over the events of the hour."""
         measured = [
-            F.round(F.sum(name) / F.sum("n") + offset, 6).alias(name) for name, (_, offset) in WEATHER_SCALES.items()
+            (F.sum(name) / (F.sum("n") * 100) + offset).alias(name) for name, (_, offset) in WEATHER_SCALES.items()
         ]
         name, latitude, longitude = SITE
         return self.hourly_weather.groupBy("event_ts_utc").agg(*measured).select(
@@ -168,14 +171,10 @@ def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in columns})
 
 
-def rounded_gold(df: DataFrame) -> DataFrame:
-    """Means of cents to 6 decimals; means of 6-decimal values to 4, where they do not end in a tie."""
-    return rounded(rounded(df, *GOLD_ROUNDED), "temp_mean_7d", places=4)
-
-
 # The same frames for the oracle, as common table expressions.
 _WEATHER_SQL = ",\n    ".join(
-    f"round(avg(value % {m}) + {o}, 6) AS {name}" for name, (m, o) in WEATHER_SCALES.items()
+    f"CAST(sum(CAST(round((value % {m}) * 100) AS BIGINT)) AS DOUBLE) / (count(value) * 100) + {o} AS {name}"
+    for name, (m, o) in WEATHER_SCALES.items()
 )
 
 SQL = f"""WITH hours AS (
@@ -213,9 +212,9 @@ SQL = f"""WITH hours AS (
     round(avg(load_mw) OVER (h ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING), 6) AS load_mean_30d_same_hour,
     round(stddev_samp(load_mw) OVER (h ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING), 6) AS load_std_30d_same_hour,
     lag(temperature_2m, 24) OVER w AS temp_lag_24h,
-    round(avg(temperature_2m) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING), 4) AS temp_mean_7d,
-    round(CASE WHEN temperature_2m < 18 THEN 18 - temperature_2m ELSE 0.0 END, 6) AS heating_degree,
-    round(CASE WHEN temperature_2m > 22 THEN temperature_2m - 22 ELSE 0.0 END, 6) AS cooling_degree,
+    round(avg(temperature_2m) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING), 6) AS temp_mean_7d,
+    CASE WHEN temperature_2m < 18 THEN 18 - temperature_2m ELSE 0.0 END AS heating_degree,
+    CASE WHEN temperature_2m > 22 THEN temperature_2m - 22 ELSE 0.0 END AS cooling_degree,
     lead(load_mw, 24) OVER w AS target_load_mw
   FROM base
   WINDOW w AS (PARTITION BY series_id ORDER BY event_ts_utc), h AS (PARTITION BY series_id, hour ORDER BY event_ts_utc)
@@ -243,14 +242,14 @@ SQL = f"""WITH hours AS (
 )"""
 
 GOLD_ROUNDED = (
-    "load_mean_7d_same_hour", "load_mean_30d_same_hour", "load_std_30d_same_hour", "heating_degree", "cooling_degree",
+    "load_mean_7d_same_hour", "load_mean_30d_same_hour", "load_std_30d_same_hour", "temp_mean_7d",
 )
 GOLD_COLUMNS = (
     "event_ts_utc", "dt", "series_id", "load_mw", *WEATHER_SCALES,
     "day_of_week", "day_of_month", "week_of_year", "month", "year", "is_weekend", "is_holiday", "is_working_day", "season",
     "hour", "minute", "day_of_week_ts",
     "load_lag_1h", "load_lag_2h", "load_lag_3h", "load_lag_6h", "load_lag_12h", "load_lag_24h", "load_lag_48h",
-    "load_lag_7d", "load_lag_14d", *GOLD_ROUNDED, "temp_lag_24h", "temp_mean_7d", "target_load_mw",
+    "load_lag_7d", "load_lag_14d", *GOLD_ROUNDED, "temp_lag_24h", "heating_degree", "cooling_degree", "target_load_mw",
 )
 
 

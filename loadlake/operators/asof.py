@@ -35,7 +35,7 @@ def asof_join(
     much larger than ``features``; then no key or moment fills one task.
     """
     values = [c for c in features.columns if c not in keys]
-    packed = features.where(F.col(feature_ts).isNotNull()).select(
+    packed = features.dropna(subset=[*keys, feature_ts]).select(
         *keys, block_of(F.col(feature_ts), block_seconds).alias(BLOCK), F.struct(*values).alias("_feature")
     )
     newest = packed.groupBy(*keys, BLOCK).agg(F.max_by("_feature", F.col(f"_feature.{feature_ts}")).alias("_feature"))

@@ -21,6 +21,14 @@ def block_of(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_seconds(ts) / seconds)
 
 
+def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Join condition on ``keys`` of two aliased frames under which NULL keys meet as well."""
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return condition
+
+
 def with_blocks(df: DataFrame, ts: str, seconds: int, before: int, after: int = 0) -> DataFrame:
     """Copy every row into each block whose span, widened by ``before`` and ``after`` seconds, holds it.
 
@@ -58,7 +66,7 @@ def numbered(
     within = Window.partitionBy(*keys, BLOCK).orderBy(ts, *tie_break)
     return (
         blocked.withColumn("_pos", F.row_number().over(within))
-        .join(offsets, [*keys, BLOCK])
-        .withColumn(name, F.col("_offset") + F.col("_pos") - 1)
-        .drop(BLOCK, "_pos", "_offset")
+        .alias("l")
+        .join(offsets.alias("r"), same_keys("l", "r", [*keys, BLOCK]))
+        .select(*[f"l.{c}" for c in df.columns], (F.col("_offset") + F.col("_pos") - 1).alias(name))
     )

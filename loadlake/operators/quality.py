@@ -51,7 +51,7 @@ def check_table(
     Rows are first reduced per (keys, ``unique_on``), which finds duplicates
     without a distinct set per key and spreads a large key. ``expected`` lists
     keys that must be present: an absent one has no rows and fails ``present``
-    and the row count. ``missing`` counts absent columns per check name.
+    and the row count, and keys beyond it are checked like the others. ``missing`` counts absent columns per check name.
     """
     counters = {**hard, **soft}
     tally = df.groupBy(*keys, unique_on).agg(
@@ -63,7 +63,8 @@ def check_table(
         *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(counters))],
     )
     if expected is not None:
-        summary = expected.select(*keys).distinct().join(summary, list(keys), "left").na.fill(0)
+        counts = [c for c in summary.columns if c not in keys]
+        summary = expected.select(*keys).distinct().join(summary, list(keys), "full").na.fill(0, counts)
 
     def row(name: str, severity: str, violations: Column) -> Column:
         return F.struct(

@@ -13,6 +13,7 @@ from loadlake.functions.calendar import day_columns
 from loadlake.functions.points import index_timestamps, point_list
 from loadlake.functions.timefns import day_bounds, day_start_millis, from_millis, parse_timestamp
 from loadlake.operators.asof import asof_join
+from loadlake.operators.blocks import same_keys
 
 # A document holds about this many points; a larger day is split over several.
 POINTS_PER_DOCUMENT = 10_000
@@ -122,7 +123,9 @@ def demand_documents(
         F.ceil(F.count(F.lit(1)) / points_per_document).alias("_parts")
     )
     nested = (
-        spread.join(sizes, [*series, "ingestion_date"])
+        spread.alias("l")
+        .join(sizes.alias("r"), same_keys("l", "r", [*series, "ingestion_date"]))
+        .select("l.*", "r._parts")
         .groupBy(*series, "ingestion_date", F.expr("pmod(_share, _parts)").alias("part"))
         .agg(F.array_sort(F.collect_list("point")).alias("data"))
     )

@@ -81,7 +81,7 @@ def upsert(df: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence
 
     Only partitions present in ``df`` are read and rewritten, so a rerun
     changes nothing. ``partition_by`` must be part of ``keys``, and ``keys``
-    must be unique in ``df``.
+    must be unique and not NULL in ``df``.
     """
     merged = df
     stored = stored_table(df.sparkSession, root, df.schema)

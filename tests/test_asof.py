@@ -88,3 +88,11 @@ def test_features_are_never_newer_than_the_row_they_join(spark):
     joined = asof_join(left, features, ["k"], "ts", "fts")
     assert leaks(joined, "fts", "ts").isEmpty()
     assert not leaks(joined, "ts", "fts").isEmpty()
+
+
+def test_unknown_keys_and_times_stay_without_a_match(spark):
+    left = spark.sql("SELECT * FROM VALUES (1, CAST(NULL AS STRING), timestamp'2024-01-02'), (2, 'k', CAST(NULL AS TIMESTAMP)), (3, 'k', timestamp'2024-01-02') AS t(id, k, ts)")
+    features = spark.sql("SELECT * FROM VALUES (CAST(NULL AS STRING), timestamp'2024-01-01', 1), ('k', timestamp'2024-01-01', 2) AS t(k, fts, value)")
+    for ttl in (None, 86_400 * 9):
+        got = {r.id: r.value for r in asof_join(left, features, ["k"], "ts", "fts", ttl).collect()}
+        assert got == {1: None, 2: None, 3: 2}

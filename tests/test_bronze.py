@@ -158,3 +158,9 @@ def test_documents_are_parsed_once(spark, tmp_path):
     rows.collect()
     plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan json") == 1 and "ReusedExchange" in plan
+
+
+def test_points_of_unnamed_series_are_kept(spark):
+    points = spark.sql("SELECT CAST(NULL AS STRING) AS source, 'f' AS filter_id, 'r' AS region, 'hour' AS resolution, timestamp'2024-01-01' AS event_ts_utc, 1.0D AS load_mw")
+    row = bronze.demand_documents(points).first()
+    assert row.metadata.source is None and len(row.data) == 1

@@ -41,6 +41,8 @@ def test_each_fault_is_found(day):
 def test_empty_partition_fails(spark, day):
     expected = spark.sql("SELECT date'2024-01-01' AS dt, 'DE' AS region UNION ALL SELECT date'2024-01-02', 'DE'")
     assert failing(quality.check_silver_demand(day, expected=expected)) == {("present", 1), ("rows_24", 24)}
+    other = day.withColumn("region", F.lit("AT")).limit(3)
+    assert ("rows_24", 21) in failing(quality.check_silver_demand(day.unionByName(other), expected=expected))
     verdicts = {str(r.dt): r.verdict for r in quality.day_verdicts(quality.check_silver_demand(day, expected=expected), False).collect()}
     assert verdicts == {"2024-01-01": "pass", "2024-01-02": "fail"}
 
