@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.llm import exact_dedup, simhash
+from loadlake.llm import exact_dedup, simhash, substrings
 from loadlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,30 @@ best AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
 FROM normal JOIN best USING (text_sha256)
 """
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return substrings.repeated_passages(docs, window=50, with_text=False).drop("kept_text")
+
+
+_oracle["op10_substring_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS sequence
+  FROM (SELECT *, unnest(generate_series(1, len(words) - 49)) AS i FROM split WHERE len(words) >= 50)),
+known AS (SELECT sequence, min(doc_id) AS first FROM windows GROUP BY sequence HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS at
+  FROM windows JOIN known USING (sequence) WHERE first < doc_id),
+listed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM split),
+kept AS (
+  SELECT l.doc_id, string_agg(word, ' ' ORDER BY l.at) FILTER (WHERE g.at IS NULL) AS text, count(g.at) AS n_removed
+  FROM listed l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.at = l.at GROUP BY l.doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept k USING (doc_id)
+"""
