@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.llm import exact_dedup, simhash, substrings
+from loadlake.llm import exact_dedup, mixing, packing, simhash, substrings
 from loadlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,45 @@ def oracle_sql() -> dict[str, str]:
     return dict(_oracle)
 
 
+def pieces_packed(docs: DataFrame) -> DataFrame:
+    """Where each piece of ``docs`` goes, with the checksum of its ids in their place."""
+    rows = packing.pieces(docs, "byte_bpe_50k.json")
+    return packing.packed(rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), seed=17, power=0.5)
+
+
+_oracle["op4_mixing"] = """
+WITH RECURSIVE counts AS (SELECT source, count(*) AS n, sqrt(count(*)) AS weight FROM documents GROUP BY source),
+rates AS (
+  SELECT source, CAST((SELECT sum(n) FROM counts) AS DOUBLE) * weight / (SELECT sum(weight) FROM counts) / n AS rate
+  FROM counts),
+parts AS (
+  SELECT source, rate, CAST(greatest(ceil(rate / 64.0), 1) AS BIGINT) AS parts, rate / greatest(ceil(rate / 64.0), 1) AS mean FROM rates),
+terms AS (
+  SELECT source, mean, 0 AS k, exp(-mean) AS p, exp(-mean) AS c FROM parts
+  UNION ALL
+  SELECT source, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM terms
+  WHERE k < ceil(mean + 10 * sqrt(mean) + 20)),
+drawn AS (
+  SELECT d.doc_id, d.source, part,
+         CAST(('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || part), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u
+  FROM documents d JOIN parts p ON p.source IS NOT DISTINCT FROM d.source, LATERAL (SELECT unnest(generate_series(1, p.parts)) AS part)),
+numbers AS (
+  SELECT doc_id, count(*) FILTER (WHERE u >= c) AS n
+  FROM drawn JOIN terms ON terms.source IS NOT DISTINCT FROM drawn.source GROUP BY doc_id)
+SELECT d.*, CAST(unnest(generate_series(1, n)) AS INTEGER) AS copy FROM documents d JOIN numbers USING (doc_id)
+"""
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=3)
