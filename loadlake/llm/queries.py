@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.llm import exact_dedup, mixing, packing, simhash, substrings
+from loadlake.llm import embeddings, exact_dedup, mixing, packing, simhash, substrings
 from loadlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,22 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM split LEFT JOIN kept k USING (doc_id)
 """
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+_oracle["op8_embedding_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_aggregate(list_transform(embedding, lambda x: abs(x)), 'max') > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+named AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM named
+"""
