@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.llm import embeddings, exact_dedup, mixing, packing, simhash, substrings
+from loadlake.llm import embeddings, exact_dedup, language_id, licenses, mixing, packing, simhash, substrings
 from loadlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,3 +142,45 @@ reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.
 named AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
 SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM named
 """
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    return language_id.predicted(docs, model).withColumn("held_out", language_id.held_out())
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+def license_sql() -> str:
+    """The same scan in SQL, with the tables of sentences and rules as values."""
+    known = ", ".join(f"('{name}', '{sentence}')" for name, sentence in licenses.SENTENCES.items())
+    rules = ["".join(f"<{i}>" for i in sequence) for _, sequence in licenses.RULES]
+    named = ", ".join(f"('{rule}', '{licence}')" for rule, (licence, _) in zip(rules, licenses.RULES, strict=True))
+    return rf"""
+WITH known(name, sentence) AS (VALUES {known}), named(rule, licence) AS (VALUES {named}),
+sentences AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS sentence
+  FROM (SELECT doc_id, string_split_regex(text, '{licenses.BOUNDARY}') AS parts FROM documents)),
+sequences AS (
+  SELECT doc_id, count(*) AS n_sentences, count(k.name) AS n_known,
+         string_agg('<' || coalesce(k.name, '-') || '>', '' ORDER BY place) AS sequence
+  FROM sentences s LEFT JOIN known k ON k.sentence = trim(regexp_replace(lower(s.sentence), '[^a-z0-9]+', ' ', 'g'))
+  GROUP BY doc_id),
+matches AS (
+  SELECT doc_id, generate_subscripts(rules, 1) AS place, unnest(rules) AS rule
+  FROM (SELECT doc_id, regexp_extract_all(sequence, '{"|".join(rules)}') AS rules FROM sequences)),
+found AS (
+  SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licenses, string_agg(rule, ' ' ORDER BY place) AS matched
+  FROM matches JOIN named USING (rule) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_known, 0) AS n_known,
+       coalesce(licenses, '') AS licenses, coalesce(matched, '') AS matched
+FROM documents LEFT JOIN sequences USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+_oracle["op5_license_scan"] = license_sql()
