@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.llm import embeddings, exact_dedup, language_id, licenses, mixing, packing, simhash, substrings
+from loadlake.llm import embeddings, exact_dedup, language_id, licenses, mixing, packing, simhash, substrings, toxicity
 from loadlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,3 +184,11 @@ FROM documents LEFT JOIN sequences USING (doc_id) LEFT JOIN found USING (doc_id)
 
 
 _oracle["op5_license_scan"] = license_sql()
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~language_id.held_out()).select("doc_id", "toxic"))
+    return toxicity.scored(docs, model).withColumn("held_out", language_id.held_out())

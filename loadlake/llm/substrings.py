@@ -256,8 +256,8 @@ def repeated_passages(
                     if with_text:
                         row["kept_text"] = kept.decode("utf-8", "surrogatepass")
                 rows.append(row)
-                size += len(value or "") + 20 * len(row.get("ats", ()))
-                if size > 8_000_000:
+                size += len(value or "") + 120 * len(row.get("ats", ()))
+                if size > 4_000_000:
                     yield pa.RecordBatch.from_pylist(rows, schema=seen)
                     rows, size = [], 0
             if rows:

@@ -20,7 +20,7 @@ def words(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """Word to 64-bit hash, kept for words seen lately; at most ``limit`` words are held."""
 
-    def __init__(self, seed: int, limit: int = 200_000):
+    def __init__(self, seed: int, limit: int = 60_000):
         super().__init__()
         self.seed, self.limit = seed, limit
 
