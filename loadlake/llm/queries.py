@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.llm import embeddings, exact_dedup, language_id, licenses, mixing, packing, simhash, substrings, toxicity
+from loadlake.llm import embeddings, exact_dedup, html_text, language_id, licenses, mixing, packing, simhash, substrings, toxicity
 from loadlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,3 +192,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(~language_id.held_out()).select("doc_id", "toxic"))
     return toxicity.scored(docs, model).withColumn("held_out", language_id.held_out())
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
