@@ -72,5 +72,5 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
 
 def without_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns."""
-    dropped = exact_duplicates(docs, text, id).where("NOT kept").select(F.col(id).alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id].eqNullSafe(F.col("_dropped")), "left_anti")
+    dropped = exact_duplicates(docs, text, id).where("NOT kept").select(F.col(id)).distinct()
+    return docs.join(dropped, docs[id].eqNullSafe(dropped[id]), "left_anti")

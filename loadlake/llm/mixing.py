@@ -81,22 +81,22 @@ def mixed(
     carried along; a column ``copy`` of ``docs`` is replaced.
     """
     table = rates(docs, weights, total, source, power)
-    key = F.coalesce(F.col(id).cast("string"), F.lit("null"))
-    docs = docs.drop("copy")
+    # The row travels as one struct, so none of its names can clash.
+    rows = docs.drop("copy").select(F.struct("*").alias("_row"), F.col(source).alias("_in"), F.col(id).cast("string").alias("_key"))
+    key = F.coalesce("_key", F.lit("null"))
     if table.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        met = docs.join(F.broadcast(table), docs[source].eqNullSafe(F.col("_source")))
+        met = rows.join(F.broadcast(table), F.col("_in").eqNullSafe(F.col("_source")))
     else:
-        salted = docs.withColumn("_salt", F.pmod(F.xxhash64(id), F.lit(SALTS)).cast("int"))
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
         copies = table.withColumn("_salt_there", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        same = salted[source].eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_salt_there"))
-        met = salted.join(copies, same).drop("_salt", "_salt_there")
+        met = salted.join(copies, F.col("_in").eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_salt_there")))
     parts = F.greatest(F.ceil(F.col("_rate") / PART), F.lit(1)).cast("int")
     drawn = F.transform(
         F.sequence(F.lit(1), parts),
         lambda part: poisson(uniform(F.lit(str(seed)), key, part.cast("string")), F.col("_rate") / parts),
     )
     count = F.aggregate(drawn, F.lit(0), lambda total, n: total + n)
-    copied = met.withColumn("_count", count).where("_count > 0")
+    copied = met.select("_row", "_key", count.alias("_count")).where("_count > 0")
     copied = copied.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
-    order = F.md5(F.concat_ws(":", F.lit(f"{seed}"), key, F.lit("copy"), F.col("copy").cast("string")))
-    return copied.withColumn("_order", order).orderBy("_order").drop("_order", "_count", "_rate", "_source")
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), key, F.lit("copy"), F.col("copy").cast("string")))
+    return copied.withColumn("_order", order).orderBy("_order").select("_row.*", "copy")

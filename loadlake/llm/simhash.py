@@ -136,5 +136,5 @@ def near_duplicates(
 def without_near_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose id names their component, with all their columns."""
     found = near_duplicates(docs, text=text, id=id)
-    dropped = found.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id] == F.col("_dropped"), "left_anti")
+    dropped = found.where(F.col(id) != F.col("component_id")).select(id).distinct()
+    return docs.join(dropped, id, "left_anti")
