@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from loadlake.catalog.frames import GOLD_COLUMNS, GOLD_ROUNDED, rounded, with_frames
@@ -9,13 +11,13 @@ from loadlake.catalog.registry import query
 from loadlake.functions.timefns import DAY, HOUR
 from loadlake.operators import history, samples
 from loadlake.operators.asof import asof_join, latest
-from loadlake.plans.gold import joined_base
+from loadlake.plans.gold import day_ahead_features, joined_base
 from loadlake.session import shared_dir
 from loadlake.sources import tables
 
 _KEYS = ("event_ts_utc", "dt", "series_id", "load_mw")
 _LAGS = tuple(history.LOAD_LAGS)
-_SAME_HOUR = ("load_mean_7d_same_hour", "load_mean_30d_same_hour", "load_std_30d_same_hour")
+SAME_HOUR_STATS = ("load_mean_7d_same_hour", "load_mean_30d_same_hour", "load_std_30d_same_hour")
 
 
 @query("joined_base", with_frames("SELECT * FROM base"))
@@ -29,9 +31,9 @@ def load_lags(f):
     return history.load_lags(f.demand)
 
 
-@query("same_hour_stats_days", with_frames(f"SELECT {', '.join(_KEYS)}, hour, {', '.join(_SAME_HOUR)} FROM gold"))
+@query("same_hour_stats_days", with_frames(f"SELECT {', '.join(_KEYS)}, hour, {', '.join(SAME_HOUR_STATS)} FROM gold"))
 def same_hour_stats_days(f):
-    return rounded(history.same_hour_stats(f.demand), *_SAME_HOUR)
+    return rounded(history.same_hour_stats(f.demand), *SAME_HOUR_STATS)
 
 
 @query(
@@ -43,7 +45,7 @@ def same_hour_stats_days(f):
       FROM base WINDOW h AS (PARTITION BY series_id, hour ORDER BY event_ts_utc)"""),
 )
 def same_hour_stats_reference(f):
-    return rounded(history.same_hour_stats(f.demand, "reference"), *_SAME_HOUR)
+    return rounded(history.same_hour_stats(f.demand, "reference"), *SAME_HOUR_STATS)
 
 
 @query(
@@ -82,7 +84,7 @@ def gold_features_serve(f):
 )
 def gold_features_reference(f):
     gold = f.gold(frame="reference")
-    return rounded(gold, *_SAME_HOUR).select("event_ts_utc", "series_id", "load_lag_14d", "target_load_mw", *_SAME_HOUR)
+    return rounded(gold, *SAME_HOUR_STATS).select("event_ts_utc", "series_id", "load_lag_14d", "target_load_mw", *SAME_HOUR_STATS)
 
 
 @query("gold_range", with_frames(f"SELECT {', '.join(GOLD_COLUMNS)} FROM gold_train"))
@@ -205,3 +207,68 @@ _CONTRACT_SQL = ", ".join(
 @query("feature_contract", with_frames(f"SELECT series_id, event_ts_utc, {_CONTRACT_SQL} FROM gold_train"))
 def feature_contract(f):
     return samples.feature_contract(rounded(f.gold(), *GOLD_ROUNDED))
+
+
+_GAPS_SQL = """, gaps AS (
+    SELECT event_ts_utc, dt, series_id, load_mw FROM demand, run
+    WHERE NOT (series_id = (SELECT min(event_type) FROM events) AND dt = d - 2)
+    UNION ALL
+    SELECT event_ts_utc, dt, series_id, load_mw + 1 FROM demand, run
+    WHERE series_id = (SELECT max(event_type) FROM events) AND dt = d - 1 AND hour(event_ts_utc) = 10
+  ), at_hour AS (SELECT series_id, event_ts_utc, max(load_mw) AS load_mw FROM gaps GROUP BY ALL)"""
+
+
+def _at(name: str, hours: int) -> str:
+    shift = f"g.event_ts_utc + INTERVAL ({hours}) HOUR"
+    return f"(SELECT load_mw FROM at_hour h WHERE h.series_id = g.series_id AND h.event_ts_utc = {shift}) AS {name}"
+
+
+@query(
+    "gold_features_gaps",
+    with_frames(
+        f"""{_GAPS_SQL}
+      SELECT g.event_ts_utc, g.dt, g.series_id, g.load_mw, {", ".join(_at(n, -h) for n, h in history.LOAD_LAGS.items())},
+        {_at("target_load_mw", 24)},
+        (SELECT round(avg(b.load_mw), 6) FROM gaps b WHERE b.series_id = g.series_id AND hour(b.event_ts_utc) = hour(g.event_ts_utc)
+           AND b.event_ts_utc < g.event_ts_utc AND b.event_ts_utc >= g.event_ts_utc - INTERVAL 7 DAY) AS load_mean_7d_same_hour
+      FROM gaps g, run WHERE g.dt >= d - 3"""
+    ),
+)
+def gold_features_gaps(f):
+    """A series without a whole day, and another with an hour that came twice: lags and labels go by time."""
+    weather = f.weather_filled
+    low, high = f.hourly.agg(F.min("series_id"), F.max("series_id")).first()
+    day = F.col("dt")
+    gone = (F.col("series_id") == low) & (day == F.lit(f.run_day - timedelta(days=2)))
+    again = (F.col("series_id") == high) & (day == F.lit(f.run_day - timedelta(days=1))) & (F.hour("event_ts_utc") == 10)
+    faulty = f.demand.where(~gone).unionByName(f.demand.where(again).withColumn("load_mw", F.col("load_mw") + 1))
+    gold = day_ahead_features(faulty, weather, f.calendar, f.run_day - timedelta(days=3), mode="serve")
+    return rounded(gold.select(*_KEYS, *_LAGS, "target_load_mw", "load_mean_7d_same_hour"), "load_mean_7d_same_hour")
+
+
+@query(
+    "gold_located",
+    with_frames("""
+      SELECT 'events/' || filter_id || '/' || series_id || '/hour' AS series_id, location_name, event_ts_utc,
+        load_mw + more AS load_mw, load_lag_1h + more AS load_lag_1h, load_lag_24h + more AS load_lag_24h,
+        temperature_2m + warmer AS temperature_2m, temp_lag_24h + warmer AS temp_lag_24h
+      FROM gold, run, (VALUES ('f1', 'site0', 0, 0), ('f2', 'site1', 1000, 1)) v(filter_id, location_name, more, warmer)
+      WHERE dt >= d - 3"""),
+)
+def gold_located(f):
+    """Two locations, two filters of each region, and weather that landed twice: still one row per series and hour."""
+    weather = f.weather_filled
+    sites = weather.unionByName(
+        weather.withColumns({"location_name": F.lit("site1"), "temperature_2m": F.col("temperature_2m") + 1})
+    )
+    whole = f.demand.select(
+        "event_ts_utc", "dt", F.lit("events").alias("source"), F.col("series_id").alias("region"), F.lit("hour").alias("resolution"),
+        F.inline(F.array(
+            F.struct(F.lit("f1").alias("filter_id"), F.lit("site0").alias("location_name"), F.col("load_mw").alias("load_mw")),
+            F.struct(F.lit("f2").alias("filter_id"), F.lit("site1").alias("location_name"), (F.col("load_mw") + 1000).alias("load_mw")),
+        )),
+    )
+    gold = day_ahead_features(whole, sites.unionByName(sites), f.calendar, f.run_day - timedelta(days=3), mode="serve")
+    return gold.select(
+        "series_id", "location_name", "event_ts_utc", "load_mw", "load_lag_1h", "load_lag_24h", "temperature_2m", "temp_lag_24h"
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loadlake.catalog.frames import Frames, rounded, with_frames
 from loadlake.catalog.registry import query
@@ -99,3 +100,20 @@ def stream_cycle(f):
         intraday.run_cycle(store, f.forecasts, f"{root}/forecasts")
     kept = f.spark.read.parquet(f"{root}/forecasts").drop("origin_date")
     return rounded(kept, "y_hat", places=5)
+
+
+@query(
+    "stream_late_update",
+    """SELECT event_type AS series_id, max(ts) AS last_ts, arg_max(value, ts) AS value_last FROM events GROUP BY event_type""",
+)
+def stream_late_update(f):
+    """The store gets the newest rows first and rows of a day before in a later batch: the newest stand."""
+    root = f"{shared_dir(f.spark, 'late')}/store"
+    write = intraday.store_writer(root, "last_ts")
+    newest = f.events.groupBy(F.col("event_type").alias("series_id")).agg(
+        F.max("ts").alias("last_ts"), F.max_by("value", "ts").alias("value_last")
+    )
+    older = newest.withColumns({"last_ts": F.col("last_ts") - F.expr("INTERVAL 1 DAY"), "value_last": F.lit(-1.0)})
+    for batch_id, batch in enumerate((newest, older, newest)):
+        write(batch, batch_id)
+    return f.spark.read.parquet(root).drop("bucket")

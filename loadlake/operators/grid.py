@@ -44,16 +44,17 @@ def fill_grid(
 
     ``ts`` of ``points`` is truncated to the step already. The points are
     rolled up first; the empty grid then joins them as rows without a value,
-    in a second aggregation over one row per (keys, step). ``series`` names the
-    series to lay out; without it, every series seen in ``points`` is.
+    in a second aggregation over one row per (keys, step). Every series seen in
+    ``points`` is laid out, and those of ``series`` too, though they sent nothing.
     """
     inside = points.select(*keys, ts, value).where(F.col(ts).between(first, last))
     rolled = inside.groupBy(*keys, ts).agg(F.max(value).alias(value))
-    if series is None:
-        # The count keeps this branch on the very rollup of the other one, so
-        # its shuffle is used twice and the points are read once.
-        series = rolled.groupBy(*keys).agg(F.count(value).alias("_n")).where(F.col("_n") >= 0)
-    empty = grid(series.select(*keys), first, last, ts, step)
+    # The count keeps this branch on the very rollup of the other one, so
+    # its shuffle is used twice and the points are read once.
+    seen = rolled.groupBy(*keys).agg(F.count(value).alias("_n")).where(F.col("_n") >= 0).select(*keys)
+    if series is not None:
+        seen = seen.unionByName(series.select(*keys)).distinct()
+    empty = grid(seen, first, last, ts, step)
     empty = empty.withColumn(value, F.lit(None).cast(inside.schema[value].dataType))
     return rolled.unionByName(empty).groupBy(*keys, ts).agg(F.max(value).alias(value))
 

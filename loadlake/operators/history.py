@@ -1,8 +1,9 @@
-"""Lag, lead and rolling features over gap-free series.
+"""Lag, lead and rolling features by time.
 
-A row lag is a time lag only on a gap-free grid, so fill gaps first
-(``operators.grid``). All windows of one kind sit in one ``select``: one shuffle
-by (series, block), one sort in time order and one per hour of day.
+A lag is the value at that time before, and NULL if there is no row then: a
+gap, a late series or a doubled hour shifts nothing. Of several rows of one
+time the largest value counts. All windows of one kind sit in one ``select``:
+one shuffle by (series, block), one sort in time order and one per hour of day.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ LOAD_LAGS = {
     "load_lag_14d": 336,
 }
 
-# Same-hour rows in the short and the long frame. "reference"
-# counts hours although its rows are days.
+# The short and the long same-hour frame: days, or for "reference"
+# rows, of which it counts hours although they are days; it needs a gap-free grid.
 SAME_HOUR_FRAMES = {"days": (7, 30), "reference": (168, 720)}
 
 TEMPERATURE_LAG = 24
@@ -38,16 +39,25 @@ TEMPERATURE_FRAME = 168
 LABEL_LEAD = 24
 
 
+def value_at(w: WindowSpec, hours: int, value: str | Column = "load_mw") -> Column:
+    """The value ``hours`` later, or earlier if negative; ``w`` is ordered by seconds."""
+    return F.max(value).over(w.rangeBetween(hours * HOUR, hours * HOUR))
+
+
 def lag_columns(w: WindowSpec, value: str = "load_mw") -> dict[str, Column]:
-    return {name: F.lag(value, n).over(w) for name, n in LOAD_LAGS.items()}
+    return {name: value_at(w, -n, value) for name, n in LOAD_LAGS.items()}
 
 
 def same_hour_columns(w: WindowSpec, frame: str, value: str = "load_mw") -> dict[str, Column]:
     short, long = SAME_HOUR_FRAMES[frame]
+    if frame == "reference":
+        before, month = w.rowsBetween(-short, -1), w.rowsBetween(-long, -1)
+    else:
+        before, month = w.rangeBetween(-short * DAY, -1), w.rangeBetween(-long * DAY, -1)
     return {
-        "load_mean_7d_same_hour": F.avg(value).over(w.rowsBetween(-short, -1)),
-        "load_mean_30d_same_hour": F.avg(value).over(w.rowsBetween(-long, -1)),
-        "load_std_30d_same_hour": F.stddev(value).over(w.rowsBetween(-long, -1)),
+        "load_mean_7d_same_hour": F.avg(value).over(before),
+        "load_mean_30d_same_hour": F.avg(value).over(month),
+        "load_std_30d_same_hour": F.stddev(value).over(month),
     }
 
 
@@ -56,7 +66,7 @@ def _aliased(columns: dict[str, Column]) -> list[Column]:
 
 
 def load_lags(df: DataFrame, keys: Sequence[str] = ("series_id",), ts: str = "event_ts_utc") -> DataFrame:
-    """The nine load lags."""
+    """The nine load lags, by time."""
     before = max(LOAD_LAGS.values()) * HOUR
     blocked = with_blocks(df, ts, 4 * before, before)
     return own_rows(blocked.select("*", *_aliased(lag_columns(block_window(keys, ts)))))
@@ -81,7 +91,7 @@ def load_history(
     lagged = blocked.select(
         "*",
         *_aliased(lag_columns(in_time)),
-        F.lead("load_mw", LABEL_LEAD).over(in_time).alias("target_load_mw"),
+        value_at(in_time, LABEL_LEAD).alias("target_load_mw"),
     )
     return own_rows(lagged.select("*", *_aliased(same_hour_columns(block_window(keys, ts, "hour"), frame))))
 
@@ -99,8 +109,8 @@ def weather_history(
     return own_rows(
         blocked.select(
             "*",
-            F.lag(temperature, TEMPERATURE_LAG).over(w).alias("temp_lag_24h"),
-            F.avg(temperature).over(w.rowsBetween(-TEMPERATURE_FRAME, -1)).alias("temp_mean_7d"),
+            value_at(w, -TEMPERATURE_LAG, temperature).alias("temp_lag_24h"),
+            F.avg(temperature).over(w.rangeBetween(-TEMPERATURE_FRAME * HOUR, -1)).alias("temp_mean_7d"),
             heating_degree(temperature).alias("heating_degree"),
             cooling_degree(temperature).alias("cooling_degree"),
         )

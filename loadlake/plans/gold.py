@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 from typing import Literal
 
@@ -17,17 +18,21 @@ HISTORY_DAYS = 35
 
 
 def with_series_id(df: DataFrame) -> DataFrame:
-    """``series_id`` from ``region``, or the default when there is neither."""
+    """``series_id`` from the columns that tell series apart, or the default when there are none.
+
+    With more than the region these are joined by ``/``, so two filters or
+    resolutions of one region stay two series.
+    """
     if "series_id" in df.columns:
         return df
-    region = F.col("region") if "region" in df.columns else F.lit(schemas.DEFAULT_SERIES_ID)
-    return df.withColumn("series_id", region)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in schemas.SERIES_COLUMNS if c in df.columns]
+    return df.withColumn("series_id", F.concat_ws("/", *parts) if parts else F.lit(schemas.DEFAULT_SERIES_ID))
 
 
-def one_weather_per_hour(weather: DataFrame) -> DataFrame:
-    """Mean over locations, for series that name no location."""
+def one_weather_per_hour(weather: DataFrame, keys: Sequence[str] = ("event_ts_utc",)) -> DataFrame:
+    """Means per hour, over locations or (with ``location_name`` as a key) over what landed twice."""
     measured = [c for c in weather.columns if c not in ("event_ts_utc", "dt", "location_name", "latitude", "longitude")]
-    return weather.groupBy("event_ts_utc").agg(*[F.avg(c).alias(c) for c in measured])
+    return weather.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in measured])
 
 
 def joined_base(demand: DataFrame, weather: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -39,10 +44,9 @@ def joined_base(demand: DataFrame, weather: DataFrame, calendar: DataFrame) -> D
     demand = with_series_id(demand)
     if "location_name" in demand.columns:
         keys = ["location_name", "event_ts_utc"]
-        weather = weather.drop("dt")
     else:
         keys = ["event_ts_utc"]
-        weather = one_weather_per_hour(weather)
+    weather = one_weather_per_hour(weather, keys)
     return (
         demand.join(weather, keys, "left")
         .join(calendar, "dt", "left")
@@ -80,7 +84,7 @@ def day_ahead_features(
 
     if "location_name" in demand.columns:
         keys = ["location_name", "event_ts_utc"]
-        weather = weather_history(weather.drop("dt"))
+        weather = weather_history(one_weather_per_hour(weather, keys))
     else:
         keys = ["event_ts_utc"]
         weather = weather_history(one_weather_per_hour(weather), keys=())

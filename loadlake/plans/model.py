@@ -8,7 +8,7 @@ from datetime import date
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +34,21 @@ def train_gbt(
     splits: DataFrame,
     features: Sequence[str] | None = None,
     label: str = schemas.LABEL,
-    max_iter: int = 100,
+    max_iter: int = 1000,
+    patience: int = 50,
     max_depth: int = 5,
     step_size: float = 0.05,
+    feature_subset: str = "all",
+    subsampling: float = 1.0,
     seed: int = 42,
 ) -> PipelineModel:
-    """Fit on split train; split val decides when to stop. Medians come from train rows only."""
+    """Fit on split train, with as many of ``max_iter`` rounds as serve split val best.
+
+    Rounds are fitted in growing numbers until the best one on the validation
+    rows has ``patience`` rounds without gain after it; the model is then fitted
+    with that many. The same seed gives the same first rounds, so the rounds
+    that were judged are the ones in the model. Medians come from train rows only.
+    """
     train = splits.where(F.col("split") == "train")
     names = usable_features(train, features or numeric_features(splits))
     as_double = [F.col(n).cast("double").alias(n) for n in names]
@@ -47,20 +56,48 @@ def train_gbt(
     filler = imputer.fit(train.select(*as_double))
     assembler = VectorAssembler(inputCols=imputer.getOutputCols(), outputCol="features")
     rows = splits.where(F.col("split").isin("train", "val")).select(
-        *as_double, F.col(label).cast("double").alias(label), (F.col("split") == "val").alias("is_val")
-    )
-    booster = GBTRegressor(
-        featuresCol="features",
-        labelCol=label,
-        predictionCol="y_hat_mw",
-        validationIndicatorCol="is_val",
-        maxIter=max_iter,
-        maxDepth=max_depth,
-        stepSize=step_size,
-        seed=seed,
+        *as_double, F.col(label).cast("double").alias(label), F.col("split").alias("split")
     )
-    fitted = booster.fit(assembler.transform(filler.transform(rows)).select("features", label, "is_val"))
-    return PipelineModel(stages=[filler, assembler, fitted])
+    rows = assembler.transform(filler.transform(rows)).select("features", label, "split").persist()
+    learn, judge = (rows.where(F.col("split") == part).select("features", label) for part in ("train", "val"))
+
+    def fitted(rounds: int) -> GBTRegressionModel:
+        booster = GBTRegressor(
+            featuresCol="features",
+            labelCol=label,
+            predictionCol="y_hat_mw",
+            maxIter=rounds,
+            maxDepth=max_depth,
+            stepSize=step_size,
+            featureSubsetStrategy=feature_subset,
+            subsamplingRate=subsampling,
+            seed=seed,
+        )
+        return booster.fit(learn)
+
+    try:
+        rounds = min(max_iter, patience + 14)
+        while True:
+            model = fitted(rounds)
+            best = best_round(model.evaluateEachIteration(judge, "squared"), patience)
+            if best + patience <= rounds or rounds == max_iter:
+                break
+            rounds = min(max_iter, 2 * rounds)
+        booster = model if best == rounds else fitted(best)
+    finally:
+        rows.unpersist()
+    return PipelineModel(stages=[filler, assembler, booster])
+
+
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """The number of rounds, from 1, with the least error before ``patience`` rounds bring no gain."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def model_features(model: PipelineModel) -> list[str]:

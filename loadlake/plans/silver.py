@@ -19,8 +19,9 @@ def silver_demand(
 ) -> DataFrame:
     """24 rows per (series, day) of the range: the largest value of the hour, NULL in a gap.
 
-    ``series`` lists series to expect (``source, filter_id, region,
-    resolution``); otherwise those that sent anything in the range. With
+    ``series`` holds series to expect (``source, filter_id, region,
+    resolution``), best the silver table so far: a series that sent nothing in
+    the range still gets its rows. Those seen in the range always do. With
     another ``zone`` the days are local ones, with 23 or 25 rows when the
     clocks change; timestamps stay UTC.
     """
@@ -39,15 +40,20 @@ def silver_weather(
 ) -> DataFrame:
     """24 rows per (location, day) of the range, NULL variables in a gap.
 
-    Each location keeps its own coordinates. Coordinates stay out of the join
-    key; ``locations`` may list ``location_name, latitude, longitude``.
+    Each location keeps its own coordinates, the first ones. Coordinates stay
+    out of the join key. ``locations`` holds ``location_name, latitude,
+    longitude`` to expect, best the silver table so far: a location that sent
+    nothing in the range still gets its rows.
     """
     hours = bronze.weather_hours(documents, start, end)
-    if locations is None:
-        locations = hours.groupBy("location_name").agg(
-            F.min_by("latitude", "event_ts_utc").alias("latitude"),
-            F.min_by("longitude", "event_ts_utc").alias("longitude"),
-        )
+    seen = hours.select("location_name", "latitude", "longitude", "event_ts_utc")
+    if locations is not None:
+        earlier = locations.select("location_name", "latitude", "longitude", F.to_timestamp(F.lit("0001-01-01")).alias("event_ts_utc"))
+        seen = seen.unionByName(earlier)
+    locations = seen.groupBy("location_name").agg(
+        F.min_by("latitude", "event_ts_utc").alias("latitude"),
+        F.min_by("longitude", "event_ts_utc").alias("longitude"),
+    )
     first, last = day_span(start, end)
     filled = join_grid(hours.drop("latitude", "longitude", "dt"), locations, ["location_name"], first, last)
     return filled.select(

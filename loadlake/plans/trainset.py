@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from loadlake.sources.tables import EmptyTableError
+from loadlake.sources.tables import EmptyTableError, write_partitions
 
 HISTORY_DAYS = 365
 VALIDATION_DAYS = 30
@@ -73,14 +73,12 @@ def split_counts(splits: DataFrame) -> DataFrame:
 
 
 def write_trainset(splits: DataFrame, root: str, run_date: date) -> None:
-    """Store the splits under ``run_date=/split=``; an empty train or validation split is an error."""
-    present = {row.split for row in split_counts(splits).collect()}
-    if not {"train", "val"} <= present:
-        raise EmptyTableError(f"train and val must both have rows, found {sorted(present)}")
-    (
-        splits.withColumn("run_date", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date", "split")
-        .parquet(root)
-    )
+    """Store the splits under ``run_date=/split=``; an empty train or validation split is an error.
+
+    The rows are counted as they are written, so the plan runs once.
+    """
+    seen = Observation("splits")
+    counted = splits.observe(seen, *[F.count_if(F.col("split") == part).alias(part) for part in ("train", "val")])
+    write_partitions(counted.withColumn("run_date", F.lit(run_date)), root, ["run_date", "split"])
+    if not all(seen.get.values()):
+        raise EmptyTableError(f"train and val must both have rows, found {seen.get}")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,12 +36,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder all executors can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local master may fall back
-    to a temporary folder of this machine.
+    It lies under ``spark.checkpoint.dir``. Only a local master may go without
+    that setting; the warehouse takes its place then.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="loadlake-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loadlake import schemas
 from loadlake.functions.calendar import day_columns
 from loadlake.functions.points import index_timestamps, point_list
-from loadlake.functions.timefns import day_bounds, day_start_millis, from_millis, parse_timestamp
+from loadlake.functions.timefns import day_bounds, day_start_millis, from_millis, iso_date, parse_timestamp
 from loadlake.operators.asof import asof_join
 from loadlake.operators.blocks import same_keys
 
@@ -19,13 +19,49 @@ from loadlake.operators.blocks import same_keys
 POINTS_PER_DOCUMENT = 10_000
 
 
-def read_demand(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(schemas.BRONZE_DEMAND).json(path)
+# Documents of a day land on it or within so many days after.
+LANDING_DAYS = 7
 
 
-def read_weather(spark: SparkSession, root: str, glob: str = "*/*/*.json") -> DataFrame:
-    """All locations below ``root``; ``location=`` and ``ingestion_date=`` folders become columns."""
-    return spark.read.schema(schemas.BRONZE_WEATHER).option("basePath", root).json(f"{root.rstrip('/')}/{glob}")
+def landed(documents: DataFrame, start: date | str | None, end: date | str | None, late_days: int) -> DataFrame:
+    """Documents whose ``ingestion_date`` folder can hold points of the closed day range; the others are not listed."""
+    if start is not None:
+        documents = documents.where(F.col("ingestion_date") >= F.lit(iso_date(start) - timedelta(days=1)))
+    if end is not None:
+        documents = documents.where(F.col("ingestion_date") <= F.lit(iso_date(end) + timedelta(days=late_days)))
+    return documents
+
+
+def read_demand(
+    spark: SparkSession,
+    path: str | list[str],
+    start: date | str | None = None,
+    end: date | str | None = None,
+    late_days: int = LANDING_DAYS,
+) -> DataFrame:
+    """Demand documents. With a day range ``path`` is a folder of ``ingestion_date=`` folders, and only those
+    from the day before the range to ``late_days`` after it are read."""
+    if start is None and end is None:
+        return spark.read.schema(schemas.BRONZE_DEMAND).json(path)
+    documents = spark.read.schema(f"{schemas.BRONZE_DEMAND}, ingestion_date DATE").json(path)
+    return landed(documents, start, end, late_days)
+
+
+def read_weather(
+    spark: SparkSession,
+    root: str,
+    glob: str = "*/*/*.json",
+    start: date | str | None = None,
+    end: date | str | None = None,
+    late_days: int = LANDING_DAYS,
+) -> DataFrame:
+    """All locations below ``root``; ``location=`` and ``ingestion_date=`` folders become columns, and with a day
+    range only the folders that can hold it are read (see ``read_demand``)."""
+    schema = schemas.BRONZE_WEATHER
+    if start is not None or end is not None:
+        schema = f"{schema}, ingestion_date DATE"
+    documents = spark.read.schema(schema).option("basePath", root).json(f"{root.rstrip('/')}/{glob}")
+    return landed(documents, start, end, late_days)
 
 
 def read_calendar(spark: SparkSession, root: str) -> DataFrame:

@@ -56,7 +56,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(root)
 
 
-def _write(df: DataFrame, root: str, partition_by: Sequence[str]) -> None:
+def write_partitions(df: DataFrame, root: str, partition_by: Sequence[str]) -> None:
     """Replace the partitions present in ``df``; others stay.
 
     Rows are brought together by partition first. Small partitions become one
@@ -73,28 +73,56 @@ def _write(df: DataFrame, root: str, partition_by: Sequence[str]) -> None:
 
 def write_days(df: DataFrame, root: str, day: str = "dt") -> None:
     """Replace the days present in ``df``; other days stay."""
-    _write(df, root, [day])
+    write_partitions(df, root, [day])
 
 
-def upsert(df: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
+#: Up to so many partitions a condition lists their values; beyond it gives their range.
+LISTED_PARTITIONS = 1000
+
+
+def touched_partitions(df: DataFrame, partition_by: Sequence[str]) -> Column:
+    """A condition of literals that holds for the partitions of ``df``, so a scan lists no other folders.
+
+    For each partition column it names the values, or their range if there are
+    more than ``LISTED_PARTITIONS``.
+    """
+    condition = F.lit(True)
+    for column in partition_by:
+        values = [r[0] for r in df.select(column).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+        if len(values) > LISTED_PARTITIONS:
+            ends = df.agg(F.min(column).alias("a"), F.max(column).alias("b")).first()
+            condition = condition & F.col(column).between(F.lit(ends["a"]), F.lit(ends["b"]))
+        else:
+            condition = condition & F.col(column).isin(values)
+    return condition
+
+
+def upsert(
+    df: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence[str], newest: str | None = None
+) -> None:
     """Write rows by key: a row of ``df`` replaces the stored row of the same key.
 
-    Only partitions present in ``df`` are read and rewritten, so a rerun
-    changes nothing. ``partition_by`` must be part of ``keys``, and ``keys``
-    must be unique and not NULL in ``df``.
+    With ``newest`` it only does so if it is larger in that column or equal; a
+    late arrival leaves the stored row as it is. Only partitions present in
+    ``df`` are read and rewritten, so a rerun changes nothing. ``partition_by``
+    must be part of ``keys``, and ``keys`` must be unique and not NULL in ``df``.
     """
-    merged = df
-    stored = stored_table(df.sparkSession, root, df.schema)
-    if stored is not None:
-        touched = df.select(*partition_by).distinct()
-        kept = stored.join(touched, list(partition_by), "left_semi").join(df.select(*keys), list(keys), "left_anti")
-        merged = df.unionByName(kept)
-    _write(merged, root, partition_by)
+    merged = df = stored(df, "upserts")
+    table = stored_table(df.sparkSession, root, df.schema)
+    if table is not None:
+        table = table.where(touched_partitions(df, partition_by))
+        if newest is None:
+            merged = df.unionByName(table.join(df.select(*keys), list(keys), "left_anti"))
+        else:
+            both = df.withColumn("_new", F.lit(1)).unionByName(table.withColumn("_new", F.lit(0)))
+            best = F.max_by(F.struct(*df.columns), F.struct(newest, "_new")).alias("_row")
+            merged = both.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(best).select("_row.*")
+    write_partitions(merged, root, partition_by)
 
 
 def append(df: DataFrame, root: str, partition_by: Sequence[str]) -> None:
-    """Plain append; a rerun adds the rows again."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(root)
+    """Plain append; a rerun adds the rows again. Rows are brought together by partition first."""
+    df.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(root)
 
 
 def stored_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame | None:

@@ -21,7 +21,8 @@ WINDOW = "15 minutes"
 LATENESS = "30 minutes"
 STEP_SECONDS = 900
 HORIZON_STEPS = 24
-STORE_BUCKETS = 16
+#: Parts of the online table; a micro-batch rewrites those it has news for, so there should be many more than series in one.
+STORE_BUCKETS = 256
 
 
 def tumbling_features(
@@ -83,14 +84,16 @@ def append_to(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def store_writer(path: str, ts: str, buckets: int = STORE_BUCKETS) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function keeping the newest row per series in a keyed table.
 
-    The table is cut by hash of the series, and only buckets with news are
-    rewritten. Writing a batch twice gives the same table.
+    A row that is older than the stored one, such as a late window that is
+    emitted again, changes nothing. The table is cut by hash of the series, and
+    only buckets with news are read and rewritten. Writing a batch twice gives
+    the same table.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = latest(batch, ["series_id"], ts)
         bucketed = newest.withColumn("bucket", F.pmod(F.xxhash64("series_id"), F.lit(buckets)))
-        upsert(bucketed, path, ["series_id", "bucket"], ["bucket"])
+        upsert(bucketed, path, ["series_id", "bucket"], ["bucket"], newest=ts)
 
     return write
 

@@ -34,8 +34,9 @@ def differences(left, right):
 def test_blocked_windows_equal_whole_series_windows(spark, frame):
     demand = long_demand(spark).withColumn("hour", F.hour("event_ts_utc"))
     in_time = Window.partitionBy("series_id").orderBy("event_ts_utc")
-    by_hour = Window.partitionBy("series_id", "hour").orderBy("event_ts_utc")
-    plain = demand.withColumns(history.lag_columns(in_time)).withColumn(
+    by_hour = Window.partitionBy("series_id", "hour").orderBy(F.unix_seconds("event_ts_utc"))
+    lags = {name: F.lag("load_mw", n).over(in_time) for name, n in history.LOAD_LAGS.items()}
+    plain = demand.withColumns(lags).withColumn(
         "target_load_mw", F.lead("load_mw", 24).over(in_time)
     )
     plain = plain.withColumns(history.same_hour_columns(by_hour, frame))
@@ -159,3 +160,14 @@ def test_demand_without_a_series_column_gets_the_default(spark):
     gold = day_ahead_features(demand, weather, calendar_days(spark, "2022-01-01", "2022-01-03"), mode="serve")
     assert [r.series_id for r in gold.select("series_id").distinct().collect()] == ["DE"]
     assert "temp_lag_24h" not in gold.columns
+
+
+def test_lags_go_by_time_over_gaps_and_doubled_hours(spark):
+    demand = long_demand(spark, 60)
+    day = F.lit("2022-01-20").cast("date")
+    holed = demand.where(F.col("dt") != day).unionByName(demand.where(F.hour("event_ts_utc") == 5))
+    got = history.load_lags(holed).select("series_id", "event_ts_utc", "load_lag_24h")
+    ago = holed.groupBy("series_id", (F.col("event_ts_utc") + F.expr("INTERVAL 24 HOURS")).alias("event_ts_utc")).agg(F.max("load_mw").alias("load_lag_24h"))
+    want = holed.select("series_id", "event_ts_utc").join(ago, ["series_id", "event_ts_utc"], "left")
+    assert differences(got, want) == 0
+    assert got.where((F.to_date("event_ts_utc") == F.date_add(day, 1)) & F.col("load_lag_24h").isNotNull()).where(F.hour("event_ts_utc") != 5).count() == 0

@@ -82,3 +82,21 @@ def test_best_and_approved_runs(spark):
         (3, 3.0D, 'approved', timestamp'2024-01-02'), (4, CAST(NULL AS DOUBLE), 'rejected', timestamp'2024-01-04') AS t(run_id, rmse, status, created_at)""")
     assert model.best_run(runs).first().run_id == 2
     assert model.last_approved_run(runs).first().run_id == 3
+
+
+def test_best_round_waits_for_patience():
+    assert model.best_round([5, 4, 3, 4, 4, 2, 1], patience=10) == 7
+    assert model.best_round([5, 4, 3, 4, 4, 2, 1], patience=2) == 3
+    assert model.best_round([1.0], patience=50) == 1
+
+
+def test_boosting_goes_on_while_validation_gains(gold):
+    splits = trainset.train_val_split(gold, DATES)
+    few = model.train_gbt(splits, max_iter=1, max_depth=2, step_size=0.3)
+    many = model.train_gbt(splits, max_iter=40, patience=5, max_depth=2, step_size=0.3)
+    assert few.stages[-1].getNumTrees == 1 < many.stages[-1].getNumTrees
+
+    def rmse(fitted):
+        return model.evaluate(model.score(fitted, splits.where("split = 'test'"))).first().rmse
+
+    assert rmse(many) <= rmse(few)

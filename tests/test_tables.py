@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -91,3 +92,16 @@ def test_no_machine_local_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Session(), "x")
+
+
+def test_upsert_reads_only_the_partitions_it_touches(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.range(100).select("id", (F.col("id") % 10).alias("part"), F.lit(0).alias("at"))
+    tables.upsert(rows, root, ["id", "part"], ["part"])
+    touched = spark.read.parquet(root).where(tables.touched_partitions(rows.where("part = 3"), ["part"]))
+    assert re.search(r"PartitionFilters: \[[^\]]*part#\d+L? = 3|PartitionFilters: \[[^\]]*part#\d+L? IN", touched._jdf.queryExecution().executedPlan().toString())
+    tables.upsert(rows.where("id = 3").withColumn("at", F.lit(-1)), root, ["id", "part"], ["part"], newest="at")
+    assert spark.read.parquet(root).where("at < 0").isEmpty()
+    tables.upsert(rows.where("id = 3").withColumn("at", F.lit(5)), root, ["id", "part"], ["part"], newest="at")
+    assert [r["id"] for r in spark.read.parquet(root).where("at = 5").collect()] == [3]
+    assert spark.read.parquet(root).count() == 100
