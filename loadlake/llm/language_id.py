@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadlake.llm.words import portions
+
 #: Documents the model is fitted on, about, however many there are.
 SAMPLE_DOCUMENTS = 20_000
 #: Words the model knows at most, the most frequent ones of the sample.
@@ -28,11 +30,12 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class Model:
-    """Log frequencies of words and n-grams, an array over ``languages`` each."""
+    """Log frequencies of words and n-grams: rows of ``table``, a column for each language."""
 
     languages: list[str]
-    words: dict[str, np.ndarray] = field(default_factory=dict)
-    grams: dict[str, np.ndarray] = field(default_factory=dict)
+    words: dict[str, int] = field(default_factory=dict)
+    grams: dict[str, int] = field(default_factory=dict)
+    table: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
 
     @classmethod
     def of(cls, counts: list[tuple[str, str, int]]) -> Model:
@@ -46,21 +49,26 @@ class Model:
             words.setdefault(word, zero.copy())[place[language]] += n
             for gram in (g for size in GRAMS for g in cut(word, size)):
                 grams[len(gram)].setdefault(gram, zero.copy())[place[language]] += n
-        model.words = frequencies(words)
+        known = frequencies(words)
+        parts = {}
         for table in grams.values():
-            model.grams |= frequencies({g: c for g, c in table.items() if c.sum() >= 3})
+            parts |= frequencies({g: c for g, c in table.items() if c.sum() >= 3})
+        model.words = {w: i for i, w in enumerate(known)}
+        model.grams = {g: len(known) + i for i, g in enumerate(parts)}
+        if known:
+            model.table = np.array([*known.values(), *parts.values()])
         return model
 
-    def word(self, word: str) -> np.ndarray:
-        """Log frequencies of a known word; else the mean over its longest known n-grams; else nothing."""
+    def rows(self, word: str) -> list[int]:
+        """The row of a known word; else those of its longest known n-grams, of which the mean counts."""
         known = self.words.get(word)
         if known is not None:
-            return known
+            return [known]
         for size in GRAMS:
-            found = [self.grams[g] for g in cut(word, size) if g in self.grams]
+            found = [row for g in cut(word, size) if (row := self.grams.get(g)) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.languages))
+                return found
+        return []
 
 
 def frequencies(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -71,7 +79,7 @@ def frequencies(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def cut(word: str, size: int) -> list[str]:
-    held = f" {word} "
+    held = f" {word} " if size > 1 else word
     return [held[i : i + size] for i in range(len(held) - size + 1)]
 
 
@@ -83,30 +91,47 @@ class Tokens(dict):
         self.model, self.limit = model, limit
         self.scores = np.zeros((limit + 1, len(model.languages)), np.float32)
 
-    def __missing__(self, token: str) -> int:
-        words = _LETTERS.findall(token.lower())
-        # Row 0 is that of tokens without a letter.
-        at = len(self) + 1 if words else 0
-        if words:
-            self.scores[at] = np.sum([self.model.word(w) for w in words], axis=0)
-        self[token] = at
-        return at
-
-    def text(self, text: str) -> tuple[str, float]:
-        split = text.split()
+    def learn(self, tokens: set[str]) -> None:
+        """Score all tokens that are not known yet at once. Row 0 is that of tokens without a letter."""
+        if len(self) + len(tokens) > self.limit:
+            self.clear()
+        if len(tokens) > self.limit:
+            self.limit = len(tokens)
+        if len(self.scores) <= self.limit:
+            self.scores = np.zeros((self.limit + 1, len(self.model.languages)), np.float32)
+        rows: list[int] = []
+        shares: list[float] = []
+        owners: list[int] = []
+        at = len(self)
+        first = at + 1
+        for token in tokens:
+            if token in self:
+                continue
+            words = _LETTERS.findall(token.lower())
+            at += 1
+            self[token] = at if words else 0
+            for word in words:
+                found = self.model.rows(word)
+                rows += found
+                shares += [1 / len(found)] * len(found) if found else []
+                owners += [at - first] * len(found)
+        values = self.model.table[rows] * np.array(shares, np.float32)[:, None] if rows else np.zeros((0, 0), np.float32)
+        for language in range(len(self.model.languages)):
+            column = values[:, language] if rows else None
+            self.scores[first : at + 1, language] = np.bincount(owners, column, at + 1 - first) if rows else 0
+
+    def texts(self, texts: list[str]) -> list[tuple[str, float]]:
         if not self.model.languages:
+            return [(UNDETERMINED, 0.0)] * len(texts)
+        split = [text.split() for text in texts]
+        self.learn({t for tokens in split for t in tokens})
+        return [self.text(tokens) for tokens in split]
+
+    def text(self, tokens: list[str]) -> tuple[str, float]:
+        at = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        if not at.any():
             return UNDETERMINED, 0.0
-        total = np.zeros(len(self.model.languages))
-        letters = False
-        for first in range(0, len(split), 50_000):
-            part = split[first : first + 50_000]
-            if len(self) + len(part) >= self.limit:
-                self.clear()
-            at = list(map(self.__getitem__, part))
-            total += self.scores[at].sum(axis=0, dtype=np.float64)
-            letters = letters or any(at)
-        if not letters:
-            return UNDETERMINED, 0.0
+        total = self.scores[at].sum(axis=0, dtype=np.float64)
         odds = np.exp(total - total.max())
         best = int(total.argmax())
         return self.model.languages[best], float(odds[best] / odds.sum())
@@ -156,7 +181,7 @@ def predicted(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(sent.value)
         for batch in batches:
-            found = [tokens.text(x.as_py() or "") for x in batch.column(1)]
+            found = [f for group in portions(batch.column(1).to_pylist()) for f in tokens.texts(group)]
             arrays = [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[id, "lang_pred", "score"])
 
@@ -171,7 +196,8 @@ def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(sent.value)
         for batch in batches:
-            mask = [tokens.text(x.as_py() or "")[0] != UNDETERMINED for x in batch.column(at)]
+            groups = portions(batch.column(at).to_pylist())
+            mask = [lang != UNDETERMINED for group in groups for lang, _ in tokens.texts(group)]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(known, docs.schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 
@@ -65,3 +67,16 @@ def scrambled(x: np.ndarray) -> np.ndarray:
 def signed(x: np.ndarray) -> np.ndarray:
     """The same bits as a signed long, Spark's only 64-bit type."""
     return x.view(np.int64)
+
+
+def portions(texts: list[str | None], size: int = 1_000_000) -> Iterator[list[str]]:
+    """Texts in groups of about that many characters, NULL as an empty one."""
+    group: list[str] = []
+    held = 0
+    for text in texts:
+        group.append(text or "")
+        held += len(text or "")
+        if held > size:
+            yield group
+            group, held = [], 0
+    yield group
