@@ -226,6 +226,31 @@ def calendar_documents(f):
     return silver.silver_calendar(bronze.read_calendar(f.spark, root))
 
 
+@query(
+    "silver_calendar_stored",
+    f"""WITH d AS (SELECT CAST(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)) AS DATE) AS dt FROM events)
+        SELECT {_CALENDAR_COLUMNS} FROM d""",
+)
+def silver_calendar_stored(f):
+    """Calendar documents to a table by day that is written twice and stays the same."""
+    landed, root = shared_dir(f.spark, "bronze-calendar"), shared_dir(f.spark, "calendar")
+    documents = bronze.calendar_documents(f.calendar.select("dt"), F.lit("2024-02-01").cast("timestamp"))
+    bronze.write_documents(documents, landed)
+    for _ in range(2):
+        tables.write_days(silver.silver_calendar(bronze.read_calendar(f.spark, landed)), root)
+    return tables.read_days(f.spark, root)
+
+
+@query("bag_union", "SELECT event_id, event_type FROM events UNION ALL SELECT event_id, event_type FROM events WHERE event_type = 'click'")
+def bag_union(f):
+    """Two file tables with rows in common, all of them kept."""
+    roots = [shared_dir(f.spark, name) for name in ("all", "clicks")]
+    events = f.events.select("event_id", "event_type")
+    events.write.parquet(roots[0])
+    events.where(F.col("event_type") == "click").write.parquet(roots[1])
+    return tables.read_many(f.spark, roots)
+
+
 @query(
     "partition_roundtrip",
     with_frames("""SELECT event_ts_utc, dt, series_id, load_mw FROM demand, run WHERE dt BETWEEN d - 7 AND d"""),

@@ -164,7 +164,7 @@ def point_in_time_features(f):
     gold = f.gold(mode="serve").select(
         "series_id", F.col("event_ts_utc").alias("feature_ts"), "load_mw", "load_lag_24h"
     )
-    return asof_join(spine, gold, ["series_id"], "ts", "feature_ts", ttl_seconds=30 * DAY, block_seconds=HOUR, spread=8)
+    return asof_join(spine, gold, ["series_id"], "ts", "feature_ts", ttl_seconds=30 * DAY, block_seconds=HOUR)
 
 
 @query(

@@ -87,7 +87,7 @@ def forecast_vs_actual_reference(f):
     return pairs.select("series_id", "target_ts_utc", "target_date", "y_hat_mw", "load_mw")
 
 
-@query("forecast_metrics", with_frames(f"{_METRICS_SQL} SELECT * FROM metrics"))
+@query("forecast_metrics", with_frames(f"{_METRICS_SQL} SELECT *, 'seasonal_naive' AS model_name FROM metrics"))
 def forecast_metrics(f):
     return rounded(_metrics(f), *_ACCURACY)
 
@@ -143,7 +143,7 @@ def residual_drift(f):
 
 @query(
     "metrics_lookback",
-    with_frames(f"""{_METRICS_SQL} SELECT m.* FROM metrics m, run WHERE target_date BETWEEN d - 7 AND d ORDER BY target_date DESC"""),
+    with_frames(f"""{_METRICS_SQL} SELECT m.*, 'seasonal_naive' AS model_name FROM metrics m, run WHERE target_date BETWEEN d - 7 AND d ORDER BY target_date DESC"""),
 )
 def metrics_lookback(f):
     day = f.run_day

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlake.functions.timefns import DAY
-from loadlake.operators.blocks import BLOCK, block_of
+from loadlake.operators.blocks import BLOCK, block_of, same_keys
 
 
 def asof_join(
@@ -20,7 +20,8 @@ def asof_join(
     ttl_seconds: int | None = None,
     strict: bool = False,
     block_seconds: int = DAY,
-    spread: int = 1,
+    rows_per_part: int = 100_000,
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Each row of ``left`` with the newest ``features`` row of its key at or before its time.
 
@@ -30,42 +31,52 @@ def asof_join(
 
     Keys are cut into time blocks, and a block starts from the newest feature
     row before it, found over one summary row per (key, block). The rows of
-    ``left`` in a block do not depend on each other, so they may be spread over
-    ``spread`` parts, each with the block's features. Set it where ``left`` is
-    much larger than ``features``; then no key or moment fills one task.
+    ``left`` in a block do not depend on each other: where there are more than
+    ``rows_per_part`` of them, they are dealt over as many parts as it takes,
+    and only there the block's features are copied to each part. The counts come
+    from ``left`` itself, so no key or moment fills one task. Of several feature
+    rows of one time the one largest in ``tie_break`` counts.
     """
     values = [c for c in features.columns if c not in keys]
     packed = features.dropna(subset=[*keys, feature_ts]).select(
         *keys, block_of(F.col(feature_ts), block_seconds).alias(BLOCK), F.struct(*values).alias("_feature")
     )
-    newest = packed.groupBy(*keys, BLOCK).agg(F.max_by("_feature", F.col(f"_feature.{feature_ts}")).alias("_feature"))
+    order = [F.col(f"_feature.{c}") for c in (feature_ts, *tie_break)]
+    newest = packed.groupBy(*keys, BLOCK).agg(F.max_by("_feature", F.struct(*order)).alias("_feature"))
     if ttl_seconds is None:
         asked_blocks = left.select(*keys, block_of(F.col(left_ts), block_seconds).alias(BLOCK)).distinct()
         carried = _carried_to(newest, asked_blocks, keys)
     else:
         carried = _carried_ahead(newest, keys, -(-ttl_seconds // block_seconds))
 
-    parts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-    part = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(spread)).cast("int")
-    sources = packed.unionByName(carried).select(
+    blocked = left.withColumn(BLOCK, block_of(F.col(left_ts), block_seconds))
+    # At most one row for rows_per_part rows of left.
+    crowded = blocked.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_part)
+    crowded = crowded.select(*keys, BLOCK, F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts"))
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        met = df.alias("l").join(crowded.alias("r"), same_keys("l", "r", [*keys, BLOCK]), "left")
+        return met.select("l.*", F.coalesce("r._parts", F.lit(1)).alias("_parts"))
+
+    sources = with_parts(packed.unionByName(carried)).select(
         *keys,
         BLOCK,
-        parts.alias("_part"),
+        F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"),
         "_feature",
         F.col(f"_feature.{feature_ts}").alias("_at"),
         F.lit(1 if strict else 0).alias("_kind"),
     )
-    asked = left.select(
+    asked = with_parts(blocked).select(
         *keys,
-        block_of(F.col(left_ts), block_seconds).alias(BLOCK),
-        part.alias("_part"),
+        BLOCK,
+        F.pmod(F.xxhash64(*left.columns), F.col("_parts")).cast("int").alias("_part"),
         F.struct(*[c for c in left.columns if c not in keys]).alias("_left"),
         F.col(left_ts).alias("_at"),
         F.lit(0 if strict else 1).alias("_kind"),
     )
     so_far = (
         Window.partitionBy(*keys, BLOCK, "_part")
-        .orderBy("_at", "_kind")
+        .orderBy("_at", "_kind", *[F.col(f"_feature.{c}") for c in tie_break])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     matched = (

@@ -56,8 +56,13 @@ def accuracy_columns(y: Column, y_hat: Column) -> list[Column]:
     ]
 
 
-def forecast_metrics(pairs: DataFrame, keys: Sequence[str] = ("target_date", "series_id")) -> DataFrame:
-    """MAPE, MAE and RMSE per target day and series."""
+def forecast_metrics(pairs: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """MAPE, MAE and RMSE per target day and series, and per model where the pairs name one.
+
+    Forecasts of a shadow model thus never change the figures of another.
+    """
+    if keys is None:
+        keys = [k for k in ("target_date", "series_id", "model_name") if k != "model_name" or k in pairs.columns]
     return pairs.groupBy(*keys).agg(*accuracy_columns(F.col("load_mw"), F.col("y_hat_mw")))
 
 

@@ -40,12 +40,12 @@ def brute_force(left, features, ttl=None, strict=False):
 
 @pytest.mark.parametrize("ttl", [None, 3000, 86_400 * 3])
 @pytest.mark.parametrize("strict", [False, True])
-@pytest.mark.parametrize("block,spread", [(86_400, 1), (3600, 8), (86_400 * 40, 3)])
-def test_against_brute_force(spark, tmp_path, ttl, strict, block, spread):
+@pytest.mark.parametrize("block,rows_per_part", [(86_400, 1), (3600, 8), (86_400 * 40, 3)])
+def test_against_brute_force(spark, tmp_path, ttl, strict, block, rows_per_part):
     left, features = frames(spark)
     left.write.parquet(str(tmp_path / "left"))
     left = spark.read.parquet(str(tmp_path / "left"))
-    got = asof_join(left, features, ["k"], "ts", "fts", ttl, strict, block, spread)
+    got = asof_join(left, features, ["k"], "ts", "fts", ttl, strict, block, rows_per_part)
     assert got.columns == ["k", "id", "ts", "fts", "value"]
     rows = got.collect()
     want = brute_force(left.collect(), features.collect(), ttl, strict)
@@ -63,7 +63,7 @@ def test_same_instant_counts_unless_strict(spark):
 def test_copies_on_the_left_all_stay(spark):
     left = spark.range(5000).select(F.lit(1).alias("id"), F.lit("k").alias("k"), F.lit("2024-01-02").cast("timestamp").alias("ts"))
     features = spark.sql("SELECT 'k' AS k, timestamp'2024-01-01' AS fts, 5 AS value")
-    got = asof_join(left, features, ["k"], "ts", "fts", spread=8)
+    got = asof_join(left, features, ["k"], "ts", "fts", rows_per_part=2)
     assert got.where("value = 5").count() == 5000
 
 
