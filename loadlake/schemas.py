@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+# Fixed values from here on: field names, types, required columns and the feature
+# contract are given by the documents and tables this package reads and writes.
+
 # Landed demand document: one day (or part of a day) of one series.
 BRONZE_DEMAND = """
     metadata STRUCT<ingested_at_utc STRING, source STRING, filter_id STRING, region STRING,

@@ -164,3 +164,19 @@ def test_points_of_unnamed_series_are_kept(spark):
     points = spark.sql("SELECT CAST(NULL AS STRING) AS source, 'f' AS filter_id, 'r' AS region, 'hour' AS resolution, timestamp'2024-01-01' AS event_ts_utc, 1.0D AS load_mw")
     row = bronze.demand_documents(points).first()
     assert row.metadata.source is None and len(row.data) == 1
+
+
+def test_reads_are_addressed_by_ingestion_date(spark, tmp_path):
+    root = str(tmp_path / "demand")
+    points = spark.range(20 * 24).select(
+        F.lit("s").alias("source"), F.lit("f").alias("filter_id"), F.lit("r").alias("region"), F.lit("hour").alias("resolution"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("event_ts_utc"),
+        F.lit(1.0).alias("load_mw"),
+    )
+    bronze.write_documents(bronze.demand_documents(points), root)
+    documents = bronze.read_demand(spark, root, "2024-01-09", "2024-01-10", late_days=2)
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingestion_date" in plan
+    days = [r[0].isoformat() for r in documents.select("ingestion_date").distinct().orderBy("ingestion_date").collect()]
+    assert days == [f"2024-01-{d:02}" for d in range(8, 13)]
+    assert bronze.demand_points(documents, "2024-01-09", "2024-01-10").count() == 48
