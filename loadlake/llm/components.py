@@ -16,7 +16,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     the number of rounds grows with the logarithm of the longest path. Every
     round is one written table in the shared folder, so a lost executor costs
     at most a round. A node with very many links is only ever a minimum (summed
-    before the shuffle) and one side of a join that adaptive execution splits.
+    before the shuffle) and one side of a join that adaptive execution splits;
+    for that the minima are written first.
     Links with a NULL end and loops say nothing and are left out.
     """
     edges = stored(
@@ -27,8 +28,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     )
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+        lowest = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low")), "lowest")
         larger = both.join(lowest, "u").where(F.col("v") > F.col("u")).select("v", F.col("low").alias("u")).distinct()
+        # By now a node has few smaller neighbours: minima only.
         lowest = larger.groupBy("v").agg(F.min("u").alias("low"))
         met = larger.join(lowest, "v")
         smaller = met.select(F.col("u").alias("v"), F.col("low").alias("u")).where("u < v")

@@ -49,7 +49,10 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
         normalised(F.col(text)).alias("_normal"),
     ).withColumns({"_length": F.length("_normal"), "_prefix": F.xxhash64(F.substring("_normal", 1, PREFIX))})
     narrow = stored(rows.drop("_normal"), "lengths")
+    # Tables with a row per group are written before they are joined: adaptive
+    # execution splits a group of very many rows only between two plain shuffles.
     lengths = narrow.groupBy("_length").agg(F.count("*").alias("_n")).where("_n > 1").select("_length")
+    lengths = stored(lengths, "shared-lengths")
     shared = narrow.join(lengths, "_length", "left_semi")
     prefixes = stored(
         shared.groupBy("_length", "_prefix").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), "prefixes"
@@ -63,7 +66,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     )
     best = F.min(F.struct(-F.col("_points"), F.col("_id").isNull().alias("_none"), "_id"))
     groups = full.groupBy("_hash").agg(F.count("*").alias("group_size"), best["_id"].alias("keep_id"))
-    met = full.join(groups, "_hash").select("_id", "keep_id", "group_size")
+    met = full.join(stored(groups, "groups"), "_hash").select("_id", "keep_id", "group_size")
     alone = settled.select("_id", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     return met.unionByName(alone).select(
         F.col("_id").alias(id), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept")
