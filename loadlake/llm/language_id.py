@@ -108,6 +108,8 @@ class Tokens(dict):
             if token in self:
                 continue
             words = _LETTERS.findall(token.lower())
+            if words and not token.isascii() and not any(map(str.isalpha, token)):
+                words = []  # superscripts and fractions are word characters, but no letters
             at += 1
             self[token] = at if words else 0
             for word in words:
