@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,44 +13,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadlake.llm.words import portions
+
 #: Labelled documents of each class the model is fitted on at most, those of the smallest hashes of their ids.
 SAMPLE_DOCUMENTS = 3_000
 #: Tokens that are compared with every other token.
 LANDMARKS = 96
 #: Weight of each character that a matched subsequence of three spans.
-DECAY = 0.6
+DECAY = 0.7
 #: Steps from one matched character to the next; 4 lets three characters be inserted.
 GAP = 4
+#: Landmarks that share one bound, by which most tokens are passed over.
+GROUP = 8
 #: Kernel values of tokens under this count as none.
-LEAST = 0.3
+LEAST = 0.4
 #: The kernel of two tokens is this power of their normalised subsequence kernel.
-POWER = 3
+POWER = 2
 #: Sentences taken from a labelled document: the ones with the most telling tokens, and as many by their hash.
 SENTENCES = 3
 THRESHOLD = 0.3
 
-_SPELLED = re.compile(r"(?<!\S)\w(?:\s\w){2,}(?!\w)")
-_END = (".", "!", "?", ".\"", "!\"", "?\"")
-#: Stripped from both ends of a token; what stands inside stays and is left to the kernel's gaps.
-_EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»„“”‘’…–—"
+_SPELLED = re.compile(r"[ \t]\w(?:[ \t]\w){2,}(?!\w)")
+_END = re.compile(r"(?<=[.!?])\s+|(?<=[.!?][\"')\]”»])\s+|\n")
+_OTHER = re.compile(r"[\W_]+")
 
 
-def sentences(text: str) -> list[list[str]]:
-    """Lower-case tokens of each sentence; letters spelled one by one are one token."""
-    text = text.lower()
+def prepared(text: str) -> str:
+    """Lower case; letters spelled one by one are one word."""
+    text = f" {text.lower()}"
     if _SPELLED.search(text):
-        text = _SPELLED.sub(lambda m: "".join(m[0].split()), text)
-    found: list[list[str]] = []
-    for line in text.split("\n"):
-        sentence: list[str] = []
-        for token in line.split():
-            sentence.append(token.strip(_EDGES))
-            if token.endswith(_END):
-                found.append(sentence)
-                sentence = []
-        if sentence:
-            found.append(sentence)
-    return found
+        text = _SPELLED.sub(lambda m: " " + "".join(m[0].split()), text)
+    return text
+
+
+def plain(token: str) -> str:
+    """The letters and digits of a token; inserted letters are left to the kernel's gaps."""
+    return token if token.isalnum() else _OTHER.sub("", token)
+
+
+def sentences(text: str) -> list[list[str]]:
+    """White-space separated tokens of each sentence of a prepared text."""
+    return [found for sentence in _END.split(text) if (found := sentence.split())]
+
+
+def plain_sentences(text: str) -> list[list[str]]:
+    found = [[p for t in s if (p := plain(t))] for s in sentences(prepared(text))]
+    return [s for s in found if s]
 
 
 class Alphabet:
@@ -64,21 +73,23 @@ class Alphabet:
 
     def flat(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Characters of all tokens, zeros between them, and where each begins."""
-        blank = "\0" * (2 * GAP)
+        blank = "\0" * GAP  # no step reaches across it
         joined = np.frombuffer((blank.join(tokens) + blank).encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = np.zeros(len(tokens), np.int64)
-        starts[1:] = np.cumsum([len(t) + 2 * GAP for t in tokens[:-1]])
+        starts[1:] = np.cumsum([len(t) + GAP for t in tokens[:-1]])
         return self.table[np.minimum(joined, 0x10FFFF)], starts
 
     def triples(self, flat: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """For each pair of steps: the weight and, per character, the number of the subsequence that begins there, 0 for none."""
+        """For each pair of steps: the weight and, per character, the number of the subsequence that begins there.
+
+        Subsequences with a 0 in them have numbers that no landmark's has.
+        """
         n = len(flat)
         padded = np.concatenate([flat, np.zeros(2 * GAP, flat.dtype)])
         for one in range(1, GAP + 1):
+            pair = (flat * self.size + padded[one : one + n]) * self.size
             for two in range(1, GAP + 1):
-                b, c = padded[one : one + n], padded[one + two : one + two + n]
-                number = (flat * self.size + b) * self.size + c
-                yield DECAY ** (one + two + 1), np.where((flat > 0) & (b > 0) & (c > 0), number, 0)
+                yield DECAY ** (one + two + 1), pair + padded[one + two : one + two + n]
 
 
 def weights_of(token: str) -> dict[str, float]:
@@ -128,6 +139,10 @@ class Kernel:
                 self.table[number[u], j] = x
         # No landmark weighs a subsequence more than this, so a token's sum of it bounds each of its kernel values.
         self.bound = self.table.max(axis=1, initial=0.0)[self.row].astype(np.float32)
+        # The same for groups of landmarks that are neighbours in order of their letters.
+        order = sorted(range(len(landmarks)), key=landmarks.__getitem__)
+        groups = [order[i : i + GROUP] for i in range(0, len(order), GROUP)]
+        self.bounds = np.array([self.table[:, g].max(axis=1) for g in groups], np.float32).T.copy()
         self.norms = np.array([least_norm(n) for n in range(65)])
 
     def near(self, tokens: list[str]) -> np.ndarray:
@@ -144,12 +159,31 @@ class Kernel:
     def values(self, tokens: list[str]) -> np.ndarray:
         """(tokens, landmarks): the power of the normalised kernel, 0 under LEAST."""
         flat, starts = self.alphabet.flat(tokens)
-        total = np.zeros((len(flat), len(self.landmarks)), np.float32)
+        places, rows, weights = [], [], []
         for weight, number in self.alphabet.triples(flat):
-            total += np.float32(weight) * self.table[self.row[number]]
-        sums = np.add.reduceat(total, starts, axis=0)
-        norms = np.array([sum(x * x for x in weights_of(t).values()) ** 0.5 or 1.0 for t in tokens])
-        cosine = sums / norms[:, None]
+            row = self.row[number]
+            at = np.flatnonzero(row)
+            places.append(at)
+            rows.append(row[at])
+            weights.append(np.full(len(at), weight, np.float32))
+        owner = np.searchsorted(starts, np.concatenate(places), "right") - 1
+        order = np.argsort(owner, kind="stable")
+        owner, row, weight = owner[order], np.concatenate(rows)[order], np.concatenate(weights)[order, None]
+        sums = np.zeros((len(tokens), len(self.landmarks)), np.float32)
+        lengths = np.minimum([len(t) for t in tokens], len(self.norms) - 1)
+        norms = self.norms[lengths]
+        if len(owner):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            most = np.zeros(len(tokens), np.float32)
+            most[owner[first]] = np.add.reduceat(self.bounds[row] * weight, first, axis=0).max(axis=1)
+            open_ = (most >= (LEAST - 1e-6) * norms)[owner]
+            owner, row, weight = owner[open_], row[open_], weight[open_]
+        if len(owner):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            sums[owner[first]] = np.add.reduceat(self.table[row] * weight, first, axis=0)
+        for i in np.flatnonzero(sums.max(axis=1) >= (LEAST - 1e-6) * norms):
+            norms[i] = sum(x * x for x in weights_of(tokens[i]).values()) ** 0.5
+        cosine = sums / np.where(norms > 0, norms, 1)[:, None]
         return np.where(cosine >= LEAST, cosine, 0.0) ** POWER
 
     def all(self, tokens: list[str]) -> dict[str, np.ndarray]:
@@ -158,8 +192,8 @@ class Kernel:
         for at in range(0, len(tokens), 4096):
             part = tokens[at : at + 4096]
             close = [part[i] for i in self.near(part)]
-            for first in range(0, len(close), 512):
-                some = close[first : first + 512]
+            for first in range(0, len(close), 1024):
+                some = close[first : first + 1024]
                 for token, row in zip(some, self.values(some), strict=True):
                     if row.any():
                         found[token] = row
@@ -193,39 +227,25 @@ class Scores(dict):
             return
         if len(self) + len(tokens) > self.limit:
             self.clear()
-        new = [t for t in tokens if t not in self]
-        self.update(dict.fromkeys(new, 0.0))
-        self.update({t: float(row @ self.model.weights) for t, row in self.kernel.all(new).items()})
+        new = {t: plain(t) for t in tokens if t not in self}
+        values = {p: float(row @ self.model.weights) for p, row in self.kernel.all(list({*new.values()} - {""})).items()}
+        self.update({t: values.get(p, 0.0) for t, p in new.items()})
 
     def texts(self, texts: list[str]) -> list[float]:
         """The probability of each text's most toxic sentence; a sentence without a known token is the least."""
-        cut = [sentences(text) for text in texts]
-        self.learn({t for found in cut for s in found for t in s})
-        return [self.model.probability(self.margin(found)) for found in cut]
+        texts = list(map(prepared, texts))
+        tokens = list(map(str.split, texts))
+        self.learn(set(chain.from_iterable(tokens)))
+        return [self.model.probability(self.margin(text, split)) for text, split in zip(texts, tokens, strict=True)]
 
-    def margin(self, found: list[list[str]]) -> float:
+    def margin(self, text: str, tokens: list[str]) -> float:
         best = 0.0
-        if self.kernel is not None:
-            for sentence in found:
-                parts = list(map(self.__getitem__, sentence))
-                if any(parts):
-                    best = max(best, sum(parts))
+        # Most texts have no token that counts, so sentences need not be told apart.
+        if self.kernel is not None and any(map(self.__getitem__, tokens)):
+            best = max(0.0, *(sum(map(self.__getitem__, sentence)) for sentence in sentences(text)), 0.0)
         return best + self.model.offset
 
 
-def portions(texts: list[str], size: int = 1_000_000) -> Iterator[list[str]]:
-    """Texts in groups of about that many characters."""
-    group: list[str] = []
-    held = 0
-    for text in texts:
-        group.append(text)
-        held += len(text)
-        if held > size:
-            yield group
-            group, held = [], 0
-    yield group
-
-
 def sampled(docs: DataFrame, labels: DataFrame, text: str, id: str, label: str) -> DataFrame:
     """(id, text, label) of at most SAMPLE_DOCUMENTS labelled documents of each class."""
     known = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label IN (0, 1)")
@@ -262,7 +282,7 @@ def fitted(sample: DataFrame) -> Model:
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, kind in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                found = sorted({t for s in sentences(text.as_py()) for t in s if len(t) >= 3})
+                found = sorted({t for s in plain_sentences(text.as_py()) for t in s if len(t) >= 3})
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([kind] * len(found), pa.int32())], names=["token", "kind"])
 
     counted = sample.select("_text", "_label").mapInArrow(tokens, "token string, kind int").groupBy("token")
@@ -286,13 +306,15 @@ def fitted(sample: DataFrame) -> Model:
         kernel = Kernel(landmarks)
         for batch in batches:
             for doc, text, kind in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                found = sentences(text.as_py())
+                found = plain_sentences(text.as_py())
                 order = sorted(range(len(found)), key=lambda i: -sum(value.get(t, 0.0) for t in set(found[i])))
                 chosen = order[:SENTENCES] if kind == 0 else [i for i in order[:SENTENCES] if any(t in value for t in found[i])] or order[:1]
                 if kind == 0:
                     chosen = chosen + order[SENTENCES :: max(1, len(order) // SENTENCES)][:SENTENCES]
                 known = kernel.all(sorted({t for i in chosen for t in found[i]}))
                 none = np.zeros(len(landmarks), np.float32)
+                if not found:
+                    continue
                 rows = [np.sum([known.get(t, none) for t in found[i]], axis=0).astype(np.float32).tolist() for i in chosen]
                 arrays = [pa.array([doc] * len(rows), pa.int64()), pa.array([kind] * len(rows), pa.int32()), pa.array(rows, pa.list_(pa.float32()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
@@ -379,8 +401,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id"
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(sent.value)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            found = [p for group in portions(texts) for p in scores.texts(group)]
+            found = [p for group in portions(batch.column(1).to_pylist()) for p in scores.texts(group)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=[id, "score"])
 
     marked = docs.select(id, text).mapInArrow(judged, schema)
