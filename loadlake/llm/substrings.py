@@ -118,17 +118,16 @@ def paths(occurrences: DataFrame, k: int) -> DataFrame:
     that holds a part of a path holds the whole of it, word by word. The rows
     of a document's path shrink to one.
     """
-    repeated = (
-        occurrences.groupBy("kmer")
-        .agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-        .where("first < last")
-        .select("kmer", "first")
-    )
+    # The tables with a row per k-mer are written before they are joined: adaptive
+    # execution splits a k-mer of very many rows only between two plain shuffles.
+    ends = occurrences.groupBy("kmer").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    repeated = stored(ends.where("first < last").select("kmer", "first"), "kmers")
     shared = stored(occurrences.join(repeated, "kmer"), "repeated")
     shape = shared.groupBy("kmer").agg(
         (F.min("after") == F.max("after")).alias("one_after"),
         ((F.min("before") == F.max("before")) & (F.min("before") != 0)).alias("one_before"),
     )
+    shape = stored(shape, "shapes")
     ordered = Window.partitionBy("doc").orderBy("at")
     steps = shared.join(shape, "kmer").select(
         "doc",
@@ -286,7 +285,8 @@ def repeated_passages(
     pending = looked.where("ats IS NOT NULL")
     windows = pending.select("doc", F.explode(F.arrays_zip("one", "two", "ats")).alias("w")).select("doc", "w.*")
     known = windows.groupBy("one", "two").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    repeated = windows.join(known.select("one", "two", "first"), ["one", "two"]).where("first < doc")
+    known = stored(known.select("one", "two", "first"), "windows")
+    repeated = windows.join(known, ["one", "two"]).where("first < doc")
     more = repeated.select("doc", F.col("ats").alias("at")).distinct().groupBy("doc").agg(F.collect_list("at").alias("more"))
     settled = looked.where("ats IS NULL").select(*RESULT.names)
     rest = (
