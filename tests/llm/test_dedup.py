@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from loadlake.llm import simhash, substrings
+from loadlake.llm import jaccard, simhash, substrings
 from loadlake.llm.components import components
 from loadlake.llm.exact_dedup import exact_duplicates, without_copies
 
@@ -122,6 +122,46 @@ def test_near_duplicates_of_odd_rows(spark):
     assert simhash.without_near_copies(frame(spark, rows)).columns[2] == "lang"
 
 
+def five_words(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def kept_by_brute_force(docs, similarity=0.8):
+    sets = {i: five_words(t) for i, t in docs if i is not None}
+    links = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9]
+    return {i for i, root in roots(sets, links).items() if i == root}, links
+
+
+def test_the_pipeline_links_all_texts_that_share_four_fifths_of_five_words(spark):
+    """Pairs from 0.7 to 1, a large group, chains and a passage many texts begin with; most pairs differ in more than three bits."""
+    from corpus_pipeline import without_near_copies
+
+    rng = random.Random(11)
+    shared = [f"s{i}" for i in range(40)]
+    docs = [(None, "a b"), (700, None), (701, " "), (702, "one two"), (703, "One TWO"), (704, "one"), (705, "a b c d e f g h"), (706, "a b c d e f g h i")]
+    for i in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(20, 200))]
+        words = shared + words if i % 3 == 0 else words
+        docs.append((3 * i, " ".join(words)))
+        for k in (1, 2):
+            words = list(words)
+            for _ in range(rng.randrange(1, 1 + max(1, len(words) // 40))):
+                words[rng.randrange(len(words))] = "edited" + str(rng.randrange(99))
+            docs.append((3 * i + k, " ".join(words)))
+    base = [f"g{i}" for i in range(100)]
+    docs += [(1000 + i, " ".join(base[:i] + ["x" + str(i)] + base[i + 1 :])) for i in range(100)]
+    want, links = kept_by_brute_force(docs)
+    far = [1 for i, j in links if (brute_mark(dict(docs)[i], 3) ^ brute_mark(dict(docs)[j], 3)).bit_count() > 3]
+    assert len(far) > len(links) / 2
+    kept = without_near_copies(spark, frame(spark, docs), "")
+    assert kept.columns == frame(spark, docs).columns
+    assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(want)
+    assert kept.where("doc_id IS NULL").count() == 1
+    assert jaccard.links(frame(spark, docs)).count() < len(links)
+    assert without_near_copies(spark, frame(spark, []), "").count() == 0
+
+
 def brute_passages(docs, window):
     words = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in docs}
     first = {}
