@@ -22,8 +22,8 @@ def digest(text: Column) -> Column:
     return F.sha2(normalised(text), 256)
 
 
-def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """One row per document: ``id``, keep_id, group_size, kept.
+def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", digests: bool = False) -> DataFrame:
+    """One row per document: ``id``, keep_id, group_size, kept, and with ``digests`` the row's text_sha256.
 
     Texts are equal if they are the same after white space is deleted; of equal
     texts the one with the most characters stays, then the smallest id.
@@ -32,7 +32,8 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
        characters come from one scan, as a narrow table.
     2. Rows whose length no other row has are settled. Of the others, rows
        whose (length, prefix hash) no other row has are settled.
-    3. Only what is left meets its text again, for the full hash.
+    3. Only what is left meets its text again, for the full hash. With
+       ``digests`` every row brings its own from the first scan instead.
 
     The groups of each round are counts, summed before they are shuffled; they
     go back to the rows in joins of which one side has a row per group and the
@@ -48,6 +49,8 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
         F.coalesce(F.length(text), F.lit(0)).alias("_points"),
         normalised(F.col(text)).alias("_normal"),
     ).withColumns({"_length": F.length("_normal"), "_prefix": F.xxhash64(F.substring("_normal", 1, PREFIX))})
+    if digests:
+        rows = rows.withColumn("_hash", F.sha2("_normal", 256))
     narrow = stored(rows.drop("_normal"), "lengths")
     # Tables with a row per group are written before they are joined: adaptive
     # execution splits a group of very many rows only between two plain shuffles.
@@ -60,16 +63,19 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     settled = narrow.join(prefixes, ["_length", "_prefix"], "left_anti")
     open_ = narrow.join(prefixes, ["_length", "_prefix"], "left_semi")
     same_row = F.expr("a._id <=> b._id AND a._length = b._length AND a._prefix = b._prefix")
-    full = stored(
-        rows.alias("a").join(open_.alias("b"), same_row, "left_semi").select("_id", "_points", F.sha2("_normal", 256).alias("_hash")),
-        "hashes",
-    )
+    hashed = rows.alias("a").join(open_.alias("b"), same_row, "left_semi").select("_id", "_points", F.sha2("_normal", 256).alias("_hash"))
+    full = stored(open_.select("_id", "_points", "_hash") if digests else hashed, "hashes")
     best = F.min(F.struct(-F.col("_points"), F.col("_id").isNull().alias("_none"), "_id"))
     groups = full.groupBy("_hash").agg(F.count("*").alias("group_size"), best["_id"].alias("keep_id"))
-    met = full.join(stored(groups, "groups"), "_hash").select("_id", "keep_id", "group_size")
-    alone = settled.select("_id", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
+    more = ["_hash"] if digests else []
+    met = full.join(stored(groups, "groups"), "_hash").select("_id", "keep_id", "group_size", *more)
+    alone = settled.select("_id", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), *more)
     return met.unionByName(alone).select(
-        F.col("_id").alias(id), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept")
+        F.col("_id").alias(id),
+        "keep_id",
+        "group_size",
+        F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        *[F.col(c).alias("text_sha256") for c in more],
     )
 
 

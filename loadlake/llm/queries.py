@@ -79,9 +79,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    digests = docs.select("doc_id", exact_dedup.digest(F.col("text")).alias("text_sha256"))
-    return exact_dedup.exact_duplicates(docs).join(digests, "doc_id")
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digests=True)
 
 
 _oracle["op7_exact_dedup"] = r"""

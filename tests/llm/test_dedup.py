@@ -66,6 +66,20 @@ def test_exact_duplicates_keep_the_longest_then_the_smallest_id(spark):
     assert got == sorted(want, key=str)
 
 
+def test_the_query_gives_one_row_per_row(spark, tmp_path):
+    from loadlake.llm.queries import op7_exact_dedup
+
+    rows = EXACT + [(None, "no other"), (9, "another text"), (9, "another text"), (2, "abc")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op7_exact_dedup(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    digest = [(i, hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).hexdigest()) for i, t in rows]
+    got = got.collect()
+    assert sorted(((r["doc_id"], r["text_sha256"]) for r in got), key=str) == sorted(digest, key=str)
+    alone = [r for r in got if r["doc_id"] is None and r["group_size"] == 1]
+    assert len(alone) == 1 and alone[0]["kept"] and alone[0]["keep_id"] is None
+
+
 def test_exact_copies_go_and_other_columns_stay(spark):
     kept = without_copies(frame(spark, EXACT))
     assert kept.columns == frame(spark, EXACT).columns
