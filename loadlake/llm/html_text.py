@@ -54,7 +54,8 @@ _MARKUP = re.compile(
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?", re.I)
+#: A name and its whole value, so that nothing is found inside another name or value.
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -64,20 +65,23 @@ class Node:
 
     __slots__ = ("name", "parent", "children", "around", "score", "length", "linked")
 
-    def __init__(self, name: str, parent: Node | None, around: bool = False):
+    def __init__(self, name: str, parent: Node | None, around: bool | None = False):
         self.name, self.parent, self.around = name, parent, around
         self.children: list[Node | str] = []
         self.score = 0.0
         self.length = self.linked = 0
 
 
-def surrounds(name: str, attributes: str) -> bool:
-    """Whether an element stands around the text, by its name and its class, id and role."""
+def surrounds(name: str, attributes: str) -> bool | None:
+    """Whether an element stands around the text, by its name and its class, id and role.
+
+    None if only a part of a longer name says so, like has-sidebar: that may as well wrap the text.
+    """
     if name in DROPPED:
         return True
-    if not attributes:
+    if not attributes or name in ("html", "body"):
         return False
-    words: set[str] = set()
+    whole: set[str] = set()
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -85,11 +89,34 @@ def surrounds(name: str, attributes: str) -> bool:
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
-        else:
-            words.update(_WORD.findall(value))
-    if name in ("html", "body", "article", "main"):
-        return name == "article" and bool(words & {"comment", "comments", "reply"})
-    return bool((words & AROUND) - (OF_MAIN if words & MAIN else frozenset()))
+        elif key in ("class", "id", "role"):
+            whole.update(value.split())
+    words = {w for token in whole for w in _WORD.findall(token)}
+    if name == "main":
+        return False
+    marking = {"comment", "comments", "reply"} if name == "article" else AROUND - (OF_MAIN if words & MAIN else frozenset())
+    return True if whole & marking else None if words & marking else False
+
+
+def decided(root: Node) -> None:
+    """Elements that only a part of a name marks stand around the text, but for those that hold half of the page's text or more."""
+    order: list[Node] = []
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.children if isinstance(c, Node) and not c.around)
+    if all(node.around is False for node in order):
+        return
+    held: dict[int, int] = {}
+    for node in reversed(order):
+        own = 0 if node.name == "a" else held.get(id(node), 0) + sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        held[id(node)] = own
+        if node.parent is not None:
+            held[id(node.parent)] = held.get(id(node.parent), 0) + own
+    for node in order:
+        if node.around is None:
+            node.around = 2 * held[id(node)] < held[id(root)] or not held[id(node)]
 
 
 def tree(html: str) -> Node:
@@ -255,7 +282,9 @@ def main_text(html: str | None) -> str:
     """The blocks of a page's main text, one a line; empty if it has none."""
     if not html:
         return ""
-    order = measured(tree(html))
+    root = tree(html)
+    decided(root)
+    order = measured(root)
     return "\n".join(lines(chosen(order)))
 
 
@@ -265,7 +294,9 @@ def extracted(pages: DataFrame, html: str = "html", id: str = "page_id", url: st
     Each page is parsed to a tree on its own, by a scan for tags that supplies
     missing end tags; elements that surround a text (menus, page headers and
     footers, sidebars, notices, adverts, forms, scripts, styles, comments, and
-    what is hidden) are left out by name, class, id and role. Paragraphs pass
+    what is hidden) are left out by name, class, id and role. One that only a
+    part of a class or id marks, like has-sidebar, stays if it holds half of the
+    page's text outside links. Paragraphs pass
     points up to their ancestors (``chosen``); the best container is kept with
     the siblings that belong to it. Character references are decoded, white
     space inside a block is one blank, blocks are joined by one line feed.

@@ -203,6 +203,25 @@ def test_main_text(name):
     assert html_text.main_text(html) == want
 
 
+STORY = "<p>The story, at last, is here, and it is long enough to be told.</p><p>It ends, too.</p>"
+
+
+@pytest.mark.parametrize(
+    "attribute", ['href="/hidden-gems"', 'title="A hidden valley"', 'href="/page?id=search"', 'data-id="footer-7"', "href='/x' data-role=menu", 'data-hidden="1"']
+)
+def test_attributes_are_told_apart(attribute):
+    assert html_text.main_text(f"<article><p>one <a {attribute}>two</a> three</p></article>") == "one two three"
+    assert html_text.main_text(f"<body {attribute}><article><p>one two</p></article></body>") == "one two"
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "site has-sidebar", "elementor-widget-post", "no-banner"])
+def test_wrappers_of_the_text_stay_and_what_stands_beside_it_goes(name):
+    want = "The story, at last, is here, and it is long enough to be told.\nIt ends, too."
+    beside = "".join(f'<div class="{c}"><p>Side, text, here</p></div>' for c in ("sidebar", "site-footer", "cookie-notice", "main-nav"))
+    assert html_text.main_text(f'<body><div class="{name}"><div>{STORY}</div>{beside}</div></body>') == want
+    assert html_text.main_text(f'<div class="{name}">{beside}<article>{STORY}</article></div>') == want
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "<p>deep") == "deep"
     assert len(html_text.main_text("<article>" + "<p>word, word</p>" * 20_000)) == 20_000 * 11 - 1
