@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlake.llm import embeddings, exact_dedup, html_text, language_id, licenses, mixing, packing, simhash, substrings, toxicity
+from loadlake.llm import (
+    embeddings,
+    exact_dedup,
+    html_text,
+    language_id,
+    licenses,
+    mixing,
+    packing,
+    periodic_runs,
+    resampling,
+    sentencepieces,
+    simhash,
+    substrings,
+    toxicity,
+)
 from loadlake.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,3 +209,114 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes in SQL, bit by bit."""
+    octets = f"list_transform(range(1, 2 * octet_length(encode({text})) + 1, 2), lambda i: ('0x' || substr(hex(encode({text})), i, 2))::BIGINT)"
+    bit = "lambda r, k: CASE WHEN r & 1 = 1 THEN xor(3988292384::BIGINT, r >> 1) ELSE r >> 1 END"
+    step = f"lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), {bit})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), {step}), 4294967295::BIGINT)"
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", periodic_runs.made_periodic(F.col("text"), F.col("doc_id")).alias("text"))
+    rows = periodic_runs.periodic_runs(docs, min_length=24, min_exponent=3)
+    best = periodic_runs.longest(F.col("runs"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return rows.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000).cast("long") * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+_oracle["op11_periodic_runs"] = rf"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         {crc32_sql("CAST(doc_id AS VARCHAR)")} AS h
+  FROM documents),
+shaped AS (
+  SELECT doc_id, words, h % 10 = 0 AND len(words) > 0 AS again, (h // 10) % greatest(len(words), 1) AS a,
+         1 + (len(words) - (h // 10) % greatest(len(words), 1)) // (3 + (h // 10) % 8) AS p
+  FROM split),
+listed AS (
+  SELECT doc_id, i, CASE WHEN again AND i >= a THEN words[a + (i - a) % p + 1] ELSE words[i + 1] END AS w
+  FROM (SELECT *, unnest(range(len(words))) AS i FROM shaped)),
+equal AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM listed x JOIN listed y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal) GROUP BY doc_id, q, island),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id),
+best AS (
+  SELECT r.* FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM runs o WHERE o.doc_id = r.doc_id AND (o.length * r.period > r.length * o.period
+      OR (o.length * r.period = r.length * o.period AND (o.start, o.period) < (r.start, r.period))))),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT l.doc_id, string_agg(w, ' ' ORDER BY l.i) AS text
+  FROM listed l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i WHERE g.i IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, b.length * 1000 // b.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN told USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = "piece_bpe_32k.model"
+    rows = sentencepieces.decoded(sentencepieces.encoded(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resampled(docs, target, percent=10, min_words=20, buckets=10_000, width=1, seed=2024)
+
+
+_oracle["op13_resampling"] = rf"""
+WITH listed AS (
+  SELECT doc_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+targeted AS (
+  SELECT unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+counted AS (SELECT w, count(*) AS s FROM listed WHERE w <> '' GROUP BY w),
+wanted AS (SELECT w, count(*) AS t FROM targeted WHERE w <> '' GROUP BY w),
+words AS (
+  SELECT w, coalesce(s, 0) AS s, coalesce(t, 0) AS t, {crc32_sql("w")} % 10000 AS bucket FROM counted FULL JOIN wanted USING (w)),
+totals AS (SELECT sum(s) AS s, sum(t) AS t FROM words),
+gains AS (
+  SELECT bucket, floor(1000 * ln((sum(words.t) + 1)::DOUBLE * (any_value(totals.s) + 10000)::DOUBLE
+                                 / ((sum(words.s) + 1)::DOUBLE * (any_value(totals.t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM words, totals GROUP BY bucket),
+weights AS (
+  SELECT doc_id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM listed JOIN words USING (w) JOIN gains USING (bucket) WHERE w <> '' GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+         + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents LEFT JOIN weights USING (doc_id)),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored s LEFT JOIN placed USING (doc_id)
+"""
