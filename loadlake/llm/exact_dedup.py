@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadlake.llm.scratch import Scratch, numbered
 from loadlake.sources.tables import stored
 
 #: What is deleted before texts are compared: space and U+0009 to U+000D.
@@ -80,6 +81,18 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", di
 
 
 def without_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns."""
-    dropped = exact_duplicates(docs, text, id).where("NOT kept").select(F.col(id)).distinct()
-    return docs.join(dropped, docs[id].eqNullSafe(dropped[id]), "left_anti")
+    """One row of ``docs`` for each text that ``exact_duplicates`` tells apart, with all its columns.
+
+    Of equal texts the longest stays, then the smallest id, a NULL one last,
+    then the row that was read first. Rows are told apart by their place: of
+    rows that repeat an id each is judged by its own text, and of rows that
+    repeat id and text one stays. NULL and blank texts are equal to each other.
+    An empty table gives no rows. Other columns are carried along, whatever
+    their names.
+    """
+    rows = numbered(docs, Scratch(docs.sparkSession))
+    key = F.struct(F.col("doc")[id].isNull().alias("none"), F.col("doc")[id].alias("id"), "row")
+    found = exact_duplicates(rows.select(key.alias("key"), F.col("doc")[text].alias("text")), "text", "key")
+    # Written, so that its size is known when the join is planned.
+    dropped = stored(found.where("NOT kept").select("key.row"), "copies")
+    return rows.join(dropped, "row", "left_anti").select("doc.*")

@@ -7,10 +7,12 @@ import re
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
 from loadlake.llm import jaccard, simhash, substrings
 from loadlake.llm.components import components
 from loadlake.llm.exact_dedup import exact_duplicates, without_copies
+from loadlake.llm.scratch import Scratch
 
 DOCS = "doc_id long, text string, lang string, half string, component_id long, _id long, copy int"
 
@@ -172,7 +174,8 @@ def test_the_pipeline_links_all_texts_that_share_four_fifths_of_five_words(spark
     assert kept.columns == frame(spark, docs).columns
     assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(want)
     assert kept.where("doc_id IS NULL").count() == 1
-    assert jaccard.links(frame(spark, docs)).count() < len(links)
+    search = jaccard.connected(frame(spark, docs).where("doc_id IS NOT NULL"), 5, 0.8, "text", "doc_id", Scratch(spark))
+    assert search.found.count() < len(links)
     assert without_near_copies(spark, frame(spark, []), "").count() == 0
 
 
@@ -230,3 +233,43 @@ def test_paths_are_shorter_than_their_kmers(spark):
     assert edges.count() > 200
     assert substrings.paths(edges, 10).count() == 2
     assert as_found(substrings.repeated_passages(docs.withColumnRenamed("doc", "doc_id")).where(F.col("doc_id") == 2))[2][1] == 3000
+
+
+def test_stages_judge_rows_and_not_ids(spark):
+    """One id on several texts, repeated rows, rows without an id, columns named like the operators' own."""
+    from corpus_pipeline import without_copies as exact_stage
+    from corpus_pipeline import without_near_copies
+
+    long = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    near = long.replace("w59", "edited")
+    rows = [(1, long), (2, long), (2, other), (2, other), (3, near), (None, long), (None, "alone"), (None, None), (4, ""), (4, " ")]
+    docs = frame(spark, rows).select("*", F.lit(1).alias("row"), F.lit(2).alias("doc"), F.lit(3).alias("node"))
+    for repeat in (4,):
+        exact = exact_stage(spark, docs.repartition(repeat), "")
+        assert exact.columns == docs.columns
+        assert sorted((str(r["doc_id"]), r["text"]) for r in exact.collect()) == sorted(
+            [("1", long), ("2", other), ("3", near), ("None", "alone"), ("4", " ")]
+        )
+        kept = without_near_copies(spark, docs.repartition(repeat), "")
+        assert kept.columns == docs.columns
+        got = sorted((str(r["doc_id"]), r["text"]) for r in kept.collect())
+        assert [g for g in got if g[0] != "4"] == [("1", long), ("2", other), ("None", "alone")]
+        assert [g[0] for g in got].count("4") == 1 and len(got) == 4
+
+
+def test_large_groups_cost_a_comparison_a_text(spark):
+    """Near copies that differ in different places: each shingle has another lead, yet few pairs are compared."""
+    rng = random.Random(8)
+    base = [f"g{i}" for i in range(300)]
+    docs = []
+    for i in range(200):
+        words = list(base)
+        for _ in range(3):
+            words[rng.randrange(300)] = f"x{rng.randrange(9999)}"
+        docs.append((i, " ".join(words)))
+    search = jaccard.connected(frame(spark, docs), 5, 0.8, "text", "doc_id", Scratch(spark))
+    assert search.found.count() < 3 * len(docs)
+    _, links = kept_by_brute_force(docs)
+    want = roots({i for i, _ in docs}, links)
+    assert {r["node"]: r["component"] for r in search.groups.collect()} == {i: c for i, c in want.items() if list(want.values()).count(c) > 1}
