@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +17,10 @@ from loadlake.llm.words import portions
 
 #: Documents the model is fitted on, about, however many there are.
 SAMPLE_DOCUMENTS = 20_000
-#: Words the model knows at most, the most frequent ones of the sample.
+#: Words the model knows at most; each language has an equal part, for its most frequent ones.
 VOCABULARY = 60_000
+#: Up to so many languages the table of their sizes is broadcast.
+BROADCAST_LANGUAGES = 10_000
 #: Lengths of the n-grams of unseen words, tried in this order. A word is held between two blanks for them.
 GRAMS = (4, 3, 2, 1)
 #: Added to every count.
@@ -147,20 +149,26 @@ def held_out(id: str = "doc_id") -> Column:
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text", id: str = "doc_id") -> Model:
     """A model of the languages of ``docs``.
 
-    It is fitted on a bounded sample: about ``SAMPLE_DOCUMENTS`` documents with
-    a language, chosen by a hash of the id. Their words are counted by Spark;
-    the ``VOCABULARY`` most frequent (language, word) pairs come to the driver,
-    ties in order of the word. N-grams are counted over these.
+    It is fitted on a bounded sample: each language has an equal part of
+    ``SAMPLE_DOCUMENTS``, about, chosen by a hash of the id, and all its
+    documents if they are fewer. Their words are counted by Spark; each
+    language's most frequent words, its part of ``VOCABULARY``, come to the
+    driver, ties in order of the word. So no language is lost beside a large
+    one. N-grams are counted over these words.
     """
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    share = min(1.0, SAMPLE_DOCUMENTS / max(1, usable.count()))
-    chosen = F.pmod(F.xxhash64(F.col(id), F.lit("language")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    words = usable.where(chosen).select(
-        F.col(lang).alias("language"), F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word")
-    )
+    usable = usable.select(F.col(lang).alias("language"), F.col(text).alias("_text"), F.col(id).alias("_id"))
+    sizes = usable.groupBy("language").agg(F.count("*").alias("_size"))
+    languages = max(1, sizes.count())
+    if languages <= BROADCAST_LANGUAGES:
+        sizes = F.broadcast(sizes)
+    share = F.lit(SAMPLE_DOCUMENTS / languages) / F.col("_size")
+    chosen = F.pmod(F.xxhash64("_id", F.lit("language")), F.lit(1 << 20)) < F.ceil(share * (1 << 20))
+    words = usable.join(sizes, "language").where(chosen).select("language", F.explode(F.split(F.lower("_text"), r"[^\p{L}]+")).alias("word"))
     counts = words.where("word <> ''").groupBy("language", "word").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "language", "word").limit(VOCABULARY).collect()
-    return Model.of([(r["language"], r["word"], r["n"]) for r in top])
+    place = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "word"))
+    top = counts.withColumn("place", place).where(F.col("place") <= max(1, VOCABULARY // languages))
+    return Model.of([(r["language"], r["word"], r["n"]) for r in top.orderBy(F.desc("n"), "language", "word").collect()])
 
 
 def predicted(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id") -> DataFrame:

@@ -45,6 +45,12 @@ def test_language_of_odd_rows(spark):
     assert got[1, "und"] == 0 and got[5, "en"] > 0.5
     assert language_id.identified(docs, model).count() == 5
     assert language_id.identified(docs, model).schema == docs.schema
+    large = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the weather of day "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"), F.lit("en").alias("lang"))
+    few = spark.createDataFrame([(30_000 + i, t, "cy") for i, t in enumerate(["mae hen wlad fy nhadau", "yn annwyl i mi", "gwlad beirdd a chantorion"])], large.schema)
+    model = language_id.fit(large.unionByName(few))
+    assert sorted(model.languages) == ["cy", "en"]
+    asked = spark.createDataFrame([(1, "fy nhadau annwyl"), (2, "the day")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.predicted(asked, model).collect()} == {1: "cy", 2: "en"}
     nothing = language_id.fit(labelled.where("false"))
     assert {r["lang_pred"] for r in language_id.predicted(docs, nothing).collect()} == {"und"}
     assert language_id.predicted(docs.where("false"), model).count() == 0
