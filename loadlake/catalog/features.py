@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loadlake.catalog.frames import GOLD_COLUMNS, GOLD_ROUNDED, rounded, with_frames
@@ -11,6 +12,7 @@ from loadlake.catalog.registry import query
 from loadlake.functions.timefns import DAY, HOUR
 from loadlake.operators import history, samples
 from loadlake.operators.asof import asof_join, latest
+from loadlake.operators.bitemporal import known_asof_join
 from loadlake.plans.gold import day_ahead_features, joined_base
 from loadlake.session import shared_dir
 from loadlake.sources import tables
@@ -272,3 +274,39 @@ def gold_located(f):
     return gold.select(
         "series_id", "location_name", "event_ts_utc", "load_mw", "load_lag_1h", "load_lag_24h", "temperature_2m", "temp_lag_24h"
     )
+
+
+#: One event in ten lands a day late, and one in five is corrected six hours after it was known.
+_LANDED_SQL = """WITH first AS (
+    SELECT event_type AS series_id, ts AS value_ts, value, event_id,
+      ts + (CASE WHEN event_id * 7919 % 10 = 3 THEN 1560 ELSE 2 + event_id % 13 END) * INTERVAL 1 MINUTE AS known_ts
+    FROM events),
+  versions AS (
+    SELECT series_id, value_ts, known_ts, value FROM first
+    UNION ALL SELECT series_id, value_ts, known_ts + INTERVAL 6 HOUR, value + 1 FROM first WHERE event_id % 5 = 0),
+  asked AS (SELECT event_id, event_type AS series_id, ts, ts + (event_id % 3) * INTERVAL 1 HOUR AS origin FROM events)"""
+
+
+@query(
+    "known_at_origin",
+    f"""{_LANDED_SQL}
+      SELECT a.event_id, a.series_id, a.ts, a.origin, best.e AS value_ts, best.k AS known_ts, best.v AS value
+      FROM asked a LEFT JOIN (
+        SELECT a.event_id, max({{'e': v.value_ts, 'k': v.known_ts, 'v': v.value}}) AS best
+        FROM asked a JOIN versions v ON v.series_id = a.series_id AND v.value_ts <= a.ts AND v.known_ts <= a.origin
+        GROUP BY a.event_id) USING (event_id)""",
+)
+def known_at_origin(f):
+    """The newest value at each event's time as it was known up to two hours later, with values that land late or are corrected."""
+    id, ts = F.col("event_id"), F.col("ts")
+    delay = F.when(id * 7919 % 10 == 3, 1560).otherwise(2 + id % 13)
+    first = f.events.select(
+        F.col("event_type").alias("series_id"), ts.alias("value_ts"), _minutes_after(ts, delay).alias("known_ts"), "value", "event_id"
+    )
+    corrected = first.where(F.col("event_id") % 5 == 0).withColumns({"known_ts": _minutes_after(F.col("known_ts"), F.lit(360)), "value": F.col("value") + 1})
+    asked = f.events.select("event_id", F.col("event_type").alias("series_id"), "ts", _minutes_after(ts, id % 3 * 60).alias("origin"))
+    return known_asof_join(asked, first.unionByName(corrected).drop("event_id"), ["series_id"], "ts", "origin", "value_ts", "known_ts")
+
+
+def _minutes_after(ts: Column, minutes: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros(ts) + minutes.cast("long") * 60_000_000)
