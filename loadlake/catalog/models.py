@@ -11,7 +11,7 @@ from loadlake.catalog.features import SAME_HOUR_STATS
 from loadlake.catalog.frames import WEATHER_SCALES, Frames, rounded, with_frames
 from loadlake.catalog.registry import query
 from loadlake.operators.history import LOAD_LAGS
-from loadlake.plans import model, trainset
+from loadlake.plans import model, quantile_regression, trainset
 from loadlake.session import shared_dir
 from loadlake.sources import tables
 
@@ -60,8 +60,22 @@ def split_counts(f):
     return trainset.split_counts(_splits(f))
 
 
+def _gbt_record(f: Frames) -> DataFrame:
+    splits = _stored_splits(f)
+    fitted = model.train_gbt(splits)
+    scored = model.score(fitted, splits.where(F.col("split") == "test"))
+    metrics = model.evaluate(scored, baseline="load_mw")
+    return model.run_record("gbt", f.run_day, model.model_features(fitted), metrics)
+
+
+@query("train_gbt")
+def train_gbt(f):
+    """The run's record: metrics of the test days, which neither fit nor early stopping saw, beside the 24 h naive."""
+    return rounded(_gbt_record(f), "rmse", "mae", "mape", "baseline_rmse")
+
+
 @query(
-    "train_gbt",
+    "train_gbt_digest",
     with_frames(
         f"""{_SPLIT_SQL}
       SELECT 'gbt' AS run_id, (SELECT d FROM run) AS run_date, 31 AS n_features, '{_LEARNED}' AS feature_names,
@@ -69,19 +83,31 @@ def split_counts(f):
       FROM split WHERE split = 'test'"""
     ),
 )
-def train_gbt(f):
-    """Metrics of the test days, which neither fit nor early stopping saw, beside the 24 h naive."""
+def train_gbt_digest(f):
+    """What SQL can say of the run: its features, the naive error, and that the model beats it."""
+    record = _gbt_record(f).withColumn("beats_baseline", F.col("rmse") < F.col("baseline_rmse"))
+    return rounded(record.drop("rmse", "mae", "mape"), "baseline_rmse")
+
+
+def _gbt_forecasts(f: Frames) -> DataFrame:
+    """Forecasts of the day after the run day for every series, and whether each is within the range of the labels learned from."""
+    day = f.run_day
     splits = _stored_splits(f)
     fitted = model.train_gbt(splits)
-    scored = model.score(fitted, splits.where(F.col("split") == "test"))
-    metrics = model.evaluate(scored, baseline="load_mw")
-    record = model.run_record("gbt", f.run_day, model.model_features(fitted), metrics)
-    record = record.withColumn("beats_baseline", F.col("rmse") < F.col("baseline_rmse"))
-    return rounded(record.drop("rmse", "mae", "mape"), "baseline_rmse")
+    span = splits.where(F.col("split") == "train").agg(F.min("target_load_mw").alias("a"), F.max("target_load_mw").alias("b")).first()
+    serve = f.gold(mode="serve").where(F.col("dt") == F.lit(day))
+    created = F.to_timestamp(F.lit(day + timedelta(days=1)))
+    rows = model.batch_forecast(model.score(fitted, serve), model.MODEL_NAME, "gbt", created)
+    return rows.withColumn("within_labels", F.col("y_hat_mw").between(span["a"], span["b"]))
+
+
+@query("batch_forecast")
+def batch_forecast(f):
+    return rounded(_gbt_forecasts(f).drop("within_labels"), "y_hat_mw")
 
 
 @query(
-    "batch_forecast",
+    "batch_forecast_digest",
     with_frames(
         f"""{_SPLIT_SQL}
       SELECT dt AS forecast_run_date, dt + 1 AS target_date, event_ts_utc, series_id, 'day_ahead_gbt' AS model_name,
@@ -89,16 +115,9 @@ def train_gbt(f):
       FROM gold, run WHERE dt = d"""
     ),
 )
-def batch_forecast(f):
-    """Forecasts of the day after the run day for every series, each within the range of the labels it was learned from."""
-    day = f.run_day
-    splits = _stored_splits(f)
-    fitted = model.train_gbt(splits)
-    span = splits.where(F.col("split") == "train").agg(F.min("target_load_mw").alias("a"), F.max("target_load_mw").alias("b")).first()
-    serve = f.gold(mode="serve").where(F.col("dt") == F.lit(day))
-    created = F.to_timestamp(F.lit(day + timedelta(days=1)))
-    rows = model.batch_forecast(model.score(fitted, serve), model.MODEL_NAME, "gbt", created)
-    return rows.withColumn("within_labels", F.col("y_hat_mw").between(span["a"], span["b"])).drop("y_hat_mw")
+def batch_forecast_digest(f):
+    """What SQL can say of the forecasts: their rows, and that each is within the labels learned from."""
+    return _gbt_forecasts(f).drop("y_hat_mw")
 
 
 @query(
@@ -134,3 +153,13 @@ def foreign_model(f):
 
     scored = model.score_with(rows, ["load_mw", "load_lag_24h", "hour"], predict)
     return rounded(scored.select("series_id", "event_ts_utc", "y_hat_mw"), "y_hat_mw")
+
+
+@query("quantile_forecasts")
+def quantile_forecasts(f):
+    """P10, P50 and P90 of the load a day ahead on the days after the training rows, by fitted linear quantiles."""
+    splits = _stored_splits(f)
+    learned = ["load_mw", "load_lag_24h", "load_mean_7d_same_hour"]
+    fitted = quantile_regression.fit_quantiles(splits.where("split = 'train'"), learned, "target_load_mw")
+    rows = fitted.predict(splits.where("split <> 'train'"))
+    return rows.select("split", "series_id", "event_ts_utc", "target_load_mw", "y_hat_p10", "y_hat_p50", "y_hat_p90")

@@ -17,16 +17,20 @@ def con(sf_dir):
     return oracle(sf_dir)
 
 
+#: Results of a fit, which SQL cannot repeat; their digests and the models have tests of their own.
+FITTED = {"train_gbt", "batch_forecast", "quantile_forecasts"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - FITTED == set(ORACLE)
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
 # Results of one row in all.
-ONE_ROW = {"best_run", "last_approved_run", "run_success_7d", "retrain_decision", "train_gbt"}
+ONE_ROW = {"best_run", "last_approved_run", "run_success_7d", "retrain_decision", "train_gbt_digest"}
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLE)
 def test_query(spark, con, sf_dir, name):
     """The rows are the oracle's, and the plan has no cross join and gathers nothing in one task."""
     df = QUERIES[name](spark, sf_dir)
