@@ -173,16 +173,36 @@ def license_sql() -> str:
     known = ", ".join(f"('{name}', '{sentence}')" for name, sentence in licenses.SENTENCES.items())
     rules = ["".join(f"<{i}>" for i in sequence) for _, sequence in licenses.RULES]
     named = ", ".join(f"('{rule}', '{licence}')" for rule, (licence, _) in zip(rules, licenses.RULES, strict=True))
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+    def replaced(value: str, pairs: list[tuple[str, str]]) -> str:
+        for pattern, replacement in pairs:
+            value = f"regexp_replace({value}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
+        return value
+
+    plain = replaced("trim(regexp_replace(lower(piece), '[^a-z0-9]+', ' ', 'g'))", licenses.VARIANTS)
     return rf"""
 WITH known(name, sentence) AS (VALUES {known}), named(rule, licence) AS (VALUES {named}),
 sentences AS (
-  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS sentence
-  FROM (SELECT doc_id, string_split_regex(text, '{licenses.BOUNDARY}') AS parts FROM documents)),
+  SELECT doc_id, place, piece, {plain} AS plain
+  FROM (SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS piece
+        FROM (SELECT doc_id, string_split_regex({replaced("text", licenses.PREPARED)}, {quoted(licenses.BOUNDARY)}) AS parts FROM documents))
+  WHERE regexp_matches(piece, '[A-Za-z0-9][A-Za-z0-9]')),
+whole AS (SELECT s.*, k.name FROM sentences s LEFT JOIN known k ON k.sentence = s.plain),
+lines AS (
+  SELECT doc_id, place, line, {plain} AS plain
+  FROM (SELECT doc_id, place, generate_subscripts(parts, 1) AS line, unnest(parts) AS piece
+        FROM (SELECT doc_id, place, string_split(piece, chr(10)) AS parts FROM whole WHERE name IS NULL))
+  WHERE regexp_matches(piece, '[A-Za-z0-9][A-Za-z0-9]')),
+told AS (
+  SELECT doc_id, place, 0 AS line, name FROM whole WHERE name IS NOT NULL
+  UNION ALL SELECT doc_id, place, line, name FROM lines LEFT JOIN known ON sentence = plain),
 sequences AS (
-  SELECT doc_id, count(*) AS n_sentences, count(k.name) AS n_known,
-         string_agg('<' || coalesce(k.name, '-') || '>', '' ORDER BY place) AS sequence
-  FROM sentences s LEFT JOIN known k ON k.sentence = trim(regexp_replace(lower(s.sentence), '[^a-z0-9]+', ' ', 'g'))
-  GROUP BY doc_id),
+  SELECT doc_id, count(*) AS n_sentences, count(name) AS n_known,
+         string_agg('<' || coalesce(name, '-') || '>', '' ORDER BY place, line) AS sequence
+  FROM told GROUP BY doc_id),
 matches AS (
   SELECT doc_id, generate_subscripts(rules, 1) AS place, unnest(rules) AS rule
   FROM (SELECT doc_id, regexp_extract_all(sequence, '{"|".join(rules)}') AS rules FROM sequences)),
