@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ SLACK = 1e-6
 _CELL_BITS = 6
 
 
+@lru_cache(maxsize=8)
 def rotation(size: int, seed: int) -> np.ndarray:
     """A fixed random orthonormal matrix; it spreads a distance evenly over the blocks."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, size)))
@@ -30,6 +32,7 @@ def rotation(size: int, seed: int) -> np.ndarray:
 CELLS = T.StructType(
     [
         T.StructField("label", T.IntegerType()),
+        T.StructField("size", T.IntegerType()),
         T.StructField("block", T.IntegerType()),
         T.StructField("cell", T.LongType()),
         T.StructField("own", T.BooleanType()),
@@ -39,7 +42,7 @@ CELLS = T.StructType(
 )
 
 
-def cells(vectors: DataFrame, size: int, cosine: float, probes: bool, seed: int = 0) -> DataFrame:
+def cells(vectors: DataFrame, cosine: float, probes: bool, seed: int = 0) -> DataFrame:
     """The grid cells of each vector, for each block of its rotated direction.
 
     Two unit vectors of a cosine of ``cosine`` have the squared distance
@@ -49,25 +52,27 @@ def cells(vectors: DataFrame, size: int, cosine: float, probes: bool, seed: int
     nearer one at most, and a subset of the dimensions says which cells it
     touches. With ``probes`` a row is made for each touched cell that comes
     after the vector's own one in order (each pair of cells once) and for its
-    own; without, for its own cell only.
+    own; without, for its own cell only. ``place`` is filled up with zeros to
+    ``BLOCK`` numbers, which adds no distance.
     """
-    edges = list(range(0, size, BLOCK))
-    budget = (2 - 2 * cosine) / len(edges) + SLACK
-    radius = budget**0.5
-    turn = rotation(size, seed)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                x = np.stack([np.asarray(v, np.float64) for v in part.column(2).to_pylist()])
-                x = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ turn
-                labels, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
-                for block, edge in enumerate(edges):
-                    yield from laid(labels, ids, x[:, edge : edge + BLOCK], block)
-
-    def laid(labels: np.ndarray, ids: np.ndarray, y: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
+            sizes = np.asarray(batch.column(3))
+            for size in np.unique(sizes).tolist():
+                same = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                for at in range(0, same.num_rows, 2000):
+                    part = same.slice(at, 2000)
+                    x = np.stack([np.asarray(v, np.float64) for v in part.column(2).to_pylist()])
+                    x = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ rotation(size, seed)
+                    labels, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
+                    for block in range(blocks(size)):
+                        yield from laid(labels, ids, x[:, block * BLOCK : (block + 1) * BLOCK], block, size)
+
+    def laid(labels: np.ndarray, ids: np.ndarray, y: np.ndarray, block: int, size: int) -> Iterator[pa.RecordBatch]:
         d = y.shape[1]
+        budget = (2 - 2 * cosine) / blocks(size) + SLACK
+        radius = budget**0.5
         scale = 1 << _CELL_BITS
         weight = scale ** np.arange(d - 1, -1, -1, dtype=np.int64)
         cell = np.floor(y / (2 * radius)).astype(np.int64)
@@ -84,31 +89,35 @@ def cells(vectors: DataFrame, size: int, cosine: float, probes: bool, seed: int
             shift = np.einsum("ij,ij->i", step[rows], subsets[subset].astype(np.int64))
             keep = shift >= 0
             rows, shift = rows[keep], shift[keep]
-        place = y[rows].astype(np.float32)
+        place = np.zeros((len(rows), BLOCK), np.float32)
+        place[:, :d] = y[rows]
         arrays = [
             pa.array(labels[rows].astype(np.int32)),
+            pa.array(np.full(len(rows), size, np.int32)),
             pa.array(np.full(len(rows), block, np.int32)),
             pa.array(key[rows] + shift),
             pa.array(shift == 0),
             pa.array(ids[rows]),
-            pa.ListArray.from_arrays(np.arange(0, place.size + 1, d, dtype=np.int32), place.ravel()),
+            pa.ListArray.from_arrays(np.arange(0, place.size + 1, BLOCK, dtype=np.int32), place.ravel()),
         ]
         yield pa.RecordBatch.from_arrays(arrays, names=CELLS.names)
 
-    return vectors.select("label", "id", "v").mapInArrow(placed, CELLS)
+    return vectors.select("label", "id", "v", F.size("v")).mapInArrow(placed, CELLS)
 
 
-def links(vectors: DataFrame, size: int, cosine: float) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct vectors of one label with that cosine at least; ``vectors``: label, id, v."""
-    budget = (2 - 2 * cosine) / -(-size // BLOCK) + 2 * SLACK
-    here = cells(vectors, size, cosine, probes=True).withColumnsRenamed({"id": "a", "place": "pa"})
-    there = cells(vectors, size, cosine, probes=False).drop("own").withColumnsRenamed({"id": "b", "place": "pb"})
-    gaps = [(F.col("pa")[i] - F.col("pb")[i]) * (F.col("pa")[i] - F.col("pb")[i]) for i in range(min(BLOCK, size))]
-    if size % BLOCK:
-        gaps = [F.coalesce(F.try_element_at("pa", F.lit(i + 1)) - F.try_element_at("pb", F.lit(i + 1)), F.lit(0.0)) for i in range(BLOCK)]
-        gaps = [g * g for g in gaps]
+def blocks(size: int) -> int:
+    """The number of blocks of a vector of ``size`` dimensions."""
+    return -(-size // BLOCK)
+
+
+def links(vectors: DataFrame, cosine: float) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct vectors of one label and length with that cosine at least; ``vectors``: label, id, v."""
+    budget = F.lit(2 - 2 * cosine) / F.ceil(F.col("size") / BLOCK) + 2 * SLACK
+    here = cells(vectors, cosine, probes=True).withColumnsRenamed({"id": "a", "place": "pa"})
+    there = cells(vectors, cosine, probes=False).drop("own").withColumnsRenamed({"id": "b", "place": "pb"})
+    gaps = [(F.col("pa")[i] - F.col("pb")[i]) * (F.col("pa")[i] - F.col("pb")[i]) for i in range(BLOCK)]
     near = sum(gaps[1:], gaps[0]) <= budget
-    met = here.join(there, ["label", "block", "cell"]).where((~F.col("own") | (F.col("a") < F.col("b"))) & near)
+    met = here.join(there, ["label", "size", "block", "cell"]).where((~F.col("own") | (F.col("a") < F.col("b"))) & near)
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sides = [vectors.select(F.col("id").alias(s), F.col("v").cast("array<double>").alias(f"v{s}")) for s in "ab"]
     full = pairs.join(sides[0], "a").join(sides[1], "b")
@@ -137,42 +146,45 @@ def near_duplicates(
     vector never meet each other. No pair is left out for a bucket's size.
 
     NULL vectors and labels, zero vectors and vectors with NULL, NaN or
-    infinite components link with nothing; so do vectors of a length that is not
-    the most frequent one. Rows that repeat an id count as one vector more
-    each. Rows with a NULL id link with nothing. Other columns are not read.
+    infinite components link with nothing, vectors of different lengths not
+    with one another. Rows that repeat an id count as one vector more each, with
+    the links of their own vector. Rows with a NULL id link with nothing. An
+    empty table gives no rows. Other columns are not read.
     """
     value = F.col(embedding)
     named = vectors.select(F.col(id).cast("long").alias("id"), F.col(label).cast("int").alias("label"), value.alias("v"))
     finite = F.coalesce(
         F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False)
     )
-    usable = named.where(finite & F.col("label").isNotNull() & F.col("id").isNotNull())
-    sizes = usable.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
+    fits = finite & F.col("label").isNotNull() & F.col("id").isNotNull()
     whole = F.col("id").eqNullSafe(F.col("component_id"))
-    if sizes is None:
-        return named.select(F.col("id").alias(id), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    size = sizes["size"]
-    marked = usable.where(F.size("v") == size).withColumn("mark", F.sha2(F.concat_ws(",", F.transform("v", lambda x: x.cast("string"))), 256))
+    marked = named.where(fits).withColumn("mark", F.sha2(F.concat_ws(",", F.transform("v", lambda x: x.cast("string"))), 256))
+    # Ids may repeat, so distinct vectors get numbers; they are written, so these stay the same in every use.
     distinct = stored(
-        marked.groupBy("label", "mark").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("v").alias("v")), "vectors"
+        marked.groupBy("label", "mark")
+        .agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("v").alias("v"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "vectors",
     )
-    pairs = stored(links(distinct.select("label", F.col("rep").alias("id"), "v"), size, cosine), "pairs")
+    pairs = stored(links(distinct.select("label", F.col("node").alias("id"), "v"), cosine), "pairs")
     ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    weights = distinct.select(F.col("rep").alias("b"), "copies")
-    degree = ends.join(weights, "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    found = components(pairs, "a", "b")
+    weights = distinct.select(F.col("node").alias("b"), "copies")
+    degree = ends.join(weights, "b").groupBy("a").agg(F.sum("copies").alias("others")).withColumnRenamed("a", "node")
+    members = stored(components(pairs, "a", "b").join(distinct.select("node", "rep"), "node"), "members")
+    named_by = members.groupBy("component").agg(F.min("rep").alias("lowest"))
+    found = members.join(named_by, "component").select("node", "lowest")
     known = (
-        distinct.join(degree, F.col("rep") == F.col("a"), "left")
-        .join(found, F.col("rep") == F.col("node"), "left")
+        distinct.select("label", "mark", "node", "rep", "copies")
+        .join(degree, "node", "left")
+        .join(found, "node", "left")
         .select(
             "label",
             "mark",
             (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("lowest", "rep").alias("component_id"),
         )
     )
     linked = marked.join(known, ["label", "mark"]).select("id", "n_links", "component_id")
-    fits = finite & F.col("label").isNotNull() & F.col("id").isNotNull() & (F.size("v") == size)
     alone = named.where(~F.coalesce(fits, F.lit(False))).select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")
     )
