@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadlake.sources.tables import stored
+
 #: Up to so many sources the table of rates is broadcast; a larger one meets the documents in salted joins.
 BROADCAST_SOURCES = 10_000
 #: Parts in which a source is cut for that join.
@@ -48,6 +50,24 @@ def rates(docs: DataFrame, weights: DataFrame | None, total: float | None, sourc
     return counts.select("_source", F.when(F.col("_weight") > 0, rate).otherwise(0.0).alias("_rate"))
 
 
+def keyed(docs: DataFrame, id: str) -> DataFrame:
+    """(_row, _key): each row as one struct, so that none of its names can clash, and a key of its own.
+
+    The key is the id. Rows of an id that comes more than once, or that is
+    NULL, have a place beside it; they alone are written, so that the places
+    stay the same in every use. Ids are counted without the rows.
+    """
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id).cast("string").alias("_key"))
+    again = rows.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1 OR _key IS NULL").select("_key")
+    again = stored(again, "repeated-ids")
+    if again.isEmpty():
+        return rows
+    same = rows["_key"].eqNullSafe(again["_key"])
+    place = F.concat_ws("#", F.coalesce("_key", F.lit("null")), F.monotonically_increasing_id().cast("string"))
+    many = stored(rows.join(again, same, "left_semi").withColumn("_key", place), "repeated-rows")
+    return rows.join(again, same, "left_anti").unionByName(many)
+
+
 def mixed(
     docs: DataFrame,
     weights: DataFrame | None = None,
@@ -66,24 +86,25 @@ def mixed(
 
     A source's mean repetition rate is total * share / documents. Each document
     appears as often as a Poisson number of that mean, found by inverting the
-    distribution at a uniform number hashed from (seed, id): the expected mix
+    distribution at a uniform number hashed from (seed, key): the expected mix
     is exact, no document's count depends on another's, and a task that is run
     again gives the same rows. Rates above ``PART`` are sums of several Poisson
-    numbers. Rows are then sorted by a hash of (seed, id, copy), a uniform key,
-    so a source of any size is spread over all partitions.
+    numbers. Rows are then sorted by a hash of (seed, key, copy), a uniform key,
+    so a source or an id of any size is spread over all partitions. The key is
+    the id where it is unique; rows that share one, or have none, draw a number
+    each (``keyed``), by their place in the table.
 
     The rates are counted with partial sums and meet the documents without
     moving texts, by a broadcast if there are ``BROADCAST_SOURCES`` sources at
     most, else by joins on the source and one of ``SALTS`` salts.
 
-    NULL is a source like any other. Rows that repeat an id are replicated
-    alike. NULL ids share one number. No text is read, and other columns are
-    carried along; a column ``copy`` of ``docs`` is replaced.
+    NULL is a source like any other. An empty table stays empty. No text is
+    looked at, however long, and other columns are carried along; a column
+    ``copy`` of ``docs`` is replaced.
     """
     table = rates(docs, weights, total, source, power)
-    # The row travels as one struct, so none of its names can clash.
-    rows = docs.drop("copy").select(F.struct("*").alias("_row"), F.col(source).alias("_in"), F.col(id).cast("string").alias("_key"))
-    key = F.coalesce("_key", F.lit("null"))
+    rows = keyed(docs.drop("copy"), id).withColumn("_in", F.col("_row")[source])
+    key = F.col("_key")
     if table.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         met = rows.join(F.broadcast(table), F.col("_in").eqNullSafe(F.col("_source")))
     else:
