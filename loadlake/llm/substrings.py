@@ -70,6 +70,7 @@ EDGE = T.StructType(
     [
         T.StructField("kmer", T.LongType()),
         T.StructField("doc", T.LongType()),
+        T.StructField("part", T.LongType()),
         T.StructField("at", T.IntegerType()),
         T.StructField("after", T.LongType()),
         T.StructField("before", T.LongType()),
@@ -85,7 +86,7 @@ def edges(docs: DataFrame, window: int, k: int) -> DataFrame:
         for batch in batches:
             parts: list[tuple[np.ndarray, ...]] = []
             rows = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 listed = words(text.as_py())
                 if len(listed) < window:
                     continue
@@ -93,7 +94,7 @@ def edges(docs: DataFrame, window: int, k: int) -> DataFrame:
                 at = e.at
                 between = e.rolling.runs(at[:-1], at[1:] + k)
                 end = np.zeros(1, np.uint64)
-                parts.append((e.kmers[at], np.full(len(at), doc), at, np.append(between, end), np.append(end, between)))
+                parts.append((e.kmers[at], np.full(len(at), doc), np.full(len(at), part), at, np.append(between, end), np.append(end, between)))
                 rows += len(at)
                 if rows > 200_000:
                     yield joined(parts)
@@ -102,15 +103,15 @@ def edges(docs: DataFrame, window: int, k: int) -> DataFrame:
                 yield joined(parts)
 
     def joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        kmer, doc, at, after, before = (np.concatenate(x) for x in zip(*parts, strict=True))
-        values = [signed(kmer), doc.astype(np.int64), at.astype(np.int32), signed(after), signed(before)]
+        kmer, doc, part, at, after, before = (np.concatenate(x) for x in zip(*parts, strict=True))
+        values = [signed(kmer), doc.astype(np.int64), part.astype(np.int64), at.astype(np.int32), signed(after), signed(before)]
         return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=EDGE.names)
 
-    return docs.mapInArrow(found, EDGE)
+    return docs.select("doc", "part", "text").mapInArrow(found, EDGE)
 
 
 def paths(occurrences: DataFrame, k: int) -> DataFrame:
-    """(doc, start, end, first): stretches of a document that repeat, unbranched, in others; ``first`` is the smallest of these.
+    """(doc, part, start, end, first): stretches of a document that repeat, unbranched, in others; ``first`` is the smallest of these.
 
     A k-mer that two documents hold is a repeated edge. Where it is always
     followed by the same text up to the same next k-mer, and that one is always
@@ -128,15 +129,16 @@ def paths(occurrences: DataFrame, k: int) -> DataFrame:
         ((F.min("before") == F.max("before")) & (F.min("before") != 0)).alias("one_before"),
     )
     shape = stored(shape, "shapes")
-    ordered = Window.partitionBy("doc").orderBy("at")
+    ordered = Window.partitionBy("doc", "part").orderBy("at")
     steps = shared.join(shape, "kmer").select(
         "doc",
+        "part",
         "at",
         "first",
         (F.col("one_before") & F.lag("one_after", 1, False).over(ordered)).alias("goes_on"),
     )
     runs = steps.withColumn("run", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(ordered))
-    return runs.groupBy("doc", "run").agg(
+    return runs.groupBy("doc", "part", "run").agg(
         F.min("at").alias("start"), (F.max("at") + k).alias("end"), F.min("first").alias("first")
     )
 
@@ -167,6 +169,7 @@ RESULT = T.StructType(
 SEEN = T.StructType(
     [
         *RESULT.fields,
+        T.StructField("part", T.LongType()),
         T.StructField("text", T.StringType()),
         T.StructField("starts", T.ArrayType(T.IntegerType())),
         T.StructField("ends", T.ArrayType(T.IntegerType())),
@@ -177,6 +180,16 @@ SEEN = T.StructType(
 )
 
 
+def told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``part``, a hash of the text where an id comes more than once, else 0, which takes next to no room."""
+    again = stored(docs.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc"), "repeated-ids")
+    one = docs.withColumn("part", F.lit(0).cast("long"))
+    if again.isEmpty():
+        return one
+    many = docs.join(again, "doc", "left_semi").withColumn("part", F.xxhash64("text"))
+    return one.join(again, "doc", "left_anti").unionByName(many)
+
+
 def repeated_passages(
     docs: DataFrame, window: int = 50, k: int = K, text: str = "text", id: str = "doc_id", with_text: bool = True
 ) -> DataFrame:
@@ -204,13 +217,15 @@ def repeated_passages(
 
     NULL, empty and blank texts have no words and the hash of an empty text. A
     repeated row is not "a document with a smaller id" for itself: rows of one
-    id and text get the same answer. Rows with a NULL id are compared with no
-    other and lose nothing. ``id`` must be an integer. Other columns are not read.
+    id and text get the same answer, and other texts of that id an answer of
+    their own. Rows with a NULL id are compared with no other and lose nothing;
+    an empty table gives no rows. ``id`` must be an integer. Other columns are
+    not read.
     """
     source = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
-    named = source.where("doc IS NOT NULL")
+    named = told_apart(source.where("doc IS NOT NULL"))
     occurrences = stored(edges(named, window, k), "edges")
-    spans = paths(occurrences, k).groupBy("doc").agg(
+    spans = paths(occurrences, k).groupBy("doc", "part").agg(
         F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"), F.collect_list("first").alias("firsts")
     )
 
@@ -219,11 +234,11 @@ def repeated_passages(
         for batch in batches:
             rows: list[dict] = []
             size = 0
-            columns = [batch.column(i) for i in range(5)]
-            for doc, value, starts, ends, firsts in zip(*columns, strict=True):
+            columns = [batch.column(i) for i in range(6)]
+            for doc, part, value, starts, ends, firsts in zip(*columns, strict=True):
                 doc, value = doc.as_py(), value.as_py()
                 listed = words(value)
-                row = {"doc": doc, "n_words": len(listed)}
+                row = {"doc": doc, "part": part.as_py(), "n_words": len(listed)}
                 removed = np.zeros(len(listed), bool)
                 if starts.is_valid:
                     starts, ends, firsts = (np.array(x.as_py(), np.int64) for x in (starts, ends, firsts))
@@ -280,18 +295,18 @@ def repeated_passages(
 
     seen = arrow_schema(SEEN)
     result = arrow_schema(RESULT)
-    met = named.join(spans, "doc", "left").unionByName(source.where("doc IS NULL"), allowMissingColumns=True)
-    looked = stored(met.select("doc", "text", "starts", "ends", "firsts").mapInArrow(looked_at, SEEN), "passages")
+    met = named.join(spans, ["doc", "part"], "left").unionByName(source.where("doc IS NULL"), allowMissingColumns=True)
+    looked = stored(met.select("doc", "part", "text", "starts", "ends", "firsts").mapInArrow(looked_at, SEEN), "passages")
     pending = looked.where("ats IS NOT NULL")
-    windows = pending.select("doc", F.explode(F.arrays_zip("one", "two", "ats")).alias("w")).select("doc", "w.*")
+    windows = pending.select("doc", "part", F.explode(F.arrays_zip("one", "two", "ats")).alias("w")).select("doc", "part", "w.*")
     known = windows.groupBy("one", "two").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     known = stored(known.select("one", "two", "first"), "windows")
     repeated = windows.join(known, ["one", "two"]).where("first < doc")
-    more = repeated.select("doc", F.col("ats").alias("at")).distinct().groupBy("doc").agg(F.collect_list("at").alias("more"))
+    more = repeated.select("doc", "part", F.col("ats").alias("at")).distinct().groupBy("doc", "part").agg(F.collect_list("at").alias("more"))
     settled = looked.where("ats IS NULL").select(*RESULT.names)
     rest = (
-        pending.select("doc", "text", "starts", "ends")
-        .join(more, "doc", "left")
+        pending.select("doc", "part", "text", "starts", "ends")
+        .join(more, ["doc", "part"], "left")
         .select("doc", "text", "starts", "ends", "more")
         .mapInArrow(finished, RESULT)
     )
