@@ -247,13 +247,20 @@ class Scores(dict):
 
 
 def sampled(docs: DataFrame, labels: DataFrame, text: str, id: str, label: str) -> DataFrame:
-    """(id, text, label) of at most SAMPLE_DOCUMENTS labelled documents of each class."""
-    known = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label IN (0, 1)")
+    """(id, text, label) of at most SAMPLE_DOCUMENTS labelled documents of each class.
+
+    One row for each id: an id that is labelled twice counts as toxic if it is
+    so once, and of the texts that share an id one is taken, by hash.
+    """
+    known = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label IN (0, 1) AND _id IS NOT NULL")
+    known = known.groupBy("_id").agg(F.max("_label").alias("_label"))
     by_hash = F.xxhash64("_id", F.lit("toxicity"))
     chosen = [known.where(F.col("_label") == c).orderBy(by_hash, "_id").limit(SAMPLE_DOCUMENTS) for c in (0, 1)]
     # Twice SAMPLE_DOCUMENTS rows of two numbers.
     few = F.broadcast(chosen[0].unionByName(chosen[1]))
-    return docs.where(F.col(text).isNotNull()).join(few, F.col(id) == F.col("_id")).select("_id", F.col(text).alias("_text"), "_label")
+    texts = docs.select(F.col(id).alias("_doc"), F.col(text).alias("_text")).where("_text IS NOT NULL")
+    met = texts.join(few, F.col("_doc") == F.col("_id"))
+    return met.groupBy("_id", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")).select("_id", "_text", "_label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id", label: str = "toxic") -> Model:
