@@ -225,10 +225,28 @@ def test_repeated_passages_of_odd_rows(spark):
     assert substrings.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_repeated_passages_of_an_id_with_several_texts(spark):
+    """Each text of an id is judged by its own words, whichever way its windows meet others."""
+    first = [f"w{i}" for i in range(300)]
+    rows = [
+        (1, " ".join(first)),
+        (2, " ".join(first)),
+        (2, "short one"),
+        (2, " ".join(["x"] + first[100:200])),
+        (2, " ".join(f"v{i}" for i in range(70))),
+        (2, None),
+        (3, " ".join(f"v{i}" for i in range(60))),
+        (3, "long " * 200_000),
+        (3, "long " * 200_000),
+    ]
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in substrings.repeated_passages(frame(spark, rows)).collect())
+    assert got == [(1, 300, 0), (2, 0, 0), (2, 2, 0), (2, 70, 0), (2, 101, 100), (2, 300, 300), (3, 60, 60), (3, 200_000, 0), (3, 200_000, 0)]
+
+
 def test_paths_are_shorter_than_their_kmers(spark):
     """A long copy is one row of a path, however many edges it has."""
     text = " ".join(f"w{i}" for i in range(3000))
-    docs = spark.createDataFrame([(1, text), (2, text)], "doc long, text string")
+    docs = spark.createDataFrame([(1, 0, text), (2, 0, text)], "doc long, part long, text string")
     edges = substrings.edges(docs, 50, 10)
     assert edges.count() > 200
     assert substrings.paths(edges, 10).count() == 2

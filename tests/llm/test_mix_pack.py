@@ -72,6 +72,22 @@ def test_rows_are_shuffled_and_keep_their_columns(spark, sources):
     assert mixing.mixed(sources.where("false")).count() == 0
 
 
+def test_rows_of_one_id_and_rows_without_one_draw_a_number_each(spark):
+    """A repeated id and NULL ids meet the targets as other rows do, and rows of unique ids keep their numbers."""
+    unique = spark.range(2_000).select(F.col("id").alias("doc_id"), F.lit("u").alias("source"), F.lit(None).cast("string").alias("text"))
+    same = spark.range(20_000).select(F.lit(70_000).cast("long").alias("doc_id"), F.lit("h").alias("source"), F.col("id").cast("string").alias("text"))
+    none = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("n").alias("source"), F.lit("").alias("text"))
+    docs = unique.unionByName(same).unionByName(none)
+    weights = spark.createDataFrame([("u", 1.0), ("h", 20.0), ("n", 20.0)], "source string, weight double")
+    out = mixing.mixed(docs, weights, total=84_000, seed=5)
+    got = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert got["h"] == pytest.approx(41_000, rel=0.03) and got["n"] == pytest.approx(41_000, rel=0.03)
+    times = Counter(r["count"] for r in out.where("source = 'h'").groupBy("text").count().collect())
+    assert len(times) > 5
+    alone = mixing.mixed(unique, total=84_000 / 41, seed=5)
+    assert sorted((r["doc_id"], r["copy"]) for r in out.where("source = 'u'").collect()) == sorted((r["doc_id"], r["copy"]) for r in alone.collect())
+
+
 def test_many_sources_take_salted_joins(spark, sources, monkeypatch):
     whole = sorted((r["doc_id"], r["copy"]) for r in mixing.mixed(sources).collect())
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 2)
@@ -202,6 +218,22 @@ def test_embedding_links_match_brute_force(spark, size, cosine):
     assert embeddings.near_duplicates(frame.where("false")).count() == 0
 
 
+def test_embeddings_of_several_lengths_and_repeated_ids(spark):
+    """Vectors meet those of their own length, whatever the others; an id's vectors have the links of each."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(size).tolist(), 1) for i, size in enumerate([64] * 20 + [3] * 2 + [2] * 4 + [70] * 3 + [8] * 3)]
+    rows += [(100 + i, [x * 2.5 + 1e-3 for x in rows[i][1]], 1) for i in range(len(rows))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(frame).collect()}
+    _, links = brute_links(rows, 0.93)
+    degree = Counter(x for pair in links for x in pair)
+    assert {len(rows[a % 100][1]) for a, _ in links} == {64, 3, 2, 70, 8} and got == {i: degree[i] for i, _, _ in rows}
+    east, north, west = [1.0, 0.0], [0.0, 1.0], [-1.0, 0.0]
+    again = spark.createDataFrame([(5, east, 1), (5, north, 1), (6, east, 1), (7, west, 1), (8, north, 1), (4, west, 1)], frame.schema)
+    found = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_duplicates(again).collect())
+    assert found == [(4, 1, 4, True), (5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 4, False), (8, 1, 5, False)]
+
+
 # Queries and pipeline
 
 

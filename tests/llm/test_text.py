@@ -144,6 +144,13 @@ def test_toxicity_of_odd_rows(spark, insults):
     assert {r["predicted"] for r in toxicity.scored(docs, none).collect()} == {0}
 
 
+def test_toxicity_learns_one_text_of_an_id(spark):
+    docs = frame(spark, [(1, f"text {i}") for i in range(300)] + [(2, "b"), (2, None), (None, "c")])
+    labels = spark.createDataFrame([(1, 0), (1, 1), (1, 1), (2, 0), (None, 1), (3, 1)], "doc_id long, toxic int")
+    got = toxicity.sampled(docs, labels, "text", "doc_id", "toxic").collect()
+    assert sorted((r["_id"], r["_label"]) for r in got) == [(1, 1), (2, 0)]
+
+
 # Licences
 
 
