@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlake.operators.quantiles import quantiles, small_group_quantiles
+from loadlake.sources.tables import stored
 
 # Fixed values of the index.
 BINS = 10
@@ -27,10 +28,10 @@ def psi(
 ) -> DataFrame:
     """Index per key with the sizes of both samples; keys lacking one sample are left out.
 
-    ``pooled`` is for a few keys, bounded by the query, whose samples may exceed
-    one task: the cut points are broadcast and no key is gathered. The counts
-    per bin are reduced before the shuffle either way. ``samples`` is read more
-    than once.
+    ``pooled`` is for keys whose samples may exceed one task: the cut points
+    are written, so that their size decides how they meet the samples, and no
+    key is gathered. The counts per bin are reduced before the shuffle either
+    way. ``samples`` is read more than once.
     """
     rows = samples.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
         *keys, F.col(value).alias("_v"), F.col(is_recent).alias("_recent")
@@ -38,7 +39,7 @@ def psi(
     probs = [i / bins for i in range(bins + 1)]
     baseline = rows.where(~F.col("_recent"))
     if pooled:
-        cut_points = F.broadcast(quantiles(baseline, keys, "_v", probs, few=True))
+        cut_points = stored(quantiles(baseline, keys, "_v", probs), "cut-points")
     else:
         cut_points = small_group_quantiles(baseline, keys, "_v", probs)
     counts = (

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# percentile_approx keeps ranks within n / ACCURACY. A bracket of SLACK on
-# either side holds both order statistics once a group has SMALL rows; below
-# that the whole group is the bracket.
+from loadlake.sources.tables import stored
+
+# percentile_approx keeps ranks within n / ACCURACY, so edges SLACK apart on
+# either side of a probability hold few rows between them. Edges only decide
+# how many rows are ranked, never the result.
 ACCURACY = 50_000
 SLACK = 4 / ACCURACY
-SMALL = 100_000
 
 
 def small_group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
@@ -20,77 +21,65 @@ def small_group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs:
     return df.groupBy(*keys).agg(F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles"))
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], few: bool = False) -> DataFrame:
+def cell_of(value: Column, edges: Column, n: int) -> Column:
+    """The place of ``value`` among ``n`` ascending edges: odd on an edge, even between two; it never falls as ``value`` grows."""
+    at = [F.get(edges, F.lit(i)) for i in range(n)]
+    steps = [F.when(value > e, 2).when(value == e, 1).otherwise(0) for e in at]
+    return sum(steps[1:], steps[0])
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """For groups of any size: ``keys`` and the array ``quantiles``.
 
-    ``few`` says that the query itself bounds the number of groups, as a list
-    of features does; the brackets are then broadcast and the rows of a group
-    stay where they are. ``df`` is read three times.
+    A sketch gives two edges around each probability, and the edges cut a
+    group's values into cells. The rows of every cell are counted, which tells
+    exactly in which cells the wanted order statistics lie, and only the rows
+    of those cells are ranked, a cell per task, with equal values counted once
+    before the shuffle. That is right wherever the edges lie, for groups of any
+    size; the better the sketch, the fewer rows are ranked. An edge is a cell of
+    its own, so a value that very many rows share is one row of a cell.
 
-    A sketch brackets the two order statistics each probability needs. Then
-    the rows below each bracket are counted and only the rows inside it are
-    ranked, one bracket per task, with equal values counted once before the
-    shuffle. The brackets travel with the counts, so a recomputed sketch
-    cannot mix with older counts.
+    Edges and wanted cells are a row for each group or cell and are written, so
+    their size is known when they meet the rows, and a sketch that is computed
+    again cannot mix with older counts. ``df`` is read three times. Rows with a
+    NULL value or key are left out; a group without values has no row.
     """
+    keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    low = [F.lit(max(0.0, p - SLACK)) for p in probs]
-    high = [F.lit(min(1.0, p + SLACK)) for p in probs]
-    sketch = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(*low), ACCURACY).alias("_low"),
-        F.percentile_approx("_v", F.array(*high), ACCURACY).alias("_high"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        (F.count(F.lit(1)) < SMALL).alias("_small"),
-    )
+    wanted_probs = [x for p in probs for x in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(x) for x in wanted_probs]), ACCURACY)
+    edges = stored(rows.groupBy(*keys).agg(F.array_sort(sketch).alias("_edges")), "quantile-edges")
+    cell = cell_of(F.col("_v"), F.col("_edges"), len(wanted_probs)).alias("_cell")
 
-    def end(side: str, extreme: str, i: int, outermost: bool) -> Column:
-        """A bracket's end; the end of the group for outermost brackets and small groups."""
-        return F.when(F.col("_small") | outermost, F.col(extreme)).otherwise(F.get(side, F.lit(i)))
+    counted = rows.join(edges, keys).select(*keys, "_edges", cell).groupBy(*keys, "_edges", "_cell").agg(F.count(F.lit(1)).alias("_in"))
+    group = Window.partitionBy(*keys)
+    up_to = F.sum("_in").over(group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumns({"_n": F.sum("_in").over(group), "_before": up_to - F.col("_in")})
 
-    bounds = sketch.select(
-        *keys,
-        F.array(*[end("_low", "_min", i, p <= SLACK) for i, p in enumerate(probs)]).alias("_low"),
-        F.array(*[end("_high", "_max", i, p >= 1 - SLACK) for i, p in enumerate(probs)]).alias("_high"),
-    )
-    side = F.broadcast if few else (lambda small: small)
-    below = [F.count_if(F.col("_v") < F.get("_low", F.lit(i))) for i in range(len(probs))]
-    counted = (
-        rows.join(side(bounds), list(keys))
-        .groupBy(*keys, "_low", "_high")
-        .agg(F.count(F.lit(1)).alias("_n"), F.array(*below).alias("_below"))
-    )
-    brackets = counted.select(
-        *keys,
-        F.array(*[
-            F.struct(
-                F.lit(i).alias("_probe"),
-                F.lit(float(p)).alias("_p"),
-                "_n",
-                F.get("_low", F.lit(i)).alias("_lo"),
-                F.get("_high", F.lit(i)).alias("_hi"),
-                F.get("_below", F.lit(i)).alias("_before"),
-            )
-            for i, p in enumerate(probs)
-        ]).alias("_brackets"),
-    )
-    inside = rows.join(side(brackets), list(keys)).select(
-        *keys,
-        "_v",
-        F.inline(F.filter("_brackets", lambda b: F.col("_v").between(b["_lo"], b["_hi"]))),
-    )
-    distinct_values = inside.groupBy(*keys, "_probe", "_p", "_n", "_before", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    in_order = Window.partitionBy(*keys, "_probe").orderBy("_v")
-    last_rank = F.col("_before") + F.sum("_c").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = distinct_values.withColumn("_last", last_rank).withColumn("_first", F.col("_last") - F.col("_c") + 1)
-    position = F.col("_p") * (F.col("_n") - 1)
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when(rank.between(F.col("_first"), F.col("_last")), F.col("_v")))
-
-    lower, upper = at(F.floor(position) + 1), at(F.ceil(position) + 1)
-    fraction = F.max(position - F.floor(position))
-    picked = ranked.groupBy(*keys, "_probe").agg((lower + fraction * (upper - lower)).alias("_q"))
-    return picked.groupBy(*keys).agg(
+    def asked(i: int, p: float, side: str) -> Column:
+        position = F.lit(float(p)) * (F.col("_n") - 1)
+        rank = (F.floor(position) if side == "lower" else F.ceil(position)) + 1
+        return F.struct(F.lit(i).alias("probe"), F.lit(side).alias("side"), rank.alias("rank"), (position - F.floor(position)).alias("fraction"))
+
+    asks = F.array(*[asked(i, p, side) for i, p in enumerate(probs) for side in ("lower", "upper")])
+    here = F.filter(asks, lambda a: (a["rank"] > F.col("_before")) & (a["rank"] <= F.col("_before") + F.col("_in")))
+    cells = placed.withColumn("_asks", here).where(F.size("_asks") > 0)
+    cells = stored(cells.select(*keys, "_edges", "_cell", "_before", "_asks"), "quantile-cells")
+
+    held = cells.groupBy(*keys, "_edges").agg(F.collect_set("_cell").alias("_cells"))
+    inside = rows.join(held, keys).withColumn("_cell", cell).where(F.array_contains("_cells", F.col("_cell")))
+    values = inside.groupBy(*keys, "_cell", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    in_order = Window.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.withColumn("_to", F.sum("_c").over(in_order)).join(cells.drop("_edges"), [*keys, "_cell"])
+    first = F.col("_before") + F.col("_to") - F.col("_c")
+    hit = F.filter("_asks", lambda a: (a["rank"] > first) & (a["rank"] <= F.col("_before") + F.col("_to")))
+    found = ranked.select(*keys, "_v", F.explode(hit).alias("_ask"))
+
+    def picked(side: str) -> Column:
+        return F.max(F.when(F.col("_ask.side") == side, F.col("_v")))
+
+    lower, upper = picked("lower"), picked("upper")
+    each = found.groupBy(*keys, F.col("_ask.probe").alias("_probe")).agg((lower + F.max("_ask.fraction") * (upper - lower)).alias("_q"))
+    return each.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_probe", "_q"))), lambda s: s["_q"]).alias("quantiles")
     )
