@@ -85,8 +85,9 @@ def _expected_days(f: Frames) -> DataFrame:
 
 @query("quality_demand", with_frames(_DEMAND_SQL))
 def quality_demand(f):
-    """One column is missing as well."""
-    return quality.check_silver_demand(broken_demand(f), expected=_expected_days(f))
+    """One column is missing as well. The rows differ in their region only, so it names the series."""
+    checks = quality.check_silver_demand(broken_demand(f), expected=_expected_days(f))
+    return checks.select("dt", "region", "check", "severity", "violations", "passed")
 
 
 @query(

@@ -50,8 +50,9 @@ def check_table(
 
     Rows are first reduced per (keys, ``unique_on``), which finds duplicates
     without a distinct set per key and spreads a large key. ``expected`` lists
-    keys that must be present: an absent one has no rows and fails ``present``
-    and the row count, and keys beyond it are checked like the others. ``missing`` counts absent columns per check name.
+    keys, or some columns of them, that must be present: an absent one has no
+    rows and fails ``present`` and the row count, and keys beyond it are checked
+    like the others. ``missing`` counts absent columns per check name.
     """
     counters = {**hard, **soft}
     tally = df.groupBy(*keys, unique_on).agg(
@@ -64,7 +65,8 @@ def check_table(
     )
     if expected is not None:
         counts = [c for c in summary.columns if c not in keys]
-        summary = expected.select(*keys).distinct().join(summary, list(keys), "full").na.fill(0, counts)
+        named = [k for k in keys if k in expected.columns]
+        summary = expected.select(*named).distinct().join(summary, named, "full").select(*keys, *counts).na.fill(0, counts)
 
     def row(name: str, severity: str, violations: Column) -> Column:
         return F.struct(
@@ -99,7 +101,7 @@ def _day(df: DataFrame, run_date: date | str | None, zone: str = "UTC") -> tuple
 def _table_check(
     df: DataFrame,
     required: Sequence[str],
-    entity: str,
+    entity: Sequence[str],
     hard: dict[str, Column],
     soft: dict[str, Column],
     run_date: date | str | None,
@@ -109,11 +111,11 @@ def _table_check(
 ) -> DataFrame:
     absent = missing_columns(df, required)
     for column in absent:
-        df = df.withColumn(column, F.lit(None))
+        df = df.withColumn(column, F.lit(None).cast("string"))
     df, wrong_day = _day(df, run_date, zone)
     checked = check_table(
         df,
-        ["_run", entity],
+        ["_run", *entity],
         "event_ts_utc",
         {"event_ts_utc_not_null": nulls("event_ts_utc"), "dt_matches": wrong_day, **hard},
         soft,
@@ -129,11 +131,15 @@ def _table_check(
 def check_silver_demand(
     df: DataFrame, run_date: date | str | None = None, expected: DataFrame | None = None, zone: str = "UTC"
 ) -> DataFrame:
-    """Checks per (dt, region); days of another ``zone`` may have 23 or 25 hours."""
+    """Checks per day and series (source, filter, region, resolution); days of another ``zone`` may have 23 or 25 hours.
+
+    ``expected`` has ``dt`` and some or all columns of a series. Every series
+    of a region has its own rows of a day, so two filters are no duplicates.
+    """
     return _table_check(
         df,
         schemas.SILVER_DEMAND_REQUIRED,
-        "region",
+        schemas.SERIES_COLUMNS,
         {},
         {"load_mw_not_null": nulls("load_mw"), "load_mw_not_negative": F.col("load_mw") < 0},
         run_date,
@@ -149,7 +155,7 @@ def check_silver_weather(
     return _table_check(
         df,
         schemas.SILVER_WEATHER_REQUIRED,
-        "location_name",
+        ["location_name"],
         {},
         {f"{v}_not_null": nulls(v) for v in schemas.WEATHER_VARIABLES},
         run_date,
@@ -186,7 +192,7 @@ def check_gold(df: DataFrame, run_date: date | str | None = None, expected: Data
     return _table_check(
         df,
         schemas.GOLD_REQUIRED,
-        "series_id",
+        ["series_id"],
         {"series_id_not_null": nulls("series_id")},
         {
             "load_mw_not_null": nulls("load_mw"),

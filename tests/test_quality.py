@@ -38,6 +38,14 @@ def test_each_fault_is_found(day):
     assert failing(quality.check_silver_demand(day.drop("resolution"))) == {("required_columns", 1)}
 
 
+def test_series_of_one_region_are_checked_apart(day):
+    """Two filters of a region are two series of 24 rows; a fault is reported for the one that has it."""
+    second = day.withColumn("filter_id", F.lit("411"))
+    assert failing(quality.check_silver_demand(day.unionByName(second))) == set()
+    faulty = quality.check_silver_demand(day.unionByName(second).unionByName(second.limit(2))).where("NOT passed")
+    assert {(r.filter_id, r.check, r.violations) for r in faulty.collect()} == {("411", "unique_event_ts_utc", 2), ("411", "rows_24", 2)}
+
+
 def test_empty_partition_fails(spark, day):
     expected = spark.sql("SELECT date'2024-01-01' AS dt, 'DE' AS region UNION ALL SELECT date'2024-01-02', 'DE'")
     assert failing(quality.check_silver_demand(day, expected=expected)) == {("present", 1), ("rows_24", 24)}
