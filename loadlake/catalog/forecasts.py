@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loadlake.catalog.frames import Frames, day_bounds, rounded, with_frames
 from loadlake.catalog.registry import query
 from loadlake.operators.asof import latest
-from loadlake.plans import evaluation, monitoring, policy
+from loadlake.plans import backtest, evaluation, monitoring, policy
 from loadlake.sources import tables
 from loadlake.streaming import intraday
 
@@ -205,15 +205,48 @@ def rolling_origin(f):
     return rounded(backtest, "mae", "rmse")
 
 
+def _refit_sql(horizon_days: int, step_days: int, min_rows: int) -> str:
+    """A line through two inputs per series, horizon and origin, from moments of all rows known before it."""
+    moments = ", ".join(f"sum({p}) AS {n}" for n, p in {
+        "s1": "x1 - 0.0", "s2": "x2 - 0.0", "sy": "y - 0.0", "s11": "x1 * x1", "s12": "x1 * x2", "s22": "x2 * x2", "s1y": "x1 * y", "s2y": "x2 * y",
+    }.items())
+    return f""", samples AS (
+        SELECT t.series_id, t.dt, h AS horizon_day, t.load_mw AS y, k.load_mw AS x1, w.load_mw AS x2
+        FROM actuals t CROSS JOIN (SELECT CAST(unnest(range(1, {horizon_days + 1})) AS INT) AS h)
+        JOIN actuals k ON k.series_id = t.series_id AND k.event_ts_utc = t.event_ts_utc - to_days(h)
+        JOIN actuals w ON w.series_id = t.series_id AND w.event_ts_utc = t.event_ts_utc - to_days(7)),
+      bounds AS (SELECT min(dt) + 14 AS a, max(dt) AS b FROM demand),
+      origins AS (SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL {step_days} DAY)) AS DATE) AS origin FROM bounds),
+      known AS (
+        SELECT series_id, horizon_day, origin, count(*)::DOUBLE AS n, {moments}
+        FROM samples JOIN origins ON dt < origin GROUP BY ALL HAVING count(*) >= {min_rows}),
+      centred AS (
+        SELECT *, s11 - s1 * s1 / n AS c11, s12 - s1 * s2 / n AS c12, s22 - s2 * s2 / n AS c22, s1y - s1 * sy / n AS c1y, s2y - s2 * sy / n AS c2y FROM known),
+      slopes AS (
+        SELECT *, (c1y * c22 - c2y * c12) / (c11 * c22 - c12 * c12) AS b1, (c2y * c11 - c1y * c12) / (c11 * c22 - c12 * c12) AS b2 FROM centred),
+      lines AS (SELECT *, (sy - b1 * s1 - b2 * s2) / n AS b0 FROM slopes)
+      SELECT l.series_id, origin, l.horizon_day, CAST(l.n AS BIGINT) AS n_train, round(b0, 6) AS intercept, round(b1, 6) AS recent, round(b2, 6) AS week,
+        round(avg(abs(y - b0 - b1 * x1 - b2 * x2)), 6) AS mae, round(sqrt(avg((y - b0 - b1 * x1 - b2 * x2) ** 2)), 6) AS rmse, count(*) AS n
+      FROM lines l JOIN samples s ON s.series_id = l.series_id AND s.horizon_day = l.horizon_day AND s.dt = l.origin + l.horizon_day - 1
+      GROUP BY ALL"""
+
+
+@query("rolling_origin_refit", with_frames(_refit_sql(3, 2, 24)))
+def rolling_origin_refit(f):
+    first, last = f.first_day + timedelta(days=14), f.last_day
+    rows = backtest.refitted_backtest(f.demand, first, last, step_days=2, horizon_days=3, min_rows=24)
+    return rounded(rows, "intercept", "recent", "week", "mae", "rmse")
+
+
 @query(
     "segment_metrics",
     with_frames(f""", segmented AS (
-        SELECT p.*, hour(target_ts_utc) >= 8 AND hour(target_ts_utc) < 20 AS is_peak, c.is_working_day,
+        SELECT p.*, hour(target_ts_utc) >= 8 AND hour(target_ts_utc) < 20 AS is_peak, c.is_working_day, c.is_holiday,
           CASE WHEN month(target_date) IN (12,1,2) THEN 'winter' WHEN month(target_date) IN (3,4,5) THEN 'spring'
                WHEN month(target_date) IN (6,7,8) THEN 'summer' ELSE 'autumn' END AS season
         FROM pairs p LEFT JOIN calendar c ON c.dt = p.target_date)
-      SELECT is_peak, season, is_working_day, {_ACCURACY_SQL} FROM segmented
-      GROUP BY GROUPING SETS ((is_peak), (season), (is_working_day), ())"""),
+      SELECT is_peak, season, is_working_day, is_holiday, {_ACCURACY_SQL} FROM segmented
+      GROUP BY GROUPING SETS ((is_peak), (season), (is_working_day), (is_holiday), ())"""),
 )
 def segment_metrics(f):
     return rounded(evaluation.segment_metrics(_pairs(f), f.calendar), *_ACCURACY)

@@ -77,14 +77,14 @@ def rolling_origin(demand: DataFrame, first: Column, last: Column, step_days: in
 
 
 def segment_metrics(pairs: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Accuracy by peak hours, by season, by working day, and over everything."""
+    """Accuracy by peak hours, by season, by working day, by holiday, and over everything."""
     hour = F.hour("target_ts_utc")
     rows = (
-        pairs.join(calendar.select(F.col("dt").alias("target_date"), "is_working_day"), "target_date", "left")
+        pairs.join(calendar.select(F.col("dt").alias("target_date"), "is_working_day", "is_holiday"), "target_date", "left")
         .withColumn("is_peak", (hour >= PEAK_HOURS[0]) & (hour < PEAK_HOURS[1]))
         .withColumn("season", season(F.month("target_date")))
     )
-    segments = ["is_peak", "season", "is_working_day"]
+    segments = ["is_peak", "season", "is_working_day", "is_holiday"]
     columns = [F.col(s) for s in segments]
     return rows.groupingSets([[c] for c in columns] + [[]], *columns).agg(
         *accuracy_columns(F.col("load_mw"), F.col("y_hat_mw"))
