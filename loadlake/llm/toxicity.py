@@ -20,16 +20,14 @@ SAMPLE_DOCUMENTS = 3_000
 #: Tokens that are compared with every other token.
 LANDMARKS = 96
 #: Weight of each character that a matched subsequence of three spans.
-DECAY = 0.7
+DECAY = 0.9
 #: Steps from one matched character to the next; 4 lets three characters be inserted.
 GAP = 4
-#: Landmarks that share one bound, by which most tokens are passed over.
-GROUP = 8
-#: Kernel values of tokens under this count as none.
-LEAST = 0.4
-#: The kernel of two tokens is this power of their normalised subsequence kernel.
-POWER = 2
-#: Sentences taken from a labelled document: the ones with the most telling tokens, and as many by their hash.
+#: How much of a token's length is taken out of its kernel values: 1 would divide by its whole norm, which inserted characters raise.
+LENGTH_POWER = 0.7
+#: Times the model is fitted to the tokens that the one before it finds most telling.
+ROUNDS = 4
+#: Sentences taken from a document that is not toxic: the ones with the most telling tokens, and as many spread over the others.
 SENTENCES = 3
 THRESHOLD = 0.3
 
@@ -104,100 +102,67 @@ def weights_of(token: str) -> dict[str, float]:
     return found
 
 
-def least_norm(length: int) -> float:
-    """The norm of a token of that length if all its subsequences differ; a repeated one only makes it larger."""
-    total = 0.0
+def sizes(tokens: list[str]) -> np.ndarray:
+    """What the kernel values of tokens are divided by: a power of the norm that they had if all their subsequences differed."""
+    lengths = np.array([len(t) for t in tokens], np.float64)
+    total = np.zeros(len(tokens))
     for one in range(1, GAP + 1):
         for two in range(1, GAP + 1):
-            total += max(0, length - one - two) * DECAY ** (2 * (one + two + 1))
-    return total**0.5
+            total += np.maximum(0.0, lengths - one - two) * DECAY ** (2 * (one + two + 1))
+    return np.where(total > 0, total, 1.0) ** (LENGTH_POWER / 2)
 
 
 class Kernel:
-    """Kernel values of tokens and the landmarks."""
+    """Kernel values of tokens and the landmarks: the product of their subsequences' weights over the product of their sizes."""
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
         self.alphabet = Alphabet(landmarks)
         size = self.alphabet.size
         place = {c: i + 1 for i, c in enumerate(self.alphabet.letters)}
-        number: dict[int, int] = {}
-        columns = []
-        for landmark in landmarks:
-            w = weights_of(landmark)
-            norm = sum(x * x for x in w.values()) ** 0.5 or 1.0
-            columns.append({(place[u[0]] * size + place[u[1]]) * size + place[u[2]]: x / norm for u, x in w.items()})
-        for column in columns:
-            for u in column:
-                number.setdefault(u, len(number) + 1)
-        self.row = np.zeros(size**3, np.int32)
+        weights = [weights_of(landmark) for landmark in landmarks]
+        number = {u: i + 1 for i, u in enumerate(dict.fromkeys(chain.from_iterable(weights)))}
+        #: Row 0 is that of subsequences no landmark has.
         self.table = np.zeros((len(number) + 1, len(landmarks)), np.float32)
+        self.row = np.zeros(size**3, np.int32)
         for u, i in number.items():
-            self.row[u] = i
-        for j, column in enumerate(columns):
-            for u, x in column.items():
-                self.table[number[u], j] = x
-        # No landmark weighs a subsequence more than this, so a token's sum of it bounds each of its kernel values.
-        self.bound = self.table.max(axis=1, initial=0.0)[self.row].astype(np.float32)
-        # The same for groups of landmarks that are neighbours in order of their letters.
-        order = sorted(range(len(landmarks)), key=landmarks.__getitem__)
-        groups = [order[i : i + GROUP] for i in range(0, len(order), GROUP)]
-        self.bounds = np.array([self.table[:, g].max(axis=1) for g in groups], np.float32).T.copy()
-        self.norms = np.array([least_norm(n) for n in range(65)])
-
-    def near(self, tokens: list[str]) -> np.ndarray:
-        """Positions of the tokens that may reach LEAST with a landmark."""
-        flat, starts = self.alphabet.flat(tokens)
-        total = np.zeros(len(flat), np.float64)
-        for weight, number in self.alphabet.triples(flat):
-            total += weight * self.bound[number]
-        sums = np.add.reduceat(total, starts)
-        lengths = np.array([len(t) for t in tokens])
-        norms = np.where(lengths < len(self.norms), self.norms[np.minimum(lengths, len(self.norms) - 1)], self.norms[-1])
-        return np.flatnonzero((sums > 0) & (sums >= (LEAST - 1e-6) * norms))
+            self.row[(place[u[0]] * size + place[u[1]]) * size + place[u[2]]] = i
+        for j, (found, divisor) in enumerate(zip(weights, sizes(landmarks), strict=True)):
+            for u, x in found.items():
+                self.table[number[u], j] = x / divisor
 
     def values(self, tokens: list[str]) -> np.ndarray:
-        """(tokens, landmarks): the power of the normalised kernel, 0 under LEAST."""
+        """(tokens, landmarks): kernel values."""
+        sums = np.zeros((len(tokens), len(self.landmarks)), np.float64)
+        if tokens:
+            flat, starts = self.alphabet.flat(tokens)
+            for weight, number in self.alphabet.triples(flat):
+                row = self.row[number]
+                at = np.flatnonzero(row)
+                if len(at):
+                    owner = np.searchsorted(starts, at, "right") - 1
+                    first = np.flatnonzero(np.diff(owner, prepend=-1))
+                    sums[owner[first]] += weight * np.add.reduceat(self.table[row[at]], first, axis=0)
+        return sums / sizes(tokens)[:, None]
+
+    def direction(self, weights: np.ndarray) -> np.ndarray:
+        """What a subsequence, by its number, adds to the sum of kernel values with these weights.
+
+        The kernel is linear in a token's subsequences, so a weight for each
+        landmark is one for each subsequence, and a sum over all landmarks costs
+        no more than a value of one.
+        """
+        return (self.table @ weights)[self.row]
+
+    def along(self, tokens: list[str], direction: np.ndarray) -> np.ndarray:
+        """The weighted sum of each token's kernel values."""
+        if not tokens:
+            return np.zeros(0)
         flat, starts = self.alphabet.flat(tokens)
-        places, rows, weights = [], [], []
+        total = np.zeros(len(flat))
         for weight, number in self.alphabet.triples(flat):
-            row = self.row[number]
-            at = np.flatnonzero(row)
-            places.append(at)
-            rows.append(row[at])
-            weights.append(np.full(len(at), weight, np.float32))
-        owner = np.searchsorted(starts, np.concatenate(places), "right") - 1
-        order = np.argsort(owner, kind="stable")
-        owner, row, weight = owner[order], np.concatenate(rows)[order], np.concatenate(weights)[order, None]
-        sums = np.zeros((len(tokens), len(self.landmarks)), np.float32)
-        lengths = np.minimum([len(t) for t in tokens], len(self.norms) - 1)
-        norms = self.norms[lengths]
-        if len(owner):
-            first = np.flatnonzero(np.diff(owner, prepend=-1))
-            most = np.zeros(len(tokens), np.float32)
-            most[owner[first]] = np.add.reduceat(self.bounds[row] * weight, first, axis=0).max(axis=1)
-            open_ = (most >= (LEAST - 1e-6) * norms)[owner]
-            owner, row, weight = owner[open_], row[open_], weight[open_]
-        if len(owner):
-            first = np.flatnonzero(np.diff(owner, prepend=-1))
-            sums[owner[first]] = np.add.reduceat(self.table[row] * weight, first, axis=0)
-        for i in np.flatnonzero(sums.max(axis=1) >= (LEAST - 1e-6) * norms):
-            norms[i] = sum(x * x for x in weights_of(tokens[i]).values()) ** 0.5
-        cosine = sums / np.where(norms > 0, norms, 1)[:, None]
-        return np.where(cosine >= LEAST, cosine, 0.0) ** POWER
-
-    def all(self, tokens: list[str]) -> dict[str, np.ndarray]:
-        """Kernel values of the tokens that have any."""
-        found: dict[str, np.ndarray] = {}
-        for at in range(0, len(tokens), 4096):
-            part = tokens[at : at + 4096]
-            close = [part[i] for i in self.near(part)]
-            for first in range(0, len(close), 1024):
-                some = close[first : first + 1024]
-                for token, row in zip(some, self.values(some), strict=True):
-                    if row.any():
-                        found[token] = row
-        return found
+            total += weight * direction[number]
+        return np.add.reduceat(total, starts) / sizes(tokens)
 
 
 @dataclass
@@ -215,35 +180,30 @@ class Model:
 
 
 class Scores(dict):
-    """Tokens to their part of a sentence's margin; most have none. Tokens seen lately are held."""
+    """Tokens to the margin they give a sentence. Tokens seen lately are held."""
 
     def __init__(self, model: Model, limit: int = 300_000):
         super().__init__()
         self.model, self.limit = model, limit
         self.kernel = Kernel(model.landmarks) if model.landmarks else None
+        self.direction = self.kernel.direction(model.weights) if self.kernel else None
 
     def learn(self, tokens: set[str]) -> None:
-        if self.kernel is None:
-            return
         if len(self) + len(tokens) > self.limit:
             self.clear()
-        new = {t: plain(t) for t in tokens if t not in self}
-        values = {p: float(row @ self.model.weights) for p, row in self.kernel.all(list({*new.values()} - {""})).items()}
-        self.update({t: values.get(p, 0.0) for t, p in new.items()})
+        new = [t for t in tokens if t not in self]
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            self.update(zip(some, self.kernel.along([plain(t) for t in some], self.direction).tolist(), strict=True))
 
     def texts(self, texts: list[str]) -> list[float]:
-        """The probability of each text's most toxic sentence; a sentence without a known token is the least."""
-        texts = list(map(prepared, texts))
-        tokens = list(map(str.split, texts))
+        """The probability of each text's most toxic sentence, which is that of its most telling token."""
+        if self.kernel is None:
+            return [self.model.probability(self.model.offset)] * len(texts)
+        tokens = [prepared(text).split() for text in texts]
         self.learn(set(chain.from_iterable(tokens)))
-        return [self.model.probability(self.margin(text, split)) for text, split in zip(texts, tokens, strict=True)]
-
-    def margin(self, text: str, tokens: list[str]) -> float:
-        best = 0.0
-        # Most texts have no token that counts, so sentences need not be told apart.
-        if self.kernel is not None and any(map(self.__getitem__, tokens)):
-            best = max(0.0, *(sum(map(self.__getitem__, sentence)) for sentence in sentences(text)), 0.0)
-        return best + self.model.offset
+        # The value of an empty sentence is 0.
+        return [self.model.probability(max(0.0, *map(self.__getitem__, split), 0.0) + self.model.offset) for split in tokens]
 
 
 def sampled(docs: DataFrame, labels: DataFrame, text: str, id: str, label: str) -> DataFrame:
@@ -268,15 +228,15 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_i
 
     Spark counts in how many documents of each class a token stands; the
     driver chooses landmarks among the tokens that tell most, unlike one
-    another. A second pass over the sample gives the kernel values of a few
-    sentences per document, a sum over their tokens: of a toxic document the
-    ones with the most telling tokens, as its label does not say which sentence
-    is meant, of another document also some by hash. What comes to the driver
-    is bounded by the size of the sample.
+    another. A sentence has the kernel values of its most telling token. Which
+    token that is, and in which sentences of a toxic document, its label does
+    not say: each round takes them as the fit before sees them (the first by the
+    counts), with their kernel values from another pass over the sample. What
+    comes to the driver is bounded by the size of the sample.
 
     Nyström: with the landmarks' own kernel matrix K, sentences are mapped to
     k(sentence) K^(-1/2) and a linear support vector machine is fitted there, so
-    a landmark's weight is K^(-1/2) w, and a sentence's margin is a sum over its tokens.
+    a landmark's weight is K^(-1/2) w, and a token's margin a sum over landmarks.
     """
     sample = sampled(docs, labels, text, id, label).persist()
     try:
@@ -305,41 +265,58 @@ def fitted(sample: DataFrame) -> Model:
     landmarks = unlike([r["token"] for r in telling], LANDMARKS - len(common)) + [r["token"] for r in common]
     if not landmarks:
         return Model([], np.zeros(0), 0.0, 1.0, -3.0)
-    sent = sample.sparkSession.sparkContext.broadcast((landmarks, value))
+    kernel = Kernel(landmarks)
+    own = kernel.values(landmarks)
+    values, vectors = np.linalg.eigh((own + own.T) / 2)
+    half = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0.0)) @ vectors.T
+    _, kind, k = examples(sample, landmarks, value, None)
+    for _ in range(ROUNDS):
+        w, offset = support_vectors(k @ half, 2.0 * kind - 1)
+        weights = half @ w
+        doc, kind, k = examples(sample, landmarks, value, weights)
+    margins = np.maximum(k @ weights, 0.0) + offset
+    worst: dict[tuple[int, int], float] = {}
+    for d, y, m in zip(doc.tolist(), kind.tolist(), margins.tolist(), strict=True):
+        worst[d, y] = max(worst.get((d, y), -np.inf), m)
+    slope, shift = calibrated(np.array(list(worst.values())), np.array([y for _, y in worst]))
+    return Model(landmarks, weights, offset, slope, shift)
+
+
+def examples(sample: DataFrame, landmarks: list[str], value: dict[str, float], weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, class and kernel values of the most telling token of each sentence that is learned from.
+
+    Of a toxic document that is the one sentence that tells most, of another
+    document also some of the others. Tokens are judged by ``weights`` of the
+    landmarks, or by ``value`` where there are none yet.
+    """
+    sent = sample.sparkSession.sparkContext.broadcast((landmarks, value, weights))
     out = T.StructType([T.StructField("doc", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("k", T.ArrayType(T.FloatType()))])
 
-    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        landmarks, value = sent.value
+    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        landmarks, value, weights = sent.value
         kernel = Kernel(landmarks)
+        direction = None if weights is None else kernel.direction(weights)
         for batch in batches:
             for doc, text, kind in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 found = plain_sentences(text.as_py())
-                order = sorted(range(len(found)), key=lambda i: -sum(value.get(t, 0.0) for t in set(found[i])))
-                chosen = order[:SENTENCES] if kind == 0 else [i for i in order[:SENTENCES] if any(t in value for t in found[i])] or order[:1]
-                if kind == 0:
-                    chosen = chosen + order[SENTENCES :: max(1, len(order) // SENTENCES)][:SENTENCES]
-                known = kernel.all(sorted({t for i in chosen for t in found[i]}))
-                none = np.zeros(len(landmarks), np.float32)
                 if not found:
                     continue
-                rows = [np.sum([known.get(t, none) for t in found[i]], axis=0).astype(np.float32).tolist() for i in chosen]
+                tokens = sorted({t for s in found for t in s})
+                if direction is None:
+                    told = {t: value.get(t, 0.0) for t in tokens}
+                else:
+                    told = dict(zip(tokens, kernel.along(tokens, direction).tolist(), strict=True))
+                best = [max(s, key=told.__getitem__) for s in found]
+                order = sorted(range(len(found)), key=lambda i: -told[best[i]])
+                chosen = order[:1] if kind else order[:SENTENCES] + order[SENTENCES :: max(1, len(order) // SENTENCES)][:SENTENCES]
+                rows = kernel.values([best[i] for i in chosen]).astype(np.float32).tolist()
                 arrays = [pa.array([doc] * len(rows), pa.int64()), pa.array([kind] * len(rows), pa.int32()), pa.array(rows, pa.list_(pa.float32()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
-    table = sample.select(F.col("_id").cast("long"), "_text", "_label").mapInArrow(examples, out).toArrow()
+    table = sample.select(F.xxhash64("_id").alias("doc"), "_text", "_label").mapInArrow(taken, out).toArrow()
     k = np.array(table.column("k").to_pylist(), np.float64).reshape(-1, len(landmarks))
-    kind, doc = table.column("kind").to_numpy(), table.column("doc").to_numpy()
-    own = Kernel(landmarks).values(landmarks).astype(np.float64)
-    values, vectors = np.linalg.eigh((own + own.T) / 2)
-    half = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0.0)) @ vectors.T
-    w, offset = support_vectors(k @ half, 2.0 * kind - 1)
-    weights = half @ w
-    margins = k @ weights + offset
-    worst: dict[tuple[int, int], float] = {}
-    for d, y, m in zip(doc.tolist(), kind.tolist(), margins.tolist(), strict=True):
-        worst[d, y] = max(worst.get((d, y), -np.inf), m)
-    slope, shift = calibrated(np.array(list(worst.values())), np.array([y for _, y in worst]))
-    return Model(landmarks, weights, offset, slope, shift)
+    sent.unpersist()
+    return table.column("doc").to_numpy(), table.column("kind").to_numpy(), k
 
 
 def unlike(tokens: list[str], most: int) -> list[str]:

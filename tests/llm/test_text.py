@@ -82,14 +82,43 @@ def test_kernel_by_definition():
     landmarks = ["idiot", "scum", "ünsinn", "aaaa"]
     tokens = ["idiot", "id.iot", "i-d-i-o-t", "idiots", "moron", "scuum", "aaaaaaa", "a", "", "ünsin", "\U0001f600idiot"]
     tokens += ["".join(rng.choice("idotscumaü") for _ in range(rng.randrange(1, 12))) for _ in range(60)]
-    got = toxicity.Kernel(landmarks).all(tokens)
-    for token in tokens:
+    tokens += ["x" * 300 + "idiot", "ixdxixoxt", "idxxxiot"]
+    kernel = toxicity.Kernel(landmarks)
+    got = kernel.values(tokens)
+
+    def size(token):
+        steps = itertools.product(range(1, toxicity.GAP + 1), repeat=2)
+        total = sum(max(0, len(token) - a - b) * toxicity.DECAY ** (2 * (a + b + 1)) for a, b in steps)
+        return total ** (toxicity.LENGTH_POWER / 2) if total else 1.0
+
+    for i, token in enumerate(tokens):
         for j, landmark in enumerate(landmarks):
-            norm = (subsequence_kernel(token, token) * subsequence_kernel(landmark, landmark)) ** 0.5
-            cosine = subsequence_kernel(token, landmark) / norm if norm else 0.0
-            want = cosine**toxicity.POWER if cosine >= toxicity.LEAST else 0.0
-            have = got[token][j] if token in got else 0.0
-            assert have == pytest.approx(want, abs=1e-4) or abs(cosine - toxicity.LEAST) < 1e-4, (token, landmark)
+            want = subsequence_kernel(token, landmark) / (size(token) * size(landmark))
+            assert got[i, j] == pytest.approx(want, rel=1e-4, abs=1e-6), (token, landmark)
+    weights = np.array([0.5, -1.0, 2.0, 0.25])
+    assert kernel.along(tokens, kernel.direction(weights)) == pytest.approx(got @ weights, rel=1e-4, abs=1e-5)
+
+
+def test_every_inserted_insult_has_a_value():
+    rng = random.Random(5)
+    insults = ["idiot", "moron", "trash", "clown", "pathetic", "stupid", "loser", "scumbag", "worthless", "disgusting"]
+    kernel = toxicity.Kernel(insults)
+    clean = kernel.values(["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 12))) for _ in range(2000)])
+    usual = np.quantile(clean, 0.9, axis=0)
+    letter = lambda: rng.choice("abcdefghijklmnopqrstuvwxyz")
+    for inserted in (1, 2, 3, "every"):
+        above = []
+        for j, insult in enumerate(insults):
+            for _ in range(20):
+                if inserted == "every":
+                    token = "".join(c + letter() for c in insult[:-1]) + insult[-1]
+                else:
+                    at = rng.randrange(1, len(insult))
+                    token = insult[:at] + "".join(letter() for _ in range(inserted)) + insult[at:]
+                found = kernel.values([token])[0]
+                assert found[j] > 0, token
+                above.append(found[j] > usual[j] and found.argmax() == j)
+        assert np.mean(above) >= 0.9, (inserted, np.mean(above))
 
 
 def test_sentences():
