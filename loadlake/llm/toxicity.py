@@ -230,8 +230,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_i
     driver chooses landmarks among the tokens that tell most, unlike one
     another. A sentence has the kernel values of its most telling token. Which
     token that is, and in which sentences of a toxic document, its label does
-    not say: each round takes them as the fit before sees them (the first by the
-    counts), with their kernel values from another pass over the sample. What
+    not say: each round takes them as the fit before sees them (the first by their
+    nearest landmark), with their kernel values from another pass over the sample. What
     comes to the driver is bounded by the size of the sample.
 
     Nyström: with the landmarks' own kernel matrix K, sentences are mapped to
@@ -261,7 +261,6 @@ def fitted(sample: DataFrame) -> Model:
     score = F.log(((F.col("toxic") + 0.5) / toxic) / ((F.col("n") - F.col("toxic") + 0.5) / rest))
     telling = counts.where("toxic >= 2").withColumn("score", score).where("score > 1").orderBy(F.desc(F.col("score") * F.sqrt("toxic")), "token").limit(2000).collect()
     common = counts.where("n - toxic >= 20").withColumn("score", score).where("abs(score) < 0.3").orderBy(F.xxhash64("token"), "token").limit(LANDMARKS // 6).collect()
-    value = {r["token"]: float(r["score"]) for r in telling}
     landmarks = unlike([r["token"] for r in telling], LANDMARKS - len(common)) + [r["token"] for r in common]
     if not landmarks:
         return Model([], np.zeros(0), 0.0, 1.0, -3.0)
@@ -269,11 +268,11 @@ def fitted(sample: DataFrame) -> Model:
     own = kernel.values(landmarks)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     half = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0.0)) @ vectors.T
-    _, kind, k = examples(sample, landmarks, value, None)
+    _, kind, k = examples(sample, landmarks, None)
     for _ in range(ROUNDS):
         w, offset = support_vectors(k @ half, 2.0 * kind - 1)
         weights = half @ w
-        doc, kind, k = examples(sample, landmarks, value, weights)
+        doc, kind, k = examples(sample, landmarks, weights)
     margins = np.maximum(k @ weights, 0.0) + offset
     worst: dict[tuple[int, int], float] = {}
     for d, y, m in zip(doc.tolist(), kind.tolist(), margins.tolist(), strict=True):
@@ -282,18 +281,18 @@ def fitted(sample: DataFrame) -> Model:
     return Model(landmarks, weights, offset, slope, shift)
 
 
-def examples(sample: DataFrame, landmarks: list[str], value: dict[str, float], weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def examples(sample: DataFrame, landmarks: list[str], weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, class and kernel values of the most telling token of each sentence that is learned from.
 
     Of a toxic document that is the one sentence that tells most, of another
     document also some of the others. Tokens are judged by ``weights`` of the
-    landmarks, or by ``value`` where there are none yet.
+    landmarks, or by the largest kernel value where there are none yet.
     """
-    sent = sample.sparkSession.sparkContext.broadcast((landmarks, value, weights))
+    sent = sample.sparkSession.sparkContext.broadcast((landmarks, weights))
     out = T.StructType([T.StructField("doc", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("k", T.ArrayType(T.FloatType()))])
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        landmarks, value, weights = sent.value
+        landmarks, weights = sent.value
         kernel = Kernel(landmarks)
         direction = None if weights is None else kernel.direction(weights)
         for batch in batches:
@@ -302,10 +301,8 @@ def examples(sample: DataFrame, landmarks: list[str], value: dict[str, float], w
                 if not found:
                     continue
                 tokens = sorted({t for s in found for t in s})
-                if direction is None:
-                    told = {t: value.get(t, 0.0) for t in tokens}
-                else:
-                    told = dict(zip(tokens, kernel.along(tokens, direction).tolist(), strict=True))
+                seen = kernel.values(tokens).max(axis=1) if direction is None else kernel.along(tokens, direction)
+                told = dict(zip(tokens, seen.tolist(), strict=True))
                 best = [max(s, key=told.__getitem__) for s in found]
                 order = sorted(range(len(found)), key=lambda i: -told[best[i]])
                 chosen = order[:1] if kind else order[:SENTENCES] + order[SENTENCES :: max(1, len(order) // SENTENCES)][:SENTENCES]
@@ -334,7 +331,7 @@ def unlike(tokens: list[str], most: int) -> list[str]:
     return [token for token, _, _ in chosen]
 
 
-def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 1.0, steps: int = 50) -> tuple[np.ndarray, float]:
+def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int = 50) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by Newton steps on the rows inside the margin."""
     z = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(z.shape[1])
