@@ -48,14 +48,13 @@ AROUND = frozenset(
 #: Beside one of the first words, the second ones do not mark surroundings: the header of an entry is a part of it.
 MAIN = frozenset("article content entry post story".split())
 OF_MAIN = frozenset("header tags".split())
+#: Wrappers of whole pages have these, too, as many a page stands in one form.
+WEAK = frozenset("search widget modal popup toolbar tags".split())
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
-#: A name and its whole value, so that nothing is found inside another name or value.
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+#: An attribute from its name on; a quote opens a value only right after the equals sign.
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_REST = re.compile(r"[\s/]*")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -63,27 +62,34 @@ _SPACE = re.compile(r"\s+")
 class Node:
     """An element: its children are nodes and strings."""
 
-    __slots__ = ("name", "parent", "children", "around", "score", "length", "linked")
+    __slots__ = ("name", "parent", "children", "around", "kind", "depth", "block", "scope", "score", "length", "linked")
 
-    def __init__(self, name: str, parent: Node | None, around: bool | None = False):
-        self.name, self.parent, self.around = name, parent, around
+    def __init__(self, name: str, parent: Node | None, around: bool | None = False, kind: str = ""):
+        self.name, self.parent, self.around, self.kind = name, parent, around, kind
         self.children: list[Node | str] = []
+        self.depth = parent.depth + 1 if parent else 0
+        #: The nearest block and the nearest scope, itself included.
+        self.block: Node = self if parent is None or name in BLOCKS else parent.block
+        self.scope: Node = self if parent is None or name in SCOPES else parent.scope
         self.score = 0.0
         self.length = self.linked = 0
 
 
-def surrounds(name: str, attributes: str) -> bool | None:
+def surrounds(name: str, attributes: dict[str, str]) -> bool | None:
     """Whether an element stands around the text, by its name and its class, id and role.
 
-    None if only a part of a longer name says so, like has-sidebar: that may as well wrap the text.
+    None if only a part of a longer name says so, like has-sidebar, or if it is a
+    form or a search: these may as well wrap the text.
     """
+    if name == "form":
+        return None
     if name in DROPPED:
         return True
     if not attributes or name in ("html", "body"):
         return False
     whole: set[str] = set()
-    for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
+    for key, value in attributes.items():
+        value = value.lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
             return True
         if key == "style":
@@ -95,7 +101,7 @@ def surrounds(name: str, attributes: str) -> bool | None:
     if name == "main":
         return False
     marking = {"comment", "comments", "reply"} if name == "article" else AROUND - (OF_MAIN if words & MAIN else frozenset())
-    return True if whole & marking else None if words & marking else False
+    return True if whole & (marking - WEAK) else None if words & marking else False
 
 
 def decided(root: Node) -> None:
@@ -119,44 +125,82 @@ def decided(root: Node) -> None:
             node.around = 2 * held[id(node)] < held[id(root)] or not held[id(node)]
 
 
+def attributes_at(html: str, at: int) -> tuple[dict[str, str], int]:
+    """The attributes of a tag from behind its name on, the first of each name, and where the tag ends; at the page's end if it does not.
+
+    A quoted value that is never closed is read as one without quotes.
+    """
+    found: dict[str, str] = {}
+    while one := _ATTRIBUTE.match(html, at):
+        at = one.end()
+        found.setdefault(one[1].lower(), one[2] or one[3] or one[4] or "")
+    at = _REST.match(html, at).end()
+    return found, at + 1
+
+
 def tree(html: str) -> Node:
-    """The elements of a page. Missing end tags are supplied, stray ones ignored; comments and declarations are left out."""
+    """The elements of a page. Missing end tags are supplied, stray ones ignored; comments and declarations are left out.
+
+    Every character is looked at a bounded number of times: open elements are
+    found by name, and each is closed once.
+    """
     root = node = Node("html", None)
-    at = 0
-    find = _MARKUP.search
-    while found := find(html, at):
-        if found.start() > at:
-            node.children.append(html[at : found.start()])
-        at = found.end()
-        if found[2]:
-            name = found[2].lower()
-            while node.parent is not None and name in CLOSED_BY.get(node.name, ()):
-                node = node.parent
-            if name in BLOCKS and node.name not in BLOCKS:
-                # A block inside unclosed inline markup of a paragraph ends both.
-                up = node
-                while up.parent is not None and up.name not in BLOCKS:
-                    up = up.parent
-                if up.name == "p" and name in CLOSED_BY["p"]:
-                    node = up.parent
-            child = Node(name, node, surrounds(name, found[3]))
-            node.children.append(child)
-            if name in RAW:
-                end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
-                if end is None and name in ("title", "textarea"):
+    opened: dict[str, list[Node]] = {}
+    endless: set[str] = set()
+    at, size = 0, len(html)
+
+    def closed(to: Node) -> Node:
+        up = node
+        while up is not to:
+            opened[up.name].pop()
+            up = up.parent
+        return to
+
+    while at < size:
+        start = html.find("<", at)
+        if start < 0:
+            start = size
+        named = _NAME.match(html, start + 1)
+        if named is None and start < size and html[start + 1 : start + 2] not in ("!", "?", "/"):
+            start += 1  # no markup
+            node.children.append(html[at:start])
+            at = start
+            continue
+        if start > at:
+            node.children.append(html[at:start])
+        if start == size:
+            break
+        if named is None:
+            comment = html.startswith("<!--", start)
+            end = html.find("-->" if comment else ">", start + 2)
+            at = size if end < 0 else end + (3 if comment else 1)
+            continue
+        name = named[1].lower()
+        if html[start + 1] == "/":
+            end = html.find(">", named.end())
+            at = size if end < 0 else end + 1
+            same = opened.get(name)
+            if same and (name in SCOPES or same[-1].depth > node.scope.depth):
+                node = closed(same[-1].parent)
+            continue
+        attributes, at = ({}, named.end() + 1) if html.startswith(">", named.end()) else attributes_at(html, named.end())
+        while node.parent is not None and name in CLOSED_BY.get(node.name, ()):
+            node = closed(node.parent)
+        if name in BLOCKS and node.block.name == "p" and name in CLOSED_BY["p"] and node.block.parent is not None:
+            # A block inside unclosed inline markup of a paragraph ends both.
+            node = closed(node.block.parent)
+        child = Node(name, node, surrounds(name, attributes), " ".join(attributes.get("class", "").split()))
+        node.children.append(child)
+        if name in RAW:
+            end = None if name in endless else re.compile(rf"</{name}\s*>", re.I).search(html, at)
+            if end is None:
+                endless.add(name)
+                if name in ("title", "textarea"):
                     continue
-                at = end.end() if end else len(html)
-            elif name not in VOID and not found[3].endswith("/"):
-                node = child
-        elif found[1]:
-            name = found[1].lower()
-            up = node
-            while up is not None and up.name != name and not (up.name in SCOPES and name not in SCOPES):
-                up = up.parent
-            if up is not None and up.name == name and up.parent is not None:
-                node = up.parent
-    if at < len(html):
-        node.children.append(html[at:])
+            at = end.end() if end else size
+        elif name not in VOID and html[at - 2 : at] != "/>":
+            opened.setdefault(name, []).append(child)
+            node = child
     return root
 
 
@@ -204,7 +248,7 @@ def spoken(node: Node) -> str:
 
 
 def chosen(order: list[Node]) -> list[Node]:
-    """The best container and those of its siblings that belong to it, in page order.
+    """The best container and those of its siblings that belong to it, in page order; one of its own class does.
 
     A paragraph is worth a point, one for each comma and one for each hundred
     characters, three of these at most; its parent gets all of it, the
@@ -245,7 +289,8 @@ def chosen(order: list[Node]) -> list[Node]:
             group.append(sibling)
         elif isinstance(sibling, Node):
             text = spoken(sibling) if sibling.name in PARAGRAPHS else ""
-            if (id(sibling) in scored and sibling.score >= least) or (len(text) > 80 and density(sibling) < 0.25):
+            twin = sibling.kind and (sibling.name, sibling.kind) == (best.name, best.kind)
+            if (twin and density(sibling) < 0.5) or (id(sibling) in scored and sibling.score >= least) or (len(text) > 80 and density(sibling) < 0.25):
                 group.append(sibling)
     return group
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -264,6 +265,34 @@ def test_wrappers_of_the_text_stay_and_what_stands_beside_it_goes(name):
     assert html_text.main_text(f'<div class="{name}">{beside}<article>{STORY}</article></div>') == want
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<p><a href=o'neil>one</a> two isn't here</p><p>three</p>", "one two isn't here\nthree"),
+        ('<p>one <img alt="5" tall"> two</p><p>three</p>', "one two\nthree"),
+        ('<p>a < b, 3 <4 and <a title="x > y">c</a></p>', "a < b, 3 <4 and c"),
+        ('<p>one <a href="x>two</a></p><p>three</p>', "one two\nthree"),
+        ("<p>one<br/>two <a href=/x/>three</a></p>", "one two three"),
+        ('<div class="content"><p>One, two, three, and so on to the end.</p></div><div class="content"><p>Short end.</p></div>', "One, two, three, and so on to the end.\nShort end."),
+        (f"<body><form id=all><article>{'<p>One, two.</p>' * 2}</article></form></body>", "One, two.\nOne, two."),
+        (f'<body><div class="search results"><article>{"<p>One, two.</p>" * 2}</article></div></body>', "One, two.\nOne, two."),
+        ("<article><p>One, two, three.</p><form><p>Write to us</p><input></form></article>", "One, two, three."),
+        ("<b><i><p>one</b></i><p>two<div>three</p></div>", "one\ntwo\nthree"),
+    ],
+)
+def test_bad_markup_keeps_its_text(html, want):
+    assert html_text.main_text(html) == want
+
+
+@pytest.mark.parametrize(
+    "html", ["<a b='" * 170_000, "<b>" * 8_000 + "<p>word" * 120_000, "<b><div>" + "<i>" * 100_000 + "</b>" * 150_000, "<!" * 500_000, "<title>" * 140_000, "<" * 1_000_000, "<a b=\"" + "<a b='x" * 150_000]
+)
+def test_a_megabyte_of_bad_markup_ends_soon(html):
+    begin = time.process_time()
+    html_text.main_text(html)
+    assert time.process_time() - begin < 10
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "<p>deep") == "deep"
     assert len(html_text.main_text("<article>" + "<p>word, word</p>" * 20_000)) == 20_000 * 11 - 1
