@@ -291,3 +291,33 @@ def test_large_groups_cost_a_comparison_a_text(spark):
     _, links = kept_by_brute_force(docs)
     want = roots({i for i, _ in docs}, links)
     assert {r["node"]: r["component"] for r in search.groups.collect()} == {i: c for i, c in want.items() if list(want.values()).count(c) > 1}
+
+
+def test_texts_that_share_too_little_meet_no_more(spark, monkeypatch):
+    """Long edits of one text, too far apart: what they share comes late in the common order, so that all pairs need not be made."""
+    base = [f"g{i}" for i in range(700)]
+    docs = [(i, " ".join(f"x{i}" if at % 28 == i % 28 else w for at, w in enumerate(base))) for i in range(60)]
+    made = {}
+    look_at = jaccard.Search.look_at
+
+    def watched(search, pairs, name):
+        made[name] = pairs.count()
+        look_at(search, pairs, name)
+
+    monkeypatch.setattr(jaccard.Search, "look_at", watched)
+    search = jaccard.connected(frame(spark, docs), 5, 0.8, "text", "doc_id", Scratch(spark))
+    _, links = kept_by_brute_force(docs)
+    got = {} if search.groups is None else {r["node"]: r["component"] for r in search.groups.collect()}
+    want = roots({i for i, _ in docs}, links)
+    assert got == {i: c for i, c in want.items() if list(want.values()).count(c) > 1}
+    assert made["others"] < len(docs)
+
+
+@pytest.mark.parametrize("links_per_task", [7, 1000])
+def test_components_in_few_tasks(spark, links_per_task):
+    rng = random.Random(4)
+    links = [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)]
+    got = components(spark.createDataFrame(links, "a long, b long"), "a", "b", links_per_task)
+    assert len(got.inputFiles()) <= -(-len(links) // links_per_task)
+    plain = [(a, b) for a, b in links if a != b]
+    assert {r["node"]: r["component"] for r in got.collect()} == roots({n for pair in plain for n in pair}, plain)
