@@ -43,16 +43,17 @@ def asof_join(
     )
     order = [F.col(f"_feature.{c}") for c in (feature_ts, *tie_break)]
     newest = packed.groupBy(*keys, BLOCK).agg(F.max_by("_feature", F.struct(*order)).alias("_feature"))
+    blocked = left.withColumn(BLOCK, block_of(F.col(left_ts), block_seconds))
+    counts = blocked.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
     if ttl_seconds is None:
-        asked_blocks = left.select(*keys, block_of(F.col(left_ts), block_seconds).alias(BLOCK)).distinct()
-        carried = _carried_to(newest, asked_blocks, keys)
+        # With the count in the condition both uses read one shuffle.
+        carried = _carried_to(newest, counts.where(F.col("_n") > 0).select(*keys, BLOCK), keys)
     else:
         carried = _carried_ahead(newest, keys, -(-ttl_seconds // block_seconds))
 
-    blocked = left.withColumn(BLOCK, block_of(F.col(left_ts), block_seconds))
-    # At most one row for rows_per_part rows of left.
-    crowded = blocked.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_part)
-    crowded = crowded.select(*keys, BLOCK, F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts"))
+    # At most one row for rows_per_part rows of left; a join by shuffle would move both tables once more for it.
+    crowded = counts.where(F.col("_n") > rows_per_part)
+    crowded = F.broadcast(crowded.select(*keys, BLOCK, F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts")))
 
     def with_parts(df: DataFrame) -> DataFrame:
         met = df.alias("l").join(crowded.alias("r"), same_keys("l", "r", [*keys, BLOCK]), "left")

@@ -43,11 +43,12 @@ def known_asof_join(
     Looking up either axis alone is an as-of join; both together are not, since
     the newest events may all have come late. The events of a key are numbered
     in time order and become the leaves of a tree of ``fanout`` children, each
-    node with the earliest time of knowledge below it. A row starts at the leaf
-    of the newest event by its time, looks to the left of it among its
+    node with the earliest time of knowledge below it. A row whose newest event
+    by its time was known at its origin is settled, which nearly all are, and
+    meets no tree. Any other starts at that leaf, looks to the left of it among its
     siblings for a node that was known by its origin, goes a level up while
     there is none, and then down again along the last child that was. Rows
-    that are settled wait, so nearly all need one level. A level is one join
+    that are settled wait, so most of them need one level. A level is one join
     with a row per node, of bounded size, and does not depend on other rows of
     ``left``: a key may have any share of them, and no key is held by a task.
     """
@@ -61,19 +62,24 @@ def known_asof_join(
         F.col(left_ts).alias("_at"),
         F.col(origin_ts).alias("_origin"),
     )
-    leaves = events.select(*keys, F.col(event_ts).alias("_event"), "_leaf")
-    rows = asof_join(rows, leaves, keys, "_at", "_event", block_seconds=block_seconds).drop("_event")
-    # Written, so that a row keeps its number and both branches below read the same.
+    leaves = events.select(*keys, F.col(event_ts).alias("_event"), "_leaf", "_since")
+    rows = asof_join(rows, leaves, keys, "_at", "_event", block_seconds=block_seconds)
+    # Written, so that a row keeps its number and all branches below read the same.
     rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "asked")
-    found = _last_known(rows.where(F.col("_leaf").isNotNull()), events, keys, fanout)
+    settled = F.coalesce(F.col("_since") <= F.col("_origin"), F.lit(False))
+    asked = [*keys, "_left", "_origin", "_event"]
+    late = rows.where(~settled)
+    found = _last_known(late.where(F.col("_leaf").isNotNull()), events, keys, fanout)
 
     named = [F.col(k) for k in keys]
     at = events.select(*named, F.col("_leaf").alias("_found"), F.col(event_ts).alias("_event"))
-    hit = found.alias("l").join(at.alias("r"), same_keys("l", "r", [*keys, "_found"])).select("l.*", "r._event")
+    found = found.alias("l").join(at.alias("r"), same_keys("l", "r", [*keys, "_found"])).select("l._row", "r._event")
+    found = stored(late.drop("_event").join(found, "_row").select("_row", *asked), "found")
     packed = versions.select(*named, F.col(event_ts).alias("_event"), F.col(known_ts).alias("_known"), F.struct(*names).alias("_version"))
+    hit = rows.where(settled).select(*asked).unionByName(found.select(*asked))
     hit = asof_join(hit, packed, [*keys, "_event"], "_origin", "_known", block_seconds=block_seconds, tie_break=["_version"])
-    hit = hit.select("_row", "_version")
-    both = rows.join(hit, "_row", "left")
+    none = late.join(found.select("_row"), "_row", "left_anti").select("_left")
+    both = hit.select("_left", "_version").unionByName(none, allowMissingColumns=True)
     return both.select("_left.*", *[F.col(f"_version.{c}").alias(c) for c in names])
 
 

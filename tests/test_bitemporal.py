@@ -6,6 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from loadlake.operators import bitemporal
+from loadlake.operators.asof import asof_join
 from loadlake.operators.bitemporal import known_asof_join
 from loadlake.plans.evaluation import leaks
 
@@ -81,3 +83,28 @@ def test_plan_holds_no_cross_join(spark):
     plan = got._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert got.agg(F.count("*")).first()[0] == 1
+
+
+def test_only_rows_whose_newest_event_came_late_meet_the_tree(spark, monkeypatch):
+    """Nine rows in ten are settled by their own event, and the rest by an earlier one or by none."""
+    met = []
+    search = bitemporal._last_known
+
+    def watched(rows, *rest):
+        met.append(rows.count())
+        return search(rows, *rest)
+
+    monkeypatch.setattr(bitemporal, "_last_known", watched)
+    versions = [("k", e, e + (500 if e % 10 == 0 else 1), 1.0) for e in range(200)]
+    left = [("k", e, e + 2) for e in range(200)]
+    assert joined(spark, left, versions, fanout=4) == searched(left, versions)
+    assert met == [20]
+
+
+def test_an_asof_join_moves_its_rows_once(spark):
+    """Both tables are dealt out for the window alone, not once more for the list of crowded blocks."""
+    table = spark.createDataFrame([("k", minutes(0), minutes(0), 1.0)], VERSIONS)
+    asked = spark.createDataFrame([("k", minutes(1), minutes(1), "x", 1)], LEFT)
+    got = asof_join(asked, table, ["k"], "at", "event")
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.first()["mw"] == 1.0
