@@ -313,6 +313,44 @@ def test_texts_that_share_too_little_meet_no_more(spark, monkeypatch):
     assert made["others"] < len(docs)
 
 
+def test_prefixes_are_shuffled_once_and_shared_shingles_once_more(spark, monkeypatch, capsys):
+    """Until texts meet their leads; broadcasts, which only small tables get, are off."""
+    plans = []
+
+    def planned(df):
+        capsys.readouterr()
+        df.explain()
+        plans.append(capsys.readouterr().out)
+
+    stored, look_at = Scratch.stored, jaccard.Search.look_at
+
+    def watched_table(scratch, df, name, *more):
+        planned(df)
+        return stored(scratch, df, name, *more)
+
+    def watched_pairs(search, pairs, name):
+        planned(pairs)
+        if name == "leads-of":
+            monkeypatch.setattr(Scratch, "stored", stored)
+            monkeypatch.setattr(jaccard.Search, "look_at", look_at)
+        look_at(search, pairs, name)
+
+    monkeypatch.setattr(Scratch, "stored", watched_table)
+    monkeypatch.setattr(jaccard.Search, "look_at", watched_pairs)
+    docs = [(i, " ".join(f"w{i % 10}-{k}" if k != i else "edited" for k in range(120))) for i in range(20)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        search = jaccard.connected(frame(spark, docs), 5, 0.8, "text", "doc_id", Scratch(spark))
+        assert sorted((r["node"], r["component"]) for r in search.groups.collect()) == [(i, i % 10) for i in range(20)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = [line for plan in plans for line in plan.splitlines() if "Exchange hashpartitioning(shingle" in line]
+    assert len(shuffles) == 2
+    # The hashes that order leads are made behind it.
+    assert not any("Window" in plan and "xxhash64" in plan[plan.index("Exchange hashpartitioning(shingle"):] for plan in plans)
+
+
 @pytest.mark.parametrize("links_per_task", [7, 1000])
 def test_components_in_few_tasks(spark, links_per_task):
     rng = random.Random(4)
