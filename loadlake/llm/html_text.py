@@ -126,7 +126,7 @@ def decided(root: Node) -> None:
 
 
 def attributes_at(html: str, at: int) -> tuple[dict[str, str], int]:
-    """The attributes of a tag from behind its name on, the first of each name, and where the tag ends; at the page's end if it does not.
+    """The attributes of a tag from behind its name on, the first of each name, and where the tag ends; beyond the page's end if it does not.
 
     A quoted value that is never closed is read as one without quotes.
     """
@@ -184,6 +184,9 @@ def tree(html: str) -> Node:
                 node = closed(same[-1].parent)
             continue
         attributes, at = ({}, named.end() + 1) if html.startswith(">", named.end()) else attributes_at(html, named.end())
+        if at > size:  # cut off by the page's end, text as it stands
+            node.children.append(html[start:])
+            break
         while node.parent is not None and name in CLOSED_BY.get(node.name, ()):
             node = closed(node.parent)
         if name in BLOCKS and node.block.name == "p" and name in CLOSED_BY["p"] and node.block.parent is not None:
